@@ -16,6 +16,7 @@ class Settings:
     table_format: str = "parquet"
     as_of: dt.date = field(default_factory=dt.date.today)
     survey_year: int = 2020
+    relocate_to: str | None = None
 
     def __post_init__(self) -> None:
         if not self.source_root or not self.output_root:
@@ -30,11 +31,12 @@ class Settings:
         return f"{self.output_root.rstrip('/')}/gold"
 
     @classmethod
-    def from_env(cls, output_root: str, **overrides) -> "Settings":
-        """SOURCE_FOLDER and FILE_EXTENSION from the environment, the rest by argument."""
+    def from_env(cls, **given) -> "Settings":
+        """SOURCE_FOLDER, FILE_EXTENSION and TARGET_BUCKET unless given as arguments."""
+        bucket = os.environ.get("TARGET_BUCKET", "")
         values = {
             "source_root": os.environ.get("SOURCE_FOLDER", ""),
             "file_format": os.environ.get("FILE_EXTENSION", "csv"),
-            "output_root": output_root,
+            "output_root": f"s3a://{bucket}" if bucket else "",
         }
-        return cls(**{**values, **overrides})
+        return cls(**{**values, **given})

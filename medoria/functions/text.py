@@ -16,8 +16,8 @@ def clean_name(raw: Column) -> Column:
     characters up to the first letter and a trailing ``_`` go.
     """
     joined = F.regexp_replace(F.lower(raw), "[^a-z0-9]+", "_")
-    bare = F.regexp_replace(joined, "^[^a-z]+|_+$", "")
-    return F.when(F.length(bare) > 0, bare).otherwise(F.lit(UNKNOWN_TABLE))
+    bare = F.rtrim(F.regexp_replace(joined, "^[^a-z]+", ""), F.lit("_"))
+    return F.coalesce(F.nullif(bare, F.lit("")), F.lit(UNKNOWN_TABLE))
 
 
 def table_name_of(relative_path: Column) -> Column:

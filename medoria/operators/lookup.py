@@ -9,17 +9,13 @@ MAX_BROADCAST_ROWS = 2_000_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
-def broadcastable(
-    df: DataFrame,
-    max_rows: int = MAX_BROADCAST_ROWS,
-    max_bytes: int = MAX_BROADCAST_BYTES,
-) -> bool:
+def broadcastable(df: DataFrame) -> bool:
     """Whether the whole of ``df`` was measured to fit; one row returns to the driver."""
     width = F.lit(0)
     for name in df.columns:
         width = width + F.coalesce(F.octet_length(F.col(name).cast("string")), F.lit(0)) + 16
     measured = df.agg(F.count(F.lit(1)).alias("rows"), F.sum(width).alias("bytes")).first()
-    return measured["rows"] <= max_rows and (measured["bytes"] or 0) <= max_bytes
+    return measured["rows"] <= MAX_BROADCAST_ROWS and (measured["bytes"] or 0) <= MAX_BROADCAST_BYTES
 
 
 def heavy_keys(df: DataFrame, key: str, parts: int) -> DataFrame:
@@ -38,12 +34,7 @@ def heavy_keys(df: DataFrame, key: str, parts: int) -> DataFrame:
 
 
 def lookup(
-    df: DataFrame,
-    other: DataFrame,
-    key: str,
-    spread_by: str | None = None,
-    max_rows: int = MAX_BROADCAST_ROWS,
-    max_bytes: int = MAX_BROADCAST_BYTES,
+    df: DataFrame, other: DataFrame, key: str, spread_by: str | None = None
 ) -> DataFrame:
     """Left join on one column of the same name.
 
@@ -55,7 +46,7 @@ def lookup(
     column that differs between the rows of a key; without it the position in
     the input decides, which is right when ``df`` is a scan with row-wise steps.
     """
-    if broadcastable(other, max_rows, max_bytes):
+    if broadcastable(other):
         return df.join(F.broadcast(other), key, "left")
 
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

@@ -46,10 +46,11 @@ def dense_number(
     before = F.sum("_rows").over(
         Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    shifts = (
+    shifts = materialise(
         placed.groupBy(part.alias("_part"))
         .agg(F.count(F.lit(1)).alias("_rows"))
-        .select("_part", (before - F.col("_rows")).alias("_shift"))
+        .select("_part", (before - F.col("_rows")).alias("_shift")),
+        "shifts",
     )
     position = F.col("_place").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
     return (

@@ -2,31 +2,38 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
 from medoria.config import Settings
+from medoria.parallel import together
 from medoria.plans import dimensions, facts
 from medoria.plans.silver import convert_folder
-from medoria.sinks import create_if_absent, ensure_database, replace_table, verify_tables
-from medoria.sinks.report import Outcome
+from medoria.sinks import (
+    create_if_absent,
+    ensure_database,
+    failed,
+    relocate,
+    replace_table,
+    verify_tables,
+)
+from medoria.sinks.report import OK, Outcome
 from medoria.sources import load_silver
 from medoria.sources.silver import check_silver
 from medoria.specs import STAR
 
 
-class PipelineFailed(RuntimeError):
-    """A step left failed tables behind."""
-
-
 def create_star(spark: SparkSession, cfg: Settings) -> dict[str, bool]:
     """Declare the star: per table, whether it had to be created."""
     ensure_database(spark, cfg.database)
-    return {
-        name: create_if_absent(spark, cfg.database, spec, cfg.gold_root, cfg.table_format)
-        for name, spec in STAR.items()
-    }
+
+    def create(name: str) -> tuple[str, bool]:
+        return name, create_if_absent(
+            spark, cfg.database, STAR[name], cfg.gold_root, cfg.table_format
+        )
+
+    return dict(together(create, STAR))
 
 
 def build_gold(
@@ -36,37 +43,87 @@ def build_gold(
     check_silver(t)
     ensure_database(spark, cfg.database)
 
-    def write(name: str, df: DataFrame) -> DataFrame:
-        return replace_table(df, cfg.database, STAR[name], cfg.gold_root, cfg.table_format)
-
-    gold = {
-        "dim_lieu": write("dim_lieu", dimensions.dim_lieu(t)),
-        "dim_patient": write("dim_patient", dimensions.dim_patient(t, cfg.as_of)),
-        "dim_date": write("dim_date", dimensions.dim_date(t, [cfg.survey_year])),
-        "dim_etablissement": write("dim_etablissement", dimensions.dim_etablissement(t)),
-        "dim_diagnostic": write("dim_diagnostic", dimensions.dim_diagnostic(t)),
-        "dim_indicateur": write("dim_indicateur", dimensions.dim_indicateur(spark)),
-        "dim_professionel": write("dim_professionel", dimensions.dim_professionel(t)),
+    def write(build: tuple[str, Callable[[], DataFrame]]) -> tuple[str, DataFrame]:
+        name, df = build
+        table = replace_table(df(), cfg.database, STAR[name], cfg.gold_root, cfg.table_format)
+        return name, table
+
+    dims = {
+        "dim_lieu": lambda: dimensions.dim_lieu(t),
+        "dim_patient": lambda: dimensions.dim_patient(t, cfg.as_of),
+        "dim_date": lambda: dimensions.dim_date(t, [cfg.survey_year]),
+        "dim_etablissement": lambda: dimensions.dim_etablissement(t),
+        "dim_diagnostic": lambda: dimensions.dim_diagnostic(t),
+        "dim_indicateur": lambda: dimensions.dim_indicateur(spark),
+        "dim_professionel": lambda: dimensions.dim_professionel(t),
+    }
+    gold = dict(together(write, dims.items()))
+    rows = {
+        "fait_deces": lambda: facts.fait_deces(t, gold["dim_lieu"]),
+        "fait_hospitalisation": lambda: facts.fait_hospitalisation(t),
+        "fait_satisfaction": lambda: facts.fait_satisfaction(
+            t, gold["dim_etablissement"], cfg.survey_year
+        ),
+        "fait_consultations": lambda: facts.fait_consultations(t),
     }
-    gold["fait_deces"] = write("fait_deces", facts.fait_deces(t, gold["dim_lieu"]))
-    gold["fait_hospitalisation"] = write("fait_hospitalisation", facts.fait_hospitalisation(t))
-    gold["fait_satisfaction"] = write(
-        "fait_satisfaction",
-        facts.fait_satisfaction(t, gold["dim_etablissement"], cfg.survey_year),
-    )
-    gold["fait_consultations"] = write("fait_consultations", facts.fait_consultations(t))
-    return gold
+    return gold | dict(together(write, rows.items()))
 
 
-def run_pipeline(spark: SparkSession, cfg: Settings) -> tuple[list[Outcome], DataFrame]:
-    """Raw files to a registered star; the conversions and the counts of the star.
+def relocate_star(spark: SparkSession, cfg: Settings, root: str) -> list[Outcome]:
+    """Move every table of the star under another root, as it is partitioned now."""
 
-    Missing silver tables stop the run, and so does a source that failed.
-    """
-    conversions = convert_folder(spark, cfg.source_root, cfg.silver_root, cfg.file_format)
-    broken = [o.table_name for o in conversions if o.status == "FAILED"]
-    if broken:
-        raise PipelineFailed("could not convert: " + ", ".join(broken))
+    def move(name: str) -> Outcome:
+        columns = spark.catalog.listColumns(f"{cfg.database}.{name}")
+        partitions = [column.name for column in columns if column.isPartition]
+        target = f"{root.rstrip('/')}/{name}"
+        return relocate(spark, cfg.database, name, target, partitions, cfg.table_format)
+
+    return together(move, STAR)
+
+
+def _convert(spark: SparkSession, cfg: Settings) -> list[Outcome]:
+    return convert_folder(spark, cfg.source_root, cfg.silver_root, cfg.file_format)
+
+
+def _declare(spark: SparkSession, cfg: Settings) -> list[Outcome]:
     create_star(spark, cfg)
-    build_gold(spark, load_silver(spark, cfg.silver_root), cfg)
-    return conversions, verify_tables(spark, cfg.database, STAR)
+    return [Outcome(name, OK, n_cols=len(spec.schema)) for name, spec in STAR.items()]
+
+
+def _build(spark: SparkSession, cfg: Settings) -> list[Outcome]:
+    gold = build_gold(spark, load_silver(spark, cfg.silver_root), cfg)
+    return [Outcome(name, OK, n_cols=len(df.columns)) for name, df in gold.items()]
+
+
+def _relocate(spark: SparkSession, cfg: Settings) -> list[Outcome]:
+    return relocate_star(spark, cfg, cfg.relocate_to) if cfg.relocate_to else []
+
+
+def _verify(spark: SparkSession, cfg: Settings) -> list[Outcome]:
+    counts = verify_tables(spark, cfg.database, STAR).collect()  # one row per table of the star
+    return [Outcome(**row.asDict()) for row in counts]
+
+
+STEPS = {
+    "convert": _convert,
+    "declare": _declare,
+    "build": _build,
+    "relocate": _relocate,
+    "verify": _verify,
+}
+
+
+def run_pipeline(
+    spark: SparkSession, cfg: Settings, steps: Sequence[str] = tuple(STEPS)
+) -> list[tuple[str, Outcome]]:
+    """Raw files to a registered star, step by step; what happened to each table.
+
+    The run ends after the first step that leaves a failed table.
+    """
+    report: list[tuple[str, Outcome]] = []
+    for step in steps:
+        outcomes = STEPS[step](spark, cfg)
+        report += [(step, outcome) for outcome in outcomes]
+        if failed(outcomes):
+            break
+    return report

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from medoria.parallel import together
 from medoria.sinks.report import EMPTY, FAILED, OK, Outcome
 from medoria.sinks.silver import write_silver
 from medoria.sources import UnsupportedFormat, discover, read_raw
@@ -36,8 +38,8 @@ def convert_source(
     try:
         table = with_lineage(read_raw(spark, source_path, file_format, schema), source_path, table_name)
         rows = write_silver(table, target_path, length)
-    except (PySparkException, UnsupportedFormat) as error:
-        return Outcome(table_name, FAILED, error=str(error).splitlines()[0][:500])
+    except (PySparkException, Py4JJavaError, UnsupportedFormat) as error:
+        return Outcome(table_name, FAILED, error=" ".join(str(error).splitlines()[:2])[:500])
     return Outcome(table_name, OK if rows else EMPTY, rows, len(table.columns))
 
 
@@ -51,8 +53,9 @@ def convert_folder(
     """Every source under a folder; a broken one does not stop the others."""
     schemas = schemas or {}
     manifest = discover(spark, source_root, file_format, target_root).orderBy("table_name")
-    return [
-        convert_source(
+
+    def convert(entry: Row) -> Outcome:
+        return convert_source(
             spark,
             entry["source_path"],
             entry["target_path"],
@@ -61,5 +64,5 @@ def convert_folder(
             entry["length"],
             schemas.get(entry["table_name"]),
         )
-        for entry in manifest.toLocalIterator()
-    ]
+
+    return together(convert, manifest.toLocalIterator())  # one row per table

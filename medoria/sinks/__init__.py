@@ -1,6 +1,14 @@
 """Writing, registering, moving and checking tables."""
 
-from medoria.sinks.catalog import create_if_absent, ensure_database, register, tables_in
+from medoria.sinks.catalog import (
+    create_if_absent,
+    databases,
+    ensure_database,
+    location_of,
+    register,
+    register_all,
+    tables_in,
+)
 from medoria.sinks.checks import SameLocation, fingerprint, relocate, same_rows, verify_tables
 from medoria.sinks.gold import replace_table
 from medoria.sinks.report import Outcome, as_report, failed, summary
@@ -11,10 +19,13 @@ __all__ = [
     "SameLocation",
     "as_report",
     "create_if_absent",
+    "databases",
     "ensure_database",
     "failed",
     "fingerprint",
+    "location_of",
     "register",
+    "register_all",
     "relocate",
     "replace_table",
     "same_rows",

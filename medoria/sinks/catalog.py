@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from medoria.specs import TableSpec
+from medoria.sinks.report import FAILED, OK, Outcome
+from medoria.specs import STAR, TableSpec
 
 
 def ensure_database(spark: SparkSession, database: str, location: str | None = None) -> None:
@@ -63,6 +65,40 @@ def create_if_absent(
     )
 
 
+def _partitions_of(files: DataFrame) -> list[str]:
+    """Partition columns as the path of one file shows them."""
+    one = files.select("_metadata.file_path").first()
+    return [part.split("=")[0] for part in one["file_path"].split("/") if "=" in part] if one else []
+
+
+def register_all(
+    spark: SparkSession,
+    database: str,
+    locations: Mapping[str, str],
+    table_format: str = "parquet",
+) -> list[Outcome]:
+    """Register tables of the star that lie at the given places; those that do not load fail."""
+    outcomes = []
+    for name, location in locations.items():
+        spec = STAR[name]
+        columns = len(spec.schema)
+        try:
+            files = spark.read.format(table_format).schema(spec.schema).load(location)
+            partitions = _partitions_of(files)
+            register(spark, database, name, location, spec.schema, partitions, table_format)
+        except AnalysisException as error:
+            outcomes.append(Outcome(name, FAILED, error=str(error).splitlines()[0][:500]))
+        else:
+            outcomes.append(Outcome(name, OK, n_cols=columns))
+    return outcomes
+
+
+def location_of(spark: SparkSession, database: str, name: str) -> str:
+    """Where the files of a registered table are."""
+    details = spark.sql(f"DESCRIBE FORMATTED `{database}`.`{name}`")
+    return details.where("col_name = 'Location'").first()["data_type"]
+
+
 def move_entry(
     spark: SparkSession,
     database: str,
@@ -89,5 +125,9 @@ def move_entry(
     register(spark, database, name, location, schema, partition_by, table_format)
 
 
+def databases(spark: SparkSession) -> DataFrame:
+    return spark.sql("SHOW DATABASES")
+
+
 def tables_in(spark: SparkSession, database: str) -> DataFrame:
     return spark.sql(f"SHOW TABLES IN `{database}`")

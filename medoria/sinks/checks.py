@@ -10,7 +10,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medoria.sinks.catalog import move_entry
+from medoria.sinks.catalog import location_of, move_entry
 from medoria.sinks.report import EMPTY, FAILED, OK, Outcome
 
 
@@ -85,21 +85,17 @@ def relocate(
     """
     table = f"{database}.{name}"
     source = spark.table(table)
-    current = (
-        spark.sql(f"DESCRIBE FORMATTED `{database}`.`{name}`")
-        .where("col_name = 'Location'")
-        .first()["data_type"]
-    )
-    if _normal(current) == _normal(location):
+    if _normal(location_of(spark, database, name)) == _normal(location):
         raise SameLocation(f"{table} is already at {location}")
     if source.isEmpty():
         return Outcome(name, EMPTY, 0, len(source.columns))
 
     partition_by = list(partition_by)
-    source.write.format(table_format).mode("overwrite").partitionBy(*partition_by).save(location)
+    moved = source.hint("rebalance", *partition_by) if partition_by else source
+    moved.write.format(table_format).mode("overwrite").partitionBy(*partition_by).save(location)
     copy = spark.read.format(table_format).schema(source.schema).load(location)
     copy = copy.select(*source.columns)
-    before, after = fingerprint(source).first(), fingerprint(copy).first()
+    before, after = fingerprint(source).union(fingerprint(copy)).collect()  # two rows
     if before != after:
         return Outcome(name, FAILED, after["n_rows"], len(source.columns), "copy differs from source")
 

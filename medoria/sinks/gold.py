@@ -14,12 +14,13 @@ from medoria.specs import TableSpec, conform
 def replace_table(
     df: DataFrame, database: str, spec: TableSpec, root: str, table_format: str = "parquet"
 ) -> DataFrame:
-    """Write ``df`` as the new content of the table and return the table.
+    """Write ``df`` as the new content of the table and return that content.
 
     The new content is written beside the old one and the entry is moved when
-    it is complete, so ``df`` may read the table it replaces and readers never
-    see a part. The table is partitioned by the column of its contract if its
-    size calls for that, which takes one more pass over that column.
+    it is complete, so ``df`` may read the table it replaces. What is returned
+    are these very files: a later overwrite does not change it. The table is
+    partitioned by the column of its contract if its size calls for that,
+    which takes one more pass over that column.
     """
     spark = df.sparkSession
     df = conform(df, spec)
@@ -32,4 +33,5 @@ def replace_table(
     partitions = [column] if column is not None else []
     df.write.format(table_format).mode("overwrite").partitionBy(*partitions).save(location)
     move_entry(spark, database, spec.name, location, spec.schema, partitions, table_format)
-    return spark.table(f"{database}.{spec.name}").select(*spec.schema.names)
+    written = spark.read.format(table_format).schema(spec.schema).load(location)
+    return written.select(*spec.schema.names)

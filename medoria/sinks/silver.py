@@ -14,10 +14,14 @@ RULE_MAX_BYTES = 4 * 1024**3
 
 def write_silver(df: DataFrame, path: str, input_bytes: int | None = None) -> int:
     """Overwrite ``path`` and return the rows written; an empty table is not written."""
-    if df.isEmpty():
+    small = input_bytes is not None and input_bytes <= RULE_MAX_BYTES
+    rows = df.count() if small else None
+    if rows == 0 or (rows is None and df.isEmpty()):
         return 0
-    if input_bytes is not None and input_bytes <= RULE_MAX_BYTES:
-        files = output_files_for(df.count())
+    if small:
+        files = output_files_for(rows)
         df = df.coalesce(1) if files == 1 else df.repartition(files)
     df.write.mode("overwrite").option("compression", "snappy").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path).count()  # from the footers
+    if rows is None:
+        rows = df.sparkSession.read.schema(df.schema).parquet(path).count()  # from the footers
+    return rows

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import StructType
 
 # How raw CSV files are written.
 CSV_OPTIONS = {
@@ -24,9 +27,9 @@ class UnsupportedFormat(ValueError):
     """A file format none of the readers knows."""
 
 
-def sniff_separator(spark: SparkSession, path: str) -> str:
+def sniff_separator(first_lines: Sequence[str]) -> str:
     """``;`` if the first two lines hold more of it than ``,`` or are not UTF-8, else ``,``."""
-    lines = "".join(row.value for row in spark.read.text(path).head(2))
+    lines = "".join(first_lines[:2])
     if UNREADABLE in lines or lines.count(";") > lines.count(","):
         return ";"
     return ","
@@ -41,21 +44,22 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | None = None) -
     column is text.
     """
     reader = spark.read.options(**CSV_OPTIONS).option("recursiveFileLookup", True)
+    first_lines = [row.value for row in spark.read.text(path, recursiveFileLookup=True).head(2)]
+    separator = sniff_separator(first_lines)
+    other = next(s for s in SEPARATORS if s != separator)
 
-    first = sniff_separator(spark, path)
-    second = next(s for s in SEPARATORS if s != first)
-    headers = {first: reader.csv(path, sep=first).columns}
-    if len(headers[first]) == 1:
-        headers[second] = reader.csv(path, sep=second).columns
-    separator = max(headers, key=lambda s: len(headers[s]))  # the first one wins a tie
-
+    if first_lines and separator not in first_lines[0] and len(reader.csv(path, sep=other).columns) > 1:
+        separator = other
     if schema is not None:
         return reader.schema(schema).csv(path, sep=separator)
     try:
-        return reader.csv(path, sep=separator, inferSchema=True)
-    except PySparkException:
-        text = StructType([StructField(name, StringType()) for name in headers[separator]])
-        return reader.schema(text).csv(path, sep=separator)
+        table = reader.csv(path, sep=separator, inferSchema=True)
+        if len(table.columns) == 1 and len(reader.csv(path, sep=other).columns) > 1:
+            table = reader.csv(path, sep=other, inferSchema=True)
+        return table
+    except (PySparkException, Py4JJavaError):
+        # without inference every column is text; an unreadable source fails here
+        return reader.csv(path, sep=separator)
 
 
 def read_raw(

@@ -1,0 +1,42 @@
+from __future__ import annotations
+
+import os
+import sys
+from pathlib import Path
+
+import pytest
+
+sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+
+from medoria.session import session  # noqa: E402
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    spark = session(
+        "tests",
+        "local[4]",
+        **{
+            "spark.sql.shuffle.partitions": "4",
+            "spark.ui.enabled": "false",
+            "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
+            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("work")),
+        },
+    )
+    spark.sparkContext.setLogLevel("ERROR")
+    yield spark
+    spark.stop()
+
+
+@pytest.fixture
+def never_broadcast(monkeypatch):
+    """Every lookup takes the way for tables too large to broadcast."""
+    monkeypatch.setattr(sys.modules["medoria.operators.lookup"], "MAX_BROADCAST_ROWS", -1)
+
+
+@pytest.fixture(scope="session")
+def sf_dir():
+    folder = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+    if not os.path.isdir(folder):
+        pytest.skip("no test data")
+    return folder

@@ -9,7 +9,7 @@ professionals, communes and ``finess`` referred to do not exist.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -84,9 +84,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def silver(spark: SparkSession, sf_dir: str, roles: Iterable[str] = BINDINGS) -> dict[str, DataFrame]:
-    """The given tables under the roles the builders know."""
-    roles = list(roles)
-    for name in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"):
+def silver(spark: SparkSession, sf_dir: str, *roles: str) -> dict[str, DataFrame]:
+    """The given tables under the roles the builders know; all roles if none is named."""
+    statements = {role: BINDINGS[role] for role in roles or BINDINGS}
+    used = re.findall(r"\b(?:from|join) (\w+)", " ".join(statements.values()))
+    for name in set(used):
         table(spark, sf_dir, name).createOrReplaceTempView(name)
-    return {role: spark.sql(BINDINGS[role]) for role in roles}
+    return {role: spark.sql(statement) for role, statement in statements.items()}

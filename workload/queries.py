@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +16,16 @@ from medoria.operators import dense_number, partition_advice, unique_names
 from medoria.plans import dimensions, facts, questions
 from medoria.plans.pipeline import build_gold, create_star, run_pipeline
 from medoria.plans.silver import convert_folder, convert_source
-from medoria.sinks import as_report, ensure_database, relocate, replace_table, summary, verify_tables
+from medoria.sinks import (
+    as_report,
+    ensure_database,
+    failed,
+    register_all,
+    relocate,
+    replace_table,
+    summary,
+    verify_tables,
+)
 from medoria.sources import SILVER_TABLES, discover
 from medoria.specs import STAR
 from medoria.work import work_path
@@ -24,6 +34,9 @@ from workload.bindings import AS_OF, END, START, TABLES, YEAR, silver, table
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTERED: dict[str, Query] = {}
 
+PLACES = ("etablissement_sante", "communes", "region")
+SURVEYS = ("satisfaction_esatis", "satisfaction_esatisca")
+
 
 def register(query: Query) -> Query:
     REGISTERED[query.__name__] = query
@@ -47,37 +60,40 @@ def _settings(spark: SparkSession, source_root: str = "-", file_format: str = "c
 
 @register
 def dim_lieu(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dimensions.dim_lieu(silver(spark, sf_dir))
+    return dimensions.dim_lieu(silver(spark, sf_dir, "communes", "region"))
 
 
 @register
 def dim_patient(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dimensions.dim_patient(silver(spark, sf_dir), AS_OF)
+    return dimensions.dim_patient(silver(spark, sf_dir, "patient"), AS_OF)
 
 
 @register
 def dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dimensions.dim_date(silver(spark, sf_dir), [YEAR])
+    t = silver(spark, sf_dir, "hospitalisation", "consultations", "deces", "patient")
+    return dimensions.dim_date(t, [YEAR])
 
 
 @register
 def dim_etablissement(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dimensions.dim_etablissement(silver(spark, sf_dir))
+    t = silver(spark, sf_dir, *PLACES)
+    return dimensions.dim_etablissement(t)
 
 
 @register
 def dim_diagnostic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dimensions.dim_diagnostic(silver(spark, sf_dir))
+    t = silver(spark, sf_dir, "consultations", "hospitalisation", "diagnostic")
+    return dimensions.dim_diagnostic(t)
 
 
 @register
 def bridge_diagnostic_motif(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dimensions.bridge_diagnostic_motif(silver(spark, sf_dir))
+    return dimensions.bridge_diagnostic_motif(silver(spark, sf_dir, "consultations", "diagnostic"))
 
 
 @register
 def dim_professionel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dimensions.dim_professionel(silver(spark, sf_dir))
+    return dimensions.dim_professionel(silver(spark, sf_dir, "professionnel_sante"))
 
 
 @register
@@ -94,29 +110,30 @@ def dim_indicateur(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def fait_deces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = silver(spark, sf_dir)
+    t = silver(spark, sf_dir, "deces", "communes", "region")
     return facts.fait_deces(t, dimensions.dim_lieu(t))
 
 
 @register
 def fait_hospitalisation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return facts.fait_hospitalisation(silver(spark, sf_dir))
+    return facts.fait_hospitalisation(silver(spark, sf_dir, "hospitalisation"))
 
 
 @register
 def fait_satisfaction(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = silver(spark, sf_dir)
+    t = silver(spark, sf_dir, *SURVEYS, *PLACES)
     return facts.fait_satisfaction(t, dimensions.dim_etablissement(t), YEAR)
 
 
 @register
 def fait_consultations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return facts.fait_consultations(silver(spark, sf_dir))
+    return facts.fait_consultations(silver(spark, sf_dir, "consultations", "activite_professionel"))
 
 
 @register
 def bridge_consultation_etablissement(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return facts.bridge_consultation_etablissement(silver(spark, sf_dir))
+    t = silver(spark, sf_dir, "consultations", "activite_professionel")
+    return facts.bridge_consultation_etablissement(t)
 
 
 # Business questions
@@ -136,7 +153,7 @@ def consult_by_diagnostic(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def hosp_global(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = silver(spark, sf_dir)
+    t = silver(spark, sf_dir, "hospitalisation", "patient")
     return questions.hospitalisation_rate(
         facts.fait_hospitalisation(t), dimensions.dim_patient(t, AS_OF), START, END
     )
@@ -151,7 +168,7 @@ def hosp_by_diagnostic(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def hosp_by_sexe_age(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = silver(spark, sf_dir)
+    t = silver(spark, sf_dir, "hospitalisation", "patient")
     return questions.hospitalisation_by_patient(
         facts.fait_hospitalisation(t), dimensions.dim_patient(t, AS_OF), ["sexe", "age"]
     )
@@ -159,7 +176,7 @@ def hosp_by_sexe_age(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def consult_by_professionnel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = silver(spark, sf_dir)
+    t = silver(spark, sf_dir, "consultations", "activite_professionel", "professionnel_sante")
     return questions.consultation_rate_by_professional(
         facts.fait_consultations(t), dimensions.dim_professionel(t), START, END
     )
@@ -167,14 +184,14 @@ def consult_by_professionnel(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def deces_by_region(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = silver(spark, sf_dir)
+    t = silver(spark, sf_dir, "deces", "communes", "region")
     places = dimensions.dim_lieu(t)
     return questions.deaths_by_region(facts.fait_deces(t, places), places, YEAR)
 
 
 @register
 def satisfaction_by_region(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = silver(spark, sf_dir)
+    t = silver(spark, sf_dir, *SURVEYS, *PLACES)
     places = dimensions.dim_etablissement(t)
     return questions.satisfaction_by_region(facts.fait_satisfaction(t, places, YEAR), places, YEAR)
 
@@ -196,7 +213,7 @@ def surrogate_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def ages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    people = silver(spark, sf_dir)["patient"]
+    people = silver(spark, sf_dir, "patient")["patient"]
     return people.select("id_patient", age_at(F.col("date_naissance"), AS_OF).alias("age"))
 
 
@@ -405,24 +422,29 @@ def table_verify(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def register_and_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Deaths per region and quarter in SQL over the registered tables."""
+    """Deaths per region and quarter in SQL over tables registered from their files."""
     cfg = _settings(spark)
-    ensure_database(spark, cfg.database)
     t = silver(spark, sf_dir)
-
-    def write(name: str, df: DataFrame) -> DataFrame:
-        return replace_table(df, cfg.database, STAR[name], cfg.gold_root)
-
-    places = write("dim_lieu", dimensions.dim_lieu(t))
-    write("dim_date", dimensions.dim_date(t, [YEAR]))
-    write("fait_deces", facts.fait_deces(t, places))
+    places = dimensions.dim_lieu(t)
+    built = {
+        "dim_lieu": places,
+        "dim_date": dimensions.dim_date(t, [YEAR]),
+        "fait_deces": facts.fait_deces(t, places),
+    }
+    for name, df in built.items():
+        df.write.parquet(f"{cfg.gold_root}/{name}")
+    database = cfg.database
+    ensure_database(spark, database, cfg.gold_root)
+    outcomes = register_all(spark, database, {name: f"{cfg.gold_root}/{name}" for name in built})
+    if failed(outcomes):
+        raise RuntimeError(str(outcomes))
     return questions.query(
         spark,
         f"""
         select l.region, d.trimestre, sum(f.nb_deces) as nb_deces, count(distinct f.fk_lieu_deces) as lieux
-        from {cfg.database}.fait_deces f
-        left join {cfg.database}.dim_lieu l on f.fk_lieu_deces = l.lieu_id
-        left join {cfg.database}.dim_date d on f.fk_date_deces = d.date_id
+        from {database}.fait_deces f
+        left join {database}.dim_lieu l on f.fk_lieu_deces = l.lieu_id
+        left join {database}.dim_date d on f.fk_date_deces = d.date_id
         group by l.region, d.trimestre
         """,
     )
@@ -445,9 +467,14 @@ def relocate_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw files of all twelve sources to a registered, counted star."""
+    """Raw files of all twelve sources to a registered star, moved and counted."""
     t = silver(spark, sf_dir)
     folders = {SILVER_TABLES[role].replace("_", "/", 1): t[role] for role in SILVER_TABLES}
-    cfg = _settings(spark, source_root=_raw_folder(spark, folders))
-    _, counts = run_pipeline(spark, cfg)
-    return counts
+    cfg = replace(
+        _settings(spark, source_root=_raw_folder(spark, folders)), relocate_to=work_path(spark, "moved")
+    )
+    report = run_pipeline(spark, cfg)
+    broken = [outcome for _, outcome in report if outcome.status != "OK"]
+    if broken:
+        raise RuntimeError(str(broken))
+    return verify_tables(spark, cfg.database, STAR)
