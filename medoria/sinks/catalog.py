@@ -130,4 +130,5 @@ def databases(spark: SparkSession) -> DataFrame:
 
 
 def tables_in(spark: SparkSession, database: str) -> DataFrame:
-    return spark.sql(f"SHOW TABLES IN `{database}`")
+    """The tables of a database, without the temporary views of the session."""
+    return spark.sql(f"SHOW TABLES IN `{database}`").where("not isTemporary")

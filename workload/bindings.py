@@ -87,7 +87,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def silver(spark: SparkSession, sf_dir: str, *roles: str) -> dict[str, DataFrame]:
     """The given tables under the roles the builders know; all roles if none is named."""
     statements = {role: BINDINGS[role] for role in roles or BINDINGS}
-    used = re.findall(r"\b(?:from|join) (\w+)", " ".join(statements.values()))
-    for name in set(used):
-        table(spark, sf_dir, name).createOrReplaceTempView(name)
-    return {role: spark.sql(statement) for role, statement in statements.items()}
+    source = re.compile(r"\b(from|join) (\w+)")
+    used = {name for statement in statements.values() for _, name in source.findall(statement)}
+    tables = {name: table(spark, sf_dir, name) for name in used}
+    return {
+        role: spark.sql(
+            source.sub(r"\1 {\2}", statement),
+            **{name: tables[name] for _, name in source.findall(statement)},
+        )
+        for role, statement in statements.items()
+    }
