@@ -47,7 +47,7 @@ def dim_patient(t: Tables, as_of: dt.date) -> DataFrame:
         t["patient"].select(
             F.col("id_patient").try_cast("bigint").alias("patient_id"),
             "sexe",
-            F.col("date_naissance").cast("date").alias("date_naissance"),
+            F.col("date_naissance").try_cast("date").alias("date_naissance"),
         ),
         "patient_id",
     )
@@ -68,7 +68,7 @@ def dim_date(t: Tables, years: Iterable[int] = (2020,)) -> DataFrame:
     )
     days = None
     for table, column in sources:
-        one = t[table].select(F.col(column).cast("date").alias("date_complete"))
+        one = t[table].select(F.col(column).try_cast("date").alias("date_complete"))
         days = one if days is None else days.union(one)
     day = F.col("date_complete")
     days = (

@@ -18,7 +18,7 @@ def fait_deces(t: Tables, dim_lieu: DataFrame) -> DataFrame:
     deaths equal in both differ in nothing else, so the rows are determined.
     """
     deaths = t["deces"].select(
-        F.col("date_deces").cast("date").alias("jour"),
+        F.col("date_deces").try_cast("date").alias("jour"),
         F.col("code_commune").cast("string").alias("commune"),
     )
     numbered = dense_number(deaths, ["jour", "commune"], "id_mort", ties=True)
@@ -38,14 +38,14 @@ def fait_deces(t: Tables, dim_lieu: DataFrame) -> DataFrame:
 
 def fait_hospitalisation(t: Tables) -> DataFrame:
     """One row per stay: a projection of the source, no shuffle."""
-    day = F.col("date").cast("date")
+    day = F.col("date").try_cast("date")
     return conform(
         t["hospitalisation"].select(
             F.col("id_patient").try_cast("bigint").alias("fk_patient"),
             F.col("id_etablissement").alias("fk_etablissement"),
             F.col("code_diag").alias("fk_diagnostic"),
             date_key(day).alias("fk_date_entree"),
-            F.col("duree").alias("duree_sejour_jours"),
+            F.col("duree").try_cast("int").alias("duree_sejour_jours"),
             F.lit(1).alias("nb_hospitalisations"),
             F.year(day).alias("annee"),
         ),
@@ -66,7 +66,7 @@ def fait_satisfaction(t: Tables, dim_etablissement: DataFrame, year: int = 2020)
             F.col("finess").cast("string").alias("finess"),
             F.lit(indicator).alias("fk_indicateur"),
             to_number(F.col(score)).alias("score_ajuste"),
-            F.col(answers).try_cast("int").alias("nombre_reponses"),
+            to_number(F.col(answers)).try_cast("int").alias("nombre_reponses"),
             to_number(F.col("taux_reco_brut")).alias("taux_participation"),
         )
 
@@ -96,7 +96,7 @@ def _activities(t: Tables) -> DataFrame:
 
 
 def _consultation_rows(joined: DataFrame) -> DataFrame:
-    day = F.col("date").cast("date")
+    day = F.col("date").try_cast("date")
     return conform(
         joined.select(
             F.col("id_patient").try_cast("bigint").alias("fk_patient"),

@@ -43,6 +43,11 @@ def convert_source(
     return Outcome(table_name, OK if rows else EMPTY, rows, len(table.columns))
 
 
+def preview(spark: SparkSession, target_path: str, rows: int = 3) -> DataFrame:
+    """The first rows of a converted table, to look at."""
+    return spark.read.parquet(target_path).limit(rows)
+
+
 def convert_folder(
     spark: SparkSession,
     source_root: str,

@@ -68,7 +68,10 @@ def create_if_absent(
 def _partitions_of(files: DataFrame) -> list[str]:
     """Partition columns as the path of one file shows them."""
     one = files.select("_metadata.file_path").first()
-    return [part.split("=")[0] for part in one["file_path"].split("/") if "=" in part] if one else []
+    if one is None:
+        return []
+    names = [folder.split("=")[0] for folder in one["file_path"].split("/") if "=" in folder]
+    return [name for name in names if name in files.columns]
 
 
 def register_all(

@@ -11,6 +11,10 @@ from medoria.functions import size_mb, table_name_of
 from medoria.operators import unique_names
 
 
+# scheme and authority of a path
+_SCHEME = r"^[a-zA-Z][a-zA-Z0-9+.-]*:(//[^/]*)?"
+
+
 def discover(spark: SparkSession, root: str, extension: str, target_root: str) -> DataFrame:
     """Manifest ``(table_name, source_path, target_path, n_files, length, file_size_mb)``.
 
@@ -18,22 +22,21 @@ def discover(spark: SparkSession, root: str, extension: str, target_root: str) -
     (``visits.csv/part-…``, as distributed writers leave it) is one source.
     Only paths and lengths are read, never contents.
     """
-    root = re.sub(r"^file:/+", "/", root.rstrip("/"))
+    place = re.sub(_SCHEME, "", root).rstrip("/")
     suffix = re.escape(f".{extension}")
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", f"*.{extension}")
         .load(root)
-        .select("path", "length")
+        .select("path", "length", F.regexp_replace("path", _SCHEME, "").alias("plain"))
     )
-    inside = F.substr("path", F.instr("path", root) + len(root) + 1)
-    source = F.regexp_extract(inside, rf"^(.*?{suffix})(/|$)", 1)
+    below = F.substr("plain", F.instr("plain", place) + len(place) + 1)
+    source = F.regexp_extract(below, rf"^(.*?{suffix})(/|$)", 1)
+    parts = F.length(below) - F.length(source)  # what follows the name of a folder source
     sources = (
         files.withColumn("relative", source)
-        .withColumn(
-            "source_path", F.substr("path", F.lit(1), F.instr("path", root) + len(root) + F.length("relative"))
-        )
+        .withColumn("source_path", F.substr("path", F.lit(1), F.length("path") - parts))
         .groupBy("relative", "source_path")
         .agg(F.count(F.lit(1)).alias("n_files"), F.sum("length").alias("length"))
         .withColumn("base", table_name_of(F.col("relative")))

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 # How raw CSV files are written.
@@ -62,6 +63,26 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | None = None) -
         return reader.csv(path, sep=separator)
 
 
+def _one_object_per_line(spark: SparkSession, path: str) -> bool:
+    """Whether the first two lines are whole objects."""
+    whole = F.col("value").rlike(r"^\s*\{.*\}\s*$")
+    lines = spark.read.text(path, recursiveFileLookup=True).select(whole).head(2)
+    return len(lines) == 2 and all(line[0] for line in lines)
+
+
+def read_json(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+    """JSON documents of any layout; nested values stay nested.
+
+    A document over several lines is read by one task per file. Files with an
+    object on each line would lose all but the first that way; they are read
+    by lines, which also splits them.
+    """
+    reader = spark.read.option("recursiveFileLookup", True)
+    if schema is not None:
+        reader = reader.schema(schema)
+    return reader.json(path, multiLine=not _one_object_per_line(spark, path))
+
+
 def read_raw(
     spark: SparkSession, path: str, file_format: str, schema: StructType | None = None
 ) -> DataFrame:
@@ -70,8 +91,7 @@ def read_raw(
         case "csv":
             return read_csv(spark, path, schema)
         case "json":
-            reader = spark.read.option("recursiveFileLookup", True)
-            return (reader.schema(schema) if schema else reader).json(path, multiLine=True)
+            return read_json(spark, path, schema)
         case "parquet":
             return spark.read.parquet(path)
         case other:

@@ -7,7 +7,7 @@ import os
 import pytest
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from medoria.plans.silver import convert_folder, convert_source, with_lineage
+from medoria.plans.silver import convert_folder, convert_source, preview, with_lineage
 from medoria.sinks import as_report, failed, summary, write_silver
 from medoria.sinks.report import Outcome
 from medoria.sources import UnsupportedFormat, discover, read_csv, read_raw, sniff_separator
@@ -87,6 +87,24 @@ def test_json_keeps_nested_values(spark, tmp_path):
     assert table.count() == 2
 
 
+@pytest.mark.parametrize(
+    "text",
+    [
+        '{"id": 1}\n{"id": 2}\n{"id": 3}\n',
+        '[{"id": 1}, {"id": 2},\n {"id": 3}]',
+        '[\n{"id": 1},\n{"id": 2},\n{"id": 3}\n]\n',
+    ],
+)
+def test_json_is_read_whole_in_any_layout(spark, tmp_path, text):
+    path = put(tmp_path, "f.json", text)
+    assert content(read_raw(spark, path, "json")) == (["id"], [(1,), (2,), (3,)])
+
+
+def test_one_json_object(spark, tmp_path):
+    path = put(tmp_path, "f.json", '{"id": 1,\n "x": "{}"}')
+    assert content(read_raw(spark, path, "json")) == (["id", "x"], [(1, "{}")])
+
+
 def test_unknown_format(spark):
     with pytest.raises(UnsupportedFormat):
         read_raw(spark, "/nowhere", "xlsx")
@@ -123,6 +141,15 @@ def test_discover_names_and_sizes(spark, tmp_path):
     assert found["top"]["file_size_mb"] == 0.0
 
 
+@pytest.mark.parametrize("spelling", ["file://{}", "file:{}", "{}/", "{}"])
+def test_discover_any_spelling_of_the_root(spark, tmp_path, spelling):
+    put(tmp_path, "raw/raw/x.csv", "a\n")
+    root = f"{tmp_path}/raw"
+    (found,) = discover(spark, spelling.format(root), "csv", "out").collect()
+    assert found["table_name"] == "raw_x"
+    assert found["source_path"].endswith(f"{root}/raw/x.csv")
+
+
 def test_discover_nothing(spark, tmp_path):
     assert discover(spark, str(tmp_path), "csv", "out").count() == 0
 
@@ -188,6 +215,7 @@ def test_convert_folder_isolates_a_broken_source(spark, tmp_path):
     assert failed(outcomes)
     report = as_report(spark, outcomes)
     assert tuple(summary(report).first()) == (3, 2, 0, 1, 66.7)
+    assert preview(spark, f"{tmp_path}/out/two").count() == 3
     assert spark.read.parquet(f"{tmp_path}/out/two").columns[-3:] == [
         "conversion_timestamp",
         "source_file",

@@ -148,6 +148,16 @@ def test_fait_deces(t, either_way):
     )
 
 
+def test_text_that_is_no_date_or_number_becomes_null(spark):
+    stays = spark.createDataFrame(
+        [("x", "e1", "A", "not a day", "many"), ("2", "e1", "A", "2019-01-05", "3")],
+        "id_patient string, id_etablissement string, code_diag string, date string, duree string",
+    )
+    assert rows(facts.fait_hospitalisation({"hospitalisation": stays})) == expect(
+        (None, "e1", "A", None, None, 1, None), (2, "e1", "A", 20190105, 3, 1, 2019)
+    )
+
+
 def test_fait_hospitalisation(t):
     assert rows(facts.fait_hospitalisation(t)) == expect(
         (1, "e1", "A", 20190105, 3, 1, 2019), (1, "e1", "H", 20190205, None, 1, 2019),

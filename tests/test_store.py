@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import datetime as dt
 import os
 import uuid
 
@@ -196,6 +197,29 @@ def write_raw(spark, folder, skip=()):
         df.coalesce(1).write.option("header", True).option("sep", ";,"[number % 2]).csv(path)
 
 
+def test_questions_read_only_the_period(spark, database, tmp_path, capsys):
+    visits = spark.range(12_000).selectExpr(
+        "id as fk_patient",
+        "'p' as fk_professionnel",
+        "cast(20150101 + 10000 * (id % 5) as int) as fk_date_consultation",
+        "'A' as fk_diagnostic",
+        "'e' as fk_etablissement",
+        "1 as nb_consultations",
+        "cast(2015 + id % 5 as int) as annee",
+    )
+    fact = replace_table(visits, database, STAR["fait_consultations"], str(tmp_path))
+    rates = questions.consultation_rate(
+        fact, "fk_diagnostic", dt.date(2016, 1, 1), dt.date(2017, 6, 1)
+    )
+    assert rates.first()["n"] == 4800
+    rates.explain("formatted")
+    plan = capsys.readouterr().out
+    assert "PartitionFilters: [isnotnull(annee" in plan
+    assert "GreaterThanOrEqual(fk_date_consultation,20160101)" in plan
+    read = plan.split("ReadSchema: ")[1].splitlines()[0]
+    assert "fk_professionnel" not in read and "fk_etablissement" not in read
+
+
 def test_pipeline_from_raw_files(spark, database, tmp_path):
     cfg = settings(tmp_path, database, relocate_to=str(tmp_path / "moved"))
     write_raw(spark, cfg.source_root)

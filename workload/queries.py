@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import uuid
 from collections.abc import Callable
 from dataclasses import replace
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 from medoria.config import Settings
 from medoria.functions import age_at, clean_name, date_key, output_files, size_mb, table_name_of
 from medoria.operators import dense_number, partition_advice, unique_names
+from medoria.parallel import together
 from medoria.plans import dimensions, facts, questions
 from medoria.plans.pipeline import build_gold, create_star, run_pipeline
 from medoria.plans.silver import convert_folder, convert_source
@@ -365,8 +367,11 @@ def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _raw_folder(spark: SparkSession, tables: dict[str, DataFrame]) -> str:
     """Each table as CSV; ``a/b`` puts it into a folder. Separators alternate."""
     folder = work_path(spark, "raw")
-    for number, (name, df) in enumerate(tables.items()):
-        _export_csv(df, folder, name, ";,"[number % 2])
+    separators = itertools.cycle(";,")
+    together(
+        lambda one: _export_csv(one[1], folder, one[0], one[2]),
+        [(name, df, next(separators)) for name, df in tables.items()],
+    )
     return folder
 
 
