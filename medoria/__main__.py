@@ -10,6 +10,7 @@ from medoria.config import Settings
 from medoria.plans.pipeline import STEPS, run_pipeline
 from medoria.session import session
 from medoria.sinks import as_report, failed, summary
+from medoria.work import discard_work
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -31,6 +32,7 @@ def main(argv: list[str] | None = None) -> int:
     outcomes = [outcome for _, outcome in report]
     as_report(spark, outcomes).show(len(outcomes) or 1, truncate=False)
     summary(as_report(spark, outcomes)).show()
+    discard_work(spark)
     return 1 if failed(outcomes) else 0
 
 

@@ -76,10 +76,12 @@ def dim_date(t: Tables, years: Iterable[int] = (2020,)) -> DataFrame:
         .distinct()
         .withColumns({"date_id": date_key(day), **calendar(day)})
     )
-    members = days.sparkSession.createDataFrame(
-        [(year_key(year), year) for year in years], "date_id int, annee int"
-    )
-    return conform(days.unionByName(members, allowMissingColumns=True), STAR["dim_date"])
+    for year in years:
+        member = days.sparkSession.range(1).select(
+            F.lit(year_key(year)).alias("date_id"), F.lit(year).alias("annee")
+        )
+        days = days.unionByName(member, allowMissingColumns=True)
+    return conform(days, STAR["dim_date"])
 
 
 def dim_etablissement(t: Tables) -> DataFrame:

@@ -91,8 +91,8 @@ def relocate(
         return Outcome(name, EMPTY, 0, len(source.columns))
 
     partition_by = list(partition_by)
-    moved = source.hint("rebalance", *partition_by) if partition_by else source
-    moved.write.format(table_format).mode("overwrite").partitionBy(*partition_by).save(location)
+    # the files of a table hold one partition each, so copying needs no shuffle
+    source.write.format(table_format).mode("overwrite").partitionBy(*partition_by).save(location)
     copy = spark.read.format(table_format).schema(source.schema).load(location)
     copy = copy.select(*source.columns)
     before, after = fingerprint(source).union(fingerprint(copy)).collect()  # two rows

@@ -31,6 +31,8 @@ def replace_table(
         # a value's rows meet in few files, and a frequent value is split
         df = df.hint("rebalance", column)
     partitions = [column] if column is not None else []
+    if spec.sort_by is not None:
+        df = df.sortWithinPartitions(*partitions, spec.sort_by)
     df.write.format(table_format).mode("overwrite").partitionBy(*partitions).save(location)
     move_entry(spark, database, spec.name, location, spec.schema, partitions, table_format)
     written = spark.read.format(table_format).schema(spec.schema).load(location)

@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame
 
 from medoria.functions.sizing import output_files_for
 
-# Up to this input size a table is counted and written to the number of files
-# its rows call for. Beyond it a handful of files would mean as many tasks, so
+# Up to this input size (eight default input splits) a table is counted and
+# written to the number of files its rows call for, eight at most. Beyond it
 # the table is written as it was read, one file per input split.
-RULE_MAX_BYTES = 4 * 1024**3
+RULE_MAX_BYTES = 8 * 128 * 1024**2
 
 
 def write_silver(df: DataFrame, path: str, input_bytes: int | None = None) -> int:

@@ -23,7 +23,8 @@ class TableSpec:
 
     ``declared_by`` partitions the table when it is created empty;
     ``adaptive_by`` is the column it is partitioned by when written, if its
-    size calls for that. ``key`` is unique and not NULL.
+    size calls for that. ``key`` is unique and not NULL. Files are sorted by
+    ``sort_by``, so that a period skips the row groups outside of it.
     """
 
     name: str
@@ -31,6 +32,7 @@ class TableSpec:
     declared_by: tuple[str, ...] = ()
     adaptive_by: str | None = None
     key: str | None = None
+    sort_by: str | None = None
 
 
 def _table(name: str, columns: str, **more) -> TableSpec:
@@ -99,6 +101,7 @@ STAR = {
             declared_by=("annee",),
             adaptive_by="annee",
             key="id_mort",
+            sort_by="fk_date_deces",
         ),
         _table(
             "fait_hospitalisation",
@@ -106,6 +109,7 @@ STAR = {
             "duree_sejour_jours int, nb_hospitalisations int, annee int",
             declared_by=("annee",),
             adaptive_by="annee",
+            sort_by="fk_date_entree",
         ),
         _table(
             "fait_satisfaction",
@@ -119,6 +123,7 @@ STAR = {
             "fk_etablissement string, nb_consultations int, annee int",
             declared_by=("annee",),
             adaptive_by="annee",
+            sort_by="fk_date_consultation",
         ),
     )
 }

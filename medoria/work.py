@@ -25,9 +25,19 @@ def work_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def _own_folder(spark: SparkSession) -> str:
+    return f"{work_root(spark)}/{spark.sparkContext.applicationId}"
+
+
 def work_path(spark: SparkSession, label: str) -> str:
     """A path nobody has used yet."""
-    return f"{work_root(spark)}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+    return f"{_own_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def discard_work(spark: SparkSession) -> None:
+    """Delete the work tables of this application, once nothing reads them any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:

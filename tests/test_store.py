@@ -3,9 +3,13 @@ from __future__ import annotations
 import datetime as dt
 import os
 import uuid
+from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
+from medoria.__main__ import main
 from medoria.config import Settings
 from medoria.plans import questions
 from medoria.plans.pipeline import STEPS, build_gold, create_star, run_pipeline
@@ -86,6 +90,18 @@ def test_replace_partitions_large_tables(spark, database, tmp_path, stays):
     assert len(folders) == 6 and "annee=__HIVE_DEFAULT_PARTITION__" in folders
 
 
+def test_files_are_sorted_for_periods(spark, database, tmp_path, stays):
+    spec = STAR["fait_hospitalisation"]
+    days = stays.withColumn("fk_date_entree", F.expr("cast(20190100 + fk_patient % 28 as int)"))
+    replace_table(days.repartition(4), database, spec, str(tmp_path))
+    location = location_of(spark, database, spec.name).removeprefix("file:")
+    files = list(Path(location).rglob("*.parquet"))
+    assert files
+    for file in files:
+        keys = pq.read_table(file, columns=[spec.sort_by], partitioning=None)[spec.sort_by].to_pylist()
+        assert keys == sorted(keys)
+
+
 def test_replace_leaves_small_tables_in_one_piece(spark, database, tmp_path, stays):
     spec = STAR["fait_hospitalisation"]
     replace_table(stays.limit(100), database, spec, str(tmp_path))
@@ -246,6 +262,19 @@ def test_pipeline_ends_at_a_failed_step(spark, database, tmp_path):
     ]
 
 
+def test_command_line(spark, database, tmp_path, monkeypatch, capsys):
+    # work tables of their own, so that discarding them leaves those of other tests
+    monkeypatch.setattr("medoria.work._own_folder", lambda spark: f"{tmp_path}/work")
+    write_raw(spark, tmp_path / "raw")
+    arguments = ["--source", f"{tmp_path}/raw", "--output", f"{tmp_path}/lake", "--database", database]
+    assert main([*arguments, "--as-of", "2021-03-01", "--steps", "convert", "declare", "build"]) == 0
+    assert spark.table(f"{database}.fait_consultations").count() == 7
+    assert not os.path.exists(f"{tmp_path}/work")
+    assert "fait_consultations" in capsys.readouterr().out
+    assert main([*arguments, "--format", "json", "--steps", "verify"]) == 0
+    assert main(["--source", f"{tmp_path}/raw", "--output", "x", "--database", "absent", "--steps", "verify"]) == 1
+
+
 def test_missing_silver_tables_stop_the_run(spark, database, tmp_path):
     cfg = settings(tmp_path, database)
     write_raw(spark, cfg.source_root, skip=("communes",))

@@ -12,6 +12,7 @@ import datetime as dt
 import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 TABLES = (
     "region nation customer supplier part orders lineitem events "
@@ -80,8 +81,15 @@ BINDINGS = {
                event_id % 200 as nb_rep_score_all_ajust, value / 100 as taux_reco_brut
         from events where event_type = 'click'""",
 }
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table; its schema is looked up in the file once per process."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def silver(spark: SparkSession, sf_dir: str, *roles: str) -> dict[str, DataFrame]:
