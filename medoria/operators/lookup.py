@@ -33,6 +33,32 @@ def heavy_keys(df: DataFrame, key: str, parts: int) -> DataFrame:
     )
 
 
+def _salted(
+    large: DataFrame, small: DataFrame, key: str, how: str, parts: int, spread_by: str | None
+) -> DataFrame:
+    """Shuffled join that deals the heavy keys of ``large`` over salts.
+
+    ``small``'s rows of a heavy key are repeated once per salt.
+    """
+    heavy = F.broadcast(heavy_keys(large, key, parts))  # fewer rows than partitions
+    matches = F.col(key).eqNullSafe(F.col("_heavy_key"))
+    n_salts = F.coalesce(F.col("_parts"), F.lit(1))
+    row = F.xxhash64(spread_by) if spread_by else F.monotonically_increasing_id()
+
+    dealt = (
+        large.withColumn("_row", row)
+        .join(heavy, matches, "left")
+        .withColumn("_salt", F.pmod("_row", n_salts).cast("int"))
+        .drop("_row", "_parts", "_heavy_key")
+    )
+    repeated = (
+        small.join(heavy, matches, "left")
+        .withColumn("_salt", F.explode(F.sequence(F.lit(0), n_salts - 1)))
+        .drop("_parts", "_heavy_key")
+    )
+    return dealt.join(repeated, [key, "_salt"], how).drop("_salt")
+
+
 def lookup(
     df: DataFrame, other: DataFrame, key: str, spread_by: str | None = None
 ) -> DataFrame:
@@ -41,6 +67,8 @@ def lookup(
     ``other`` is broadcast when measured to be small. Otherwise the join
     shuffles; rows of heavy keys are dealt over as many salts as they fill
     partitions, and ``other``'s rows of these keys are repeated per salt.
+    Where ``other`` has heavy keys itself, these are joined apart with the
+    sides swapped: all their rows have a match, so an inner join is enough.
 
     A task that is run again must deal its rows as before. ``spread_by`` is a
     column that differs between the rows of a key; without it the position in
@@ -50,20 +78,26 @@ def lookup(
         return df.join(F.broadcast(other), key, "left")
 
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    heavy = F.broadcast(heavy_keys(df, key, parts))  # fewer rows than partitions
-    matches = F.col(key).eqNullSafe(F.col("_heavy_key"))
-    n_salts = F.coalesce(F.col("_parts"), F.lit(1))
+    crowded = heavy_keys(other, key, parts).select(F.col("_heavy_key").alias(key))
+    crowded = crowded.where(F.col(key).isNotNull())
+    if crowded.isEmpty():
+        return _salted(df, other, key, "left", parts, spread_by)
 
-    row = F.xxhash64(spread_by) if spread_by else F.monotonically_increasing_id()
-    left = (
-        df.withColumn("_row", row)
-        .join(heavy, matches, "left")
-        .withColumn("_salt", F.pmod("_row", n_salts).cast("int"))
-        .drop("_row", "_parts", "_heavy_key")
+    crowded = F.broadcast(crowded)  # fewer rows than partitions
+    usual = _salted(
+        df.join(crowded, key, "left_anti"),
+        other.join(crowded, key, "left_anti"),
+        key,
+        "left",
+        parts,
+        spread_by,
     )
-    right = (
-        other.join(heavy, matches, "left")
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), n_salts - 1)))
-        .drop("_parts", "_heavy_key")
+    apart = _salted(
+        other.join(crowded, key, "left_semi"),
+        df.join(crowded, key, "left_semi"),
+        key,
+        "inner",
+        parts,
+        None,
     )
-    return left.join(right, [key, "_salt"], "left").drop("_salt")
+    return usual.unionByName(apart)

@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 FOLDER_SETTING = "spark.checkpoint.dir"
+_local_roots: dict[str, str] = {}
 
 
 def work_root(spark: SparkSession) -> str:
@@ -20,8 +21,10 @@ def work_root(spark: SparkSession) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"set {FOLDER_SETTING} to a folder every executor can reach")
-        root = tempfile.mkdtemp(prefix="medoria-")
-        spark.conf.set(FOLDER_SETTING, root)
+        app = spark.sparkContext.applicationId
+        if app not in _local_roots:
+            _local_roots[app] = tempfile.mkdtemp(prefix="medoria-")
+        root = _local_roots[app]
     return root.rstrip("/")
 
 

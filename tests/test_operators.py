@@ -59,6 +59,17 @@ def test_lookup_is_a_left_join(hot, others, never_broadcast, spread_by):
     assert rows(got.select("i", "k", "v")) == expected
 
 
+def test_lookup_of_crowded_keys(spark, never_broadcast):
+    """Keys with many rows on the right, on the left, on both and on none."""
+    left = [(i, k) for i, k in enumerate(["r"] * 3 + ["b"] * 60 + ["l"] * 90 + [None] * 50 + ["none"] * 4)]
+    right = [(k, v) for v, k in enumerate(["r"] * 300 + ["b"] * 80 + ["l"] + [None] * 70 + list("xyz"))]
+    left = spark.createDataFrame(left, "i int, k string").repartition(3)
+    right = spark.createDataFrame(right, "k string, v int").repartition(3)
+    expected = rows(left.join(right, "k", "left").select("i", "k", "v"))
+    assert rows(lookup(left, right, "k").select("i", "k", "v")) == expected
+    assert rows(lookup(left, right, "k", "i").select("i", "k", "v")) == expected
+
+
 def test_lookup_broadcasts_small_tables(hot, others):
     expected = rows(hot.join(others, "k", "left").select("i", "k", "v"))
     assert rows(lookup(hot, others, "k").select("i", "k", "v")) == expected
@@ -73,8 +84,10 @@ def test_lookup_spreads_the_hot_key(hot, others, spark, never_broadcast):
     adaptive = spark.conf.get("spark.sql.adaptive.enabled")
     spark.conf.set("spark.sql.adaptive.enabled", "false")  # look at the bare partitioning
     spark.conf.set("spark.sql.shuffle.partitions", "16")
+    unused = spark.range(500).select(F.concat(F.lit("u"), "id").alias("k"), F.col("id").cast("int").alias("v"))
+    unique = others.dropDuplicates(["k"]).union(unused)
     try:
-        joined = lookup(hot, others.dropDuplicates(["k"]), "k", "i").hint("merge")
+        joined = lookup(hot, unique, "k", "i").hint("merge")
         sizes = joined.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "4")

@@ -5,6 +5,8 @@ import json
 import os
 
 import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import DataFrameReader
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from medoria.plans.silver import convert_folder, convert_source, preview, with_lineage
@@ -73,6 +75,19 @@ def test_read_csv_with_known_schema(spark, tmp_path):
     assert content(table)[1] == [(1, "01001")]
 
 
+def test_without_inference_every_column_is_text(spark, tmp_path, monkeypatch):
+    path = put(tmp_path, "f.csv", "id;nom\n 1 ; x \n")
+    csv = DataFrameReader.csv
+
+    def no_inference(self, path, **options):
+        if options.get("inferSchema"):
+            raise PySparkException("types cannot be inferred")
+        return csv(self, path, **options)
+
+    monkeypatch.setattr(DataFrameReader, "csv", no_inference)
+    assert content(read_csv(spark, path)) == (["id", "nom"], [("1", "x")])
+
+
 def test_bytes_that_are_not_utf8_mean_semicolon(spark, tmp_path):
     path = put(tmp_path, "f.csv", "a;décès\n1;2\n", "latin-1")
     assert len(read_csv(spark, path).columns) == 2

@@ -293,6 +293,21 @@ def test_settings(monkeypatch):
         Settings.from_env()
 
 
+def test_only_a_local_session_may_go_without_a_shared_folder(spark, monkeypatch):
+    monkeypatch.setattr("medoria.work.FOLDER_SETTING", "spark.checkpoint.absent")
+    root = work_root(spark)
+    assert os.path.isdir(root) and work_root(spark) == root
+
+    class Context:
+        master = "spark://head:7077"
+
+    class OnCluster:
+        conf, sparkContext = spark.conf, Context()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.absent"):
+        work_root(OnCluster())
+
+
 def test_work_paths_are_in_the_shared_folder(spark):
     root = work_root(spark)
     assert root == spark.conf.get("spark.checkpoint.dir")
