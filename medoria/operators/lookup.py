@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 MAX_BROADCAST_ROWS = 2_000_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
+MIN_HEAVY_ROWS = 10_000  # fewer rows are no burden to a task
 
 
 def broadcastable(df: DataFrame) -> bool:
@@ -28,7 +29,7 @@ def heavy_keys(df: DataFrame, key: str, parts: int) -> DataFrame:
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
     total = counts.agg(F.sum("_rows")).scalar()
     share = F.col("_rows") * parts / total
-    return counts.where(share > 1).select(
+    return counts.where((share > 1) & (F.col("_rows") >= MIN_HEAVY_ROWS)).select(
         F.col(key).alias("_heavy_key"), F.ceil(share).cast("int").alias("_parts")
     )
 

@@ -17,6 +17,7 @@ def spark(tmp_path_factory):
         "tests",
         "local[8]",
         **{
+            "spark.default.parallelism": "2",
             "spark.sql.shuffle.partitions": "4",
             "spark.ui.enabled": "false",
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
@@ -34,6 +35,12 @@ def never_broadcast(monkeypatch):
     monkeypatch.setattr(sys.modules["medoria.operators.lookup"], "MAX_BROADCAST_ROWS", -1)
 
 
+@pytest.fixture
+def few_are_heavy(never_broadcast, monkeypatch):
+    """Keys are heavy by their share alone, however few rows there are."""
+    monkeypatch.setattr(sys.modules["medoria.operators.lookup"], "MIN_HEAVY_ROWS", 1)
+
+
 @pytest.fixture(scope="session")
 def sf_dir():
     folder = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")

@@ -52,14 +52,14 @@ def test_broadcastable_measures_rows_and_bytes(others, monkeypatch):
 
 
 @pytest.mark.parametrize("spread_by", [None, "i"])
-def test_lookup_is_a_left_join(hot, others, never_broadcast, spread_by):
+def test_lookup_is_a_left_join(hot, others, few_are_heavy, spread_by):
     expected = rows(hot.join(others, "k", "left").select("i", "k", "v"))
     got = lookup(hot, others, "k", spread_by)
     assert got.columns == ["k", "i", "v"]
     assert rows(got.select("i", "k", "v")) == expected
 
 
-def test_lookup_of_crowded_keys(spark, never_broadcast):
+def test_lookup_of_crowded_keys(spark, few_are_heavy):
     """Keys with many rows on the right, on the left, on both and on none."""
     left = [(i, k) for i, k in enumerate(["r"] * 3 + ["b"] * 60 + ["l"] * 90 + [None] * 50 + ["none"] * 4)]
     right = [(k, v) for v, k in enumerate(["r"] * 300 + ["b"] * 80 + ["l"] + [None] * 70 + list("xyz"))]
@@ -75,12 +75,16 @@ def test_lookup_broadcasts_small_tables(hot, others):
     assert rows(lookup(hot, others, "k").select("i", "k", "v")) == expected
 
 
-def test_heavy_keys_are_few_and_right(hot):
+def test_few_rows_are_never_heavy(hot):
+    assert heavy_keys(hot, "k", 10).isEmpty()
+
+
+def test_heavy_keys_are_few_and_right(hot, few_are_heavy):
     heavy = {row["_heavy_key"]: row["_parts"] for row in heavy_keys(hot, "k", 10).collect()}
     assert heavy == {"hot": 4, None: 4}
 
 
-def test_lookup_spreads_the_hot_key(hot, others, spark, never_broadcast):
+def test_lookup_spreads_the_hot_key(hot, others, spark, few_are_heavy):
     adaptive = spark.conf.get("spark.sql.adaptive.enabled")
     spark.conf.set("spark.sql.adaptive.enabled", "false")  # look at the bare partitioning
     spark.conf.set("spark.sql.shuffle.partitions", "16")
@@ -135,7 +139,7 @@ def test_dense_number_of_nothing(spark):
 @pytest.mark.parametrize("large", [False, True])
 def test_number_within(spark, large, request):
     if large:
-        request.getfixturevalue("never_broadcast")
+        request.getfixturevalue("few_are_heavy")
     data = [("hot", i) for i in range(600)] + [(f"g{i % 40}", i) for i in range(600)]
     random.Random(1).shuffle(data)
     df = spark.createDataFrame(data, "g string, i int")
