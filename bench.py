@@ -47,7 +47,7 @@ HEADLINE = [
     "relocate_table",
     "register_and_sql",
     "table_verify",
-    "pipeline",
+    "star_pipeline",
 ]
 
 

@@ -6,6 +6,8 @@ import pytest
 
 import __spark_entry__ as contract
 from check_oracles import compare, connect
+from workload.oracles import ORACLES
+from workload.queries import REGISTERED
 
 WITHOUT_SQL = {"manifest"}
 
@@ -15,13 +17,17 @@ def connection(sf_dir):
     return connect(sf_dir)
 
 
-@pytest.mark.parametrize("name", contract.queries())
+@pytest.mark.parametrize("name", REGISTERED)
 def test_query(spark, connection, sf_dir, name):
     assert compare(spark, connection, name, sf_dir) is None
 
 
 def test_every_query_has_sql_or_a_reason():
-    assert set(contract.queries()) - set(contract.oracle_sql()) == WITHOUT_SQL
+    assert set(REGISTERED) - set(ORACLES) == WITHOUT_SQL
+
+
+def test_the_contract_has_every_query():
+    assert set(REGISTERED) <= set(contract.queries()) and set(ORACLES) <= set(contract.oracle_sql())
 
 
 def test_entry(spark):

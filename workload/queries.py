@@ -471,7 +471,7 @@ def relocate_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register
-def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+def star_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw files of all twelve sources to a registered star, moved and counted."""
     t = silver(spark, sf_dir)
     folders = {SILVER_TABLES[role].replace("_", "/", 1): t[role] for role in SILVER_TABLES}
