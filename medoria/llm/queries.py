@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medoria.llm import chat, langid, packing
+from medoria.llm import chat, decontaminate, langid, packing, simhash, topk
 from medoria.llm.common import held_out, table
 
 
@@ -15,6 +15,31 @@ def sha256(text: Column) -> Column:
     return F.sha2(text.cast("binary"), 256)
 
 
+def op1_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = topk.quantised(table(spark, sf_dir, "embeddings"))
+    return topk.top_k(vectors.where(F.col("id") % 50 == 0), vectors, k=5)
+
+
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), slack=2)
+    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["last"] - s["first"] + 1)
+    names = F.array_sort(F.transform("items", lambda x: x.cast("string")))
+    return found.select(
+        "doc_id",
+        "n_words",
+        n_hit.alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        sha256(F.array_join(names, ",")).alias("items_sha256"),
+        (n_hit > 0).alias("contaminated"),
+        F.size("near").cast("long").alias("n_near_items"),
+    )
+
+
 def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     probe = spark.range(2).select(
@@ -68,6 +93,9 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_topk_search": op1_topk_search,
+    "op4_simhash": op4_simhash,
+    "op6_decontamination": op6_decontamination,
     "op8_chat_format": op8_chat_format,
     "op9_language_id": op9_language_id,
     "op10_packing": op10_packing,
