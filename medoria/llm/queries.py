@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medoria.llm import chat, decontaminate, langid, packing, simhash, topk
+from medoria.llm import chat, decontaminate, langid, packing, simhash, topk, urls
 from medoria.llm.common import held_out, table
 
 
@@ -25,6 +25,21 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+#: the rules of the contract: verdict, then host and path
+URL_RULES = [
+    ("allow", "com/"),
+    ("block", "example.com/en/"),
+    ("allow", "www.example.com/en/"),
+    ("block", "net/es/"),
+    ("block", "net/fr/"),
+]
+
+
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = urls.judge(table(spark, sf_dir, "pages"), URL_RULES)
+    return found.select("page_id", "host", "path", "rule", "verdict")
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), slack=2)
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["last"] - s["first"] + 1)
@@ -95,6 +110,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_topk_search": op1_topk_search,
     "op4_simhash": op4_simhash,
+    "op5_url_filter": op5_url_filter,
     "op6_decontamination": op6_decontamination,
     "op8_chat_format": op8_chat_format,
     "op9_language_id": op9_language_id,
