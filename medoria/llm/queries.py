@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medoria.llm import chat, decontaminate, langid, packing, simhash, topk, urls
+from medoria.llm import chat, decontaminate, html, langid, packing, simhash, topk, urls
 from medoria.llm.common import held_out, table
 
 
@@ -55,6 +55,11 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html.main_text(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     probe = spark.range(2).select(
@@ -112,6 +117,7 @@ REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_simhash": op4_simhash,
     "op5_url_filter": op5_url_filter,
     "op6_decontamination": op6_decontamination,
+    "op7_html_text": op7_html_text,
     "op8_chat_format": op8_chat_format,
     "op9_language_id": op9_language_id,
     "op10_packing": op10_packing,
