@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medoria.llm import chat, decontaminate, html, langid, packing, simhash, topk, urls
+from medoria.llm import chat, decontaminate, html, langid, packing, simhash, suffixes, topk, urls
 from medoria.llm.common import held_out, table
 
 
@@ -20,6 +20,18 @@ def op1_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors.where(F.col("id") % 50 == 0), vectors, k=5)
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffixes.remove_repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["last"] - s["first"] + 1)
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
@@ -114,6 +126,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_topk_search": op1_topk_search,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op4_simhash": op4_simhash,
     "op5_url_filter": op5_url_filter,
     "op6_decontamination": op6_decontamination,
