@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medoria.llm import chat, decontaminate, html, langid, packing, simhash, suffixes, topk, urls
+from medoria.llm import chat, decontaminate, html, langid, packing, quality, simhash, suffixes, topk, urls
 from medoria.llm.common import held_out, table
 
 
@@ -32,6 +32,17 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    ranking = quality.fit(docs, labels.where(~held_out(F.col("doc_id"))))
+    return quality.score(docs, ranking).select(
+        "doc_id",
+        held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
@@ -127,6 +138,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_topk_search": op1_topk_search,
     "op2_suffix_dedup": op2_suffix_dedup,
+    "op3_quality": op3_quality,
     "op4_simhash": op4_simhash,
     "op5_url_filter": op5_url_filter,
     "op6_decontamination": op6_decontamination,
