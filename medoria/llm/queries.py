@@ -122,8 +122,8 @@ def tokenizer_files() -> dict[str, str]:
     }
 
 
-def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = packing.pack(table(spark, sf_dir, "documents"), **tokenizer_files())
+def piece_columns(pieces: DataFrame) -> DataFrame:
+    """The pieces with a checksum in place of their ids."""
     return pieces.select(
         "doc_id",
         "start",
@@ -135,6 +135,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_columns(packing.pack(table(spark, sf_dir, "documents"), **tokenizer_files()))
+
+
 REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_topk_search": op1_topk_search,
     "op2_suffix_dedup": op2_suffix_dedup,

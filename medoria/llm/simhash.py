@@ -1,7 +1,10 @@
 """Near-duplicates by SimHash fingerprints and exact tiled comparison.
 
 A fingerprint has 64 bits; a bit is set if it is set in over half the hashes of
-a text's word shingles. Fingerprints link if at most ``radius`` bits differ.
+a text's word shingles. Fingerprints link if at most ``radius`` bits differ. For
+similarities far from 1, where that many bits of 64 also agree by chance, a wide
+fingerprint has more words, made of other mixes of the same hashes: it links if at
+most ``radius`` bits differ in its first word and ``total`` in all.
 
 Equal fingerprints are one row first, so a group of copies costs one comparison,
 however large it is. The distinct ones are laid out in cells by their population
@@ -61,17 +64,32 @@ def simhash(hashes: np.ndarray) -> int:
     return int(np.packbits(2 * counts > len(hashes), bitorder="little").view("<i8")[0])
 
 
-def fingerprints(docs: DataFrame, words: int = 3, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, fingerprint) of every row; one pass over the texts."""
+def _mixed(hashes: np.ndarray, k: int) -> np.ndarray:
+    """Another hash for each hash; the first mix changes nothing."""
+    if k == 0:
+        return hashes
+    x = hashes * np.uint64(0x9E3779B97F4A7C15 + 2 * k)
+    return (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+
+
+def fingerprints(docs: DataFrame, words: int = 3, id: str = "doc_id", text: str = "text", wide: int = 1) -> DataFrame:
+    """(id, fingerprint) of every row; one pass over the texts. A fingerprint of more than one word is an array."""
+    value = pa.int64() if wide == 1 else pa.list_(pa.int64())
+
+    def of(text: bytes):
+        hashes = shingle_hashes(text, words)
+        found = [simhash(_mixed(hashes, k)) for k in range(wide)]
+        return found if wide > 1 else found[0]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = [simhash(shingle_hashes(t.as_py(), words)) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values, pa.int64())], names=["id", "fingerprint"])
+            values = [of(t.as_py()) for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values, value)], names=["id", "fingerprint"])
 
     rows = docs.select(F.col(id).alias("id"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"id {kind}, fingerprint long").withColumnRenamed("id", id)
+    out = rows.mapInArrow(run, f"id {kind}, fingerprint {'long' if wide == 1 else 'array<long>'}")
+    return out.withColumnRenamed("id", id)
 
 
 def _cell(fingerprint: Column, parts: int) -> Column:
@@ -92,14 +110,19 @@ def _steps(radius: int, parts: int) -> list[int]:
     return sorted({sum(x << 8 * k if x >= 0 else -(-x << 8 * k) for k, x in enumerate(d)) for d in near if d >= (0,) * parts})
 
 
-def _forest(a: np.ndarray, b: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Stars that join whatever of two arrays is linked."""
-    every, back = np.unique(np.concatenate([a, b]), return_inverse=True)
+def _forest(a: np.ndarray, b: np.ndarray, radius: int, total: int) -> tuple[np.ndarray, np.ndarray]:
+    """Stars that join whatever of two arrays is linked; a row is a fingerprint, its columns are the words."""
+    every, back = np.unique(np.concatenate([a, b]), axis=0, return_inverse=True)
+    back = back.ravel()
     at_a, at_b = back[: len(a)], back[len(a) :]
     label = np.arange(len(every))
+    first_a, first_b = a[:, 0].copy(), b[:, 0].copy()
     step = max(1, _AT_ONCE // max(1, len(b)))
     for k in range(0, len(a), step):
-        i, j = np.nonzero(np.bitwise_count(a[k : k + step, None] ^ b[None, :]) <= radius)
+        i, j = np.nonzero(np.bitwise_count(first_a[k : k + step, None] ^ first_b[None, :]) <= radius)
+        if a.shape[1] > 1:
+            differ = np.bitwise_count(a[k + i] ^ b[j]).sum(axis=1, dtype=np.int64)
+            i, j = i[differ <= total], j[differ <= total]
         u, v = at_a[k + i], at_b[j]
         u, v = u[u != v], v[u != v]
         while len(u):
@@ -108,20 +131,21 @@ def _forest(a: np.ndarray, b: np.ndarray, radius: int) -> tuple[np.ndarray, np.n
             if not open_.any():
                 break
             u, v, lu, lv = u[open_], v[open_], lu[open_], lv[open_]
-            least = np.minimum(lu, lv)
-            np.minimum.at(label, np.maximum(lu, lv), least)
+            np.minimum.at(label, np.maximum(lu, lv), np.minimum(lu, lv))
             while (label != label[label]).any():
                 label = label[label]
     own = np.flatnonzero(label != np.arange(len(every)))
     return every[own], every[label[own]]
 
 
-def links(distinct: DataFrame, radius: int, parts: int, tile: int = TILE) -> DataFrame:
-    """Edges (u, v) that connect whatever fingerprints are connected by links of ``radius``.
+def links(distinct: DataFrame, radius: int, parts: int, total: int | None = None, tile: int = TILE) -> DataFrame:
+    """Edges (u, v) that connect whatever fingerprints are connected by links.
 
     ``distinct`` has one row per fingerprint, in a column of that name.
     """
-    cells = distinct.select("fingerprint", _cell(F.col("fingerprint"), parts).alias("cell"))
+    kind = distinct.schema["fingerprint"].dataType.simpleString()
+    first = F.col("fingerprint") if kind == "bigint" else F.col("fingerprint")[0]
+    cells = distinct.select("fingerprint", _cell(first, parts).alias("cell"))
     sizes = cells.groupBy("cell").agg(F.ceil(F.count("*") / tile).alias("tiles"))
     tiles = (
         cells.join(sizes, "cell")
@@ -135,26 +159,45 @@ def links(distinct: DataFrame, radius: int, parts: int, tile: int = TILE) -> Dat
         F.col("cell").alias("own"), F.col("tile").alias("left"), F.col("prints").alias("a"), F.explode(steps).alias("step")
     ).withColumn("cell", F.col("own") + F.col("step"))
     pairs = left.join(tiles, "cell").where("step <> 0 or left <= tile").select("a", F.col("prints").alias("b"))
+    bound = radius if total is None else total
+
+    def rows(prints: pa.Scalar) -> np.ndarray:
+        values = prints.values
+        if kind == "bigint":
+            return values.to_numpy().view(np.uint64).reshape(-1, 1)
+        return values.flatten().to_numpy().view(np.uint64).reshape(len(values), -1)
+
+    def column(prints: np.ndarray) -> pa.Array:
+        signed = prints.view(np.int64)
+        return pa.array(signed[:, 0]) if kind == "bigint" else pa.array(signed.tolist(), pa.list_(pa.int64()))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b in zip(batch.column(0), batch.column(1)):
-                a = a.values.to_numpy().view(np.uint64)
-                b = b.values.to_numpy().view(np.uint64)
-                u, v = _forest(a, b, radius)
+                u, v = _forest(rows(a), rows(b), radius, bound)
                 if len(u):
-                    yield pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(v.view(np.int64))], names=["u", "v"])
+                    yield pa.RecordBatch.from_arrays([column(u), column(v)], names=["u", "v"])
 
-    return pairs.mapInArrow(compare, "u long, v long")
+    return pairs.mapInArrow(compare, f"u {kind}, v {kind}")
 
 
 def near_duplicates(
-    docs: DataFrame, words: int = 3, radius: int = 2, id: str = "doc_id", text: str = "text", parts: int = 4
+    docs: DataFrame,
+    words: int = 3,
+    radius: int = 2,
+    id: str = "doc_id",
+    text: str = "text",
+    parts: int = 4,
+    wide: int = 1,
+    total: int | None = None,
 ) -> DataFrame:
-    """One row per document: the id, ``fingerprint`` (signed 64 bits) and ``component_id``, the smallest id reachable."""
-    prints = materialise(fingerprints(docs, words, id, text), "fingerprints")
+    """One row per document: the id, ``fingerprint`` (signed words of 64 bits) and ``component_id``, the smallest id reachable.
+
+    ``parts`` population counts tell cells apart: 4 for a small radius, 1 for a large one.
+    """
+    prints = materialise(fingerprints(docs, words, id, text, wide), "fingerprints")
     distinct = prints.groupBy("fingerprint").agg(F.min(id).alias("least"))
-    roots = components(links(distinct.select("fingerprint"), radius, parts))
+    roots = components(links(distinct.select("fingerprint"), radius, parts, total))
     rooted = distinct.join(roots, distinct["fingerprint"] == roots["node"], "left").select(
         "fingerprint", "least", F.coalesce("root", "fingerprint").alias("root")
     )
