@@ -9,8 +9,8 @@ proximity queries read; the texts are not read again.
 A phrase query starts from the rarest term of the phrase, by the lengths of the
 posting lists in the segment, subtracts each term's offset in the phrase from its
 places, and intersects with the next rarest term until no place or no term is left.
-A proximity query does the same, but lets every other term stand up to ``slack``
-words away from its place.
+A proximity query does the same, but lets every term stand up to ``slack`` words away
+from its place.
 
 The terms of the benchmark are sent to every task. Their size is bounded: items are
 dealt into blocks of at most ``block_bytes`` of text, one index per block, and the
@@ -115,13 +115,15 @@ def _keep(starts: np.ndarray, other: np.ndarray, slack: int) -> np.ndarray:
 def matches(postings: dict[int, np.ndarray], phrase: list[int], slack: int = 0) -> np.ndarray:
     """The places where a phrase begins, by offset-adjusted lists from the rarest term on.
 
-    With ``slack`` the rarest term keeps its place and each other one may stand that far from its own.
+    With ``slack``, where a phrase could begin so that no term stands farther than that from its place.
     """
     lists = [(len(p), k, p) for k, t in enumerate(phrase) if (p := postings.get(t)) is not None]
     if len(lists) < len(phrase):
         return np.empty(0, np.int64)
     lists.sort(key=lambda x: x[:2])
     starts = lists[0][2] - lists[0][1]
+    if slack:
+        starts = np.unique((starts[:, None] + np.arange(-slack, slack + 1)).ravel())
     for _, k, p in lists[1:]:
         starts = _keep(starts, p - k, slack)
         if not len(starts):

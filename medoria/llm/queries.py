@@ -64,7 +64,7 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), slack=2)
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["last"] - s["first"] + 1)
     names = F.array_sort(F.transform("items", lambda x: x.cast("string")))
     return found.select(
@@ -74,7 +74,6 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("items").cast("long").alias("n_items"),
         sha256(F.array_join(names, ",")).alias("items_sha256"),
         (n_hit > 0).alias("contaminated"),
-        F.size("near").cast("long").alias("n_near_items"),
     )
 
 
