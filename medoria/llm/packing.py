@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import base64
 import re
+from bisect import bisect_left
 from collections import deque
 from collections.abc import Iterator
 
@@ -89,9 +90,10 @@ def boundaries(ends: np.ndarray, free: np.ndarray, every: int = FORCED_EVERY) ->
 
 
 def best_cuts(places: np.ndarray, penalties: np.ndarray, capacity: int = CAPACITY) -> list[int]:
-    """The cheapest cuts of a stream that ends at the last place, that place included.
+    """The cheapest cuts of a stream that goes on after the last place.
 
-    Neighbouring places are at most ``capacity`` apart. Of equal costs the longer window wins.
+    What lies behind the last cut is an open window, of ``capacity`` at most, that costs nothing
+    yet. Neighbouring places are at most ``capacity`` apart.
     """
     x = [0, *places.tolist()]
     pen = [0.0, *penalties.tolist()]
@@ -107,7 +109,8 @@ def best_cuts(places: np.ndarray, penalties: np.ndarray, capacity: int = CAPACIT
         while queue and queue[-1][0] > g:
             queue.pop()
         queue.append((g, j))
-    cuts, j = [], len(x) - 1
+    near = range(len(x) - 1, bisect_left(x, x[-1] - capacity) - 1, -1)
+    cuts, j = [], min(near, key=f.__getitem__)
     while j:
         cuts.append(x[j])
         j = back[j]
@@ -178,10 +181,10 @@ def pack(
                 held.append((name, ids, 0, len(ids)))
                 size += len(ids)
                 if size >= plan_tokens:
-                    yield emit(plan()[:-1])
+                    yield emit(plan())
         if held:
             if size > capacity:
-                yield emit(plan()[:-1])
+                yield emit(plan())
             powers = [1 << k for k in range(size.bit_length() - 1, -1, -1) if size >> k & 1]
             yield emit(np.cumsum(powers).tolist())
 
