@@ -1,0 +1,107 @@
+from __future__ import annotations
+
+import random
+
+import xxhash
+
+from medoria.llm import simhash
+from medoria.llm.components import components
+
+SPACE = " \t\n\r\x0b\x0c"
+
+
+def fingerprint(text):
+    """By the letter of the contract."""
+    words, word = [], ""
+    for c in (text or "") + " ":
+        if c in SPACE:
+            words += [word] if word else []
+            word = ""
+        else:
+            word += chr(ord(c) + 32) if "A" <= c <= "Z" else c
+    shingles = [" ".join(words[k : k + 3]) for k in range(len(words) - 2)] if len(words) >= 3 else [" ".join(words)] * bool(words)
+    hashes = [xxhash.xxh64(s.encode(), seed=42).intdigest() for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def groups(ids, prints, near):
+    root = {i: i for i in ids}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for k, a in enumerate(ids):
+        for b in ids[:k]:
+            if near(prints[a], prints[b]):
+                x, y = sorted((find(a), find(b)))
+                root[y] = x
+    return {i: find(i) for i in ids}
+
+
+def test_against_brute_force(spark):
+    draw = random.Random(3)
+    base = [f"W{draw.randint(0, 300)}Ä" for _ in range(120)]
+    texts = [None, "", " \n ", "one", "one two", "ONE two", "a b c", "x " * 50]
+    for _ in range(60):
+        words = list(base)
+        for _ in range(draw.randint(0, 3)):
+            words[draw.randrange(len(words))] = "other"
+        texts.append(draw.choice(SPACE).join(words))
+    docs = spark.createDataFrame([(k, t, 1) for k, t in enumerate(texts)], "doc_id long, text string, fingerprint int")
+    found = {r["doc_id"]: r for r in simhash.near_duplicates(docs.repartition(3)).collect()}
+    prints = {k: fingerprint(t) for k, t in enumerate(texts)}
+    assert {k: r["fingerprint"] % 2**64 for k, r in found.items()} == prints
+    expected = groups(list(prints), prints, lambda a, b: (a ^ b).bit_count() <= 2)
+    assert {k: r["component_id"] for k, r in found.items()} == expected
+    assert len(set(expected.values())) < len(texts) - 20
+
+
+def test_every_link_is_found(spark):
+    draw = random.Random(4)
+    prints = [draw.getrandbits(64) for _ in range(40)]
+    for p in list(prints):
+        for _ in range(4):
+            for _ in range(draw.randint(1, 4)):
+                p ^= 1 << draw.randrange(64)
+            prints.append(p)
+    prints = sorted(set(prints))
+    signed = [(p - (1 << 64) if p >> 63 else p,) for p in prints]
+    distinct = spark.createDataFrame(signed, "fingerprint long")
+    expected = groups(prints, dict(zip(prints, prints)), lambda a, b: (a ^ b).bit_count() <= 3)
+    for parts, tile in ((4, 4096), (1, 7), (2, 30)):
+        edges = simhash.links(distinct, 3, parts, tile=tile)
+        found = {r["node"] % 2**64: r["root"] % 2**64 for r in components(edges).collect()}
+        same = {}
+        for p in prints:
+            same.setdefault(found.get(p, p), set()).add(p)
+        wanted = {}
+        for p in prints:
+            wanted.setdefault(expected[p], set()).add(p)
+        assert sorted(map(sorted, same.values())) == sorted(map(sorted, wanted.values()))
+
+
+def test_wide_fingerprints(spark):
+    draw = random.Random(5)
+    words = [f"w{draw.randint(0, 10**6)}" for _ in range(400)]
+    near = [*words[:200], "x", *words[201:]]
+    far = [f"w{draw.randint(0, 10**6)}" for _ in range(400)]
+    docs = spark.createDataFrame([(3, " ".join(words)), (2, " ".join(near)), (1, " ".join(far))], "doc_id long, text string")
+    found = simhash.near_duplicates(docs, words=5, radius=18, parts=1, wide=4, total=50).collect()
+    assert {r["doc_id"]: r["component_id"] for r in found} == {3: 2, 2: 2, 1: 1}
+
+
+def test_nulls_repeats_and_no_rows(spark):
+    docs = spark.createDataFrame([(None, "a b c"), (5, "a b c"), (5, "a b c"), (None, None)], "doc_id long, text string")
+    found = simhash.near_duplicates(docs).collect()
+    assert sorted(((r["doc_id"], r["component_id"]) for r in found), key=str) == [(5, 5), (5, 5), (None, 5), (None, None)]
+    assert simhash.near_duplicates(docs.limit(0)).count() == 0
+
+
+def test_components_of_a_path_and_a_star(spark):
+    path = [(k, k + 1) for k in range(40)]
+    star = [(100, k) for k in range(101, 130)]
+    edges = spark.createDataFrame([*path, *star, (7, 7), (200, 200)], "u long, v long")
+    found = {r["node"]: r["root"] for r in components(edges).collect()}
+    assert found == {**{k: 0 for k in range(41)}, **{k: 100 for k in range(100, 130)}}

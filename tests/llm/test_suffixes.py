@@ -1,0 +1,86 @@
+from __future__ import annotations
+
+import random
+from collections import Counter
+
+import pytest
+
+from medoria.llm import suffixes
+
+
+def covered(texts, n=suffixes.LENGTH):
+    """What brute force removes: a mark per byte."""
+    seen = Counter(t[i : i + n] for t in texts for i in range(len(t) - n + 1))
+    out = []
+    for t in texts:
+        marks = [False] * len(t)
+        for i in range(len(t) - n + 1):
+            if seen[t[i : i + n]] > 1:
+                marks[i : i + n] = [True] * n
+        out.append(marks)
+    return out
+
+
+def awkward(seed):
+    draw = random.Random(seed)
+    letters = "ab" if seed % 2 else "abcdéfgß 日\n"
+    base = "".join(draw.choice(letters) for _ in range(2500))
+    texts = []
+    for _ in range(20):
+        parts = []
+        for _ in range(draw.randint(0, 4)):
+            k = draw.randint(0, 2000)
+            own = "".join(draw.choice(letters) for _ in range(draw.randint(1, 300)))
+            parts.append(base[k : k + draw.randint(50, 500)] if draw.random() < 0.6 else own)
+        texts.append("".join(parts))
+    return [*texts, "x" * 700, "ab" * 300, "", None, texts[0], texts[1][:150]]
+
+
+@pytest.fixture(params=["plain", "frequent names", "small blocks", "small units"])
+def way(request, monkeypatch):
+    if request.param == "frequent names":
+        monkeypatch.setattr(suffixes, "HOT_SHARE", -1.0)
+        monkeypatch.setattr(suffixes, "max", lambda *a: 0 if a[0] == 20 else max(*a), raising=False)
+    if request.param == "small blocks":
+        monkeypatch.setattr(suffixes, "BLOCK_BYTES", 700)
+    if request.param == "small units":
+        monkeypatch.setattr(suffixes, "UNIT", 1 << 9)
+        monkeypatch.setattr(suffixes, "_PLACE", suffixes.np.uint64((1 << 10) - 1))
+    return request.param
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_equals_brute_force(spark, way, seed):
+    texts = awkward(seed)
+    docs = spark.createDataFrame([(k, t, "clash") for k, t in enumerate(texts)], "doc_id long, text string, spans string")
+    found = suffixes.remove_repeats(docs.repartition(3), bucket_bytes=4000).collect()
+    raw = [(t or "").encode() for t in texts]
+    marks = covered(raw)
+    assert sorted(r["doc_id"] for r in found) == list(range(len(texts)))
+    for r in found:
+        own, t = marks[r["doc_id"]], raw[r["doc_id"]]
+        assert bytes(r["kept"]) == bytes(b for b, m in zip(t, own) if not m) and r["n_bytes"] == len(t)
+        spans = [False] * len(t)
+        for s in r["spans"]:
+            spans[s["first"] : s["last"] + 1] = [True] * (s["last"] - s["first"] + 1)
+        assert spans == own
+        assert all(a["last"] + 1 < b["first"] for a, b in zip(r["spans"], r["spans"][1:]))
+
+
+def test_whole_characters(spark):
+    same = "é" * 150
+    docs = spark.createDataFrame([(1, "ü" + same + "ö"), (2, "ö" + same + "ü")], "doc_id long, text string")
+    kept = {r["doc_id"]: bytes(r["kept"]).decode() for r in suffixes.remove_repeats(docs, whole_characters=True).collect()}
+    assert kept == {1: "", 2: ""} or all(same not in k for k in kept.values())
+
+
+def test_copies_nulls_and_no_rows(spark):
+    text = "".join(chr(97 + k * k % 23) for k in range(300))
+    docs = spark.createDataFrame([(1, text), (1, text), (None, None)], "doc_id long, text string")
+    rows = [(r["doc_id"], bytes(r["kept"])) for r in suffixes.remove_repeats(docs).collect()]
+    assert sorted(rows, key=str) == [(1, b""), (1, b""), (None, b"")]
+    assert suffixes.remove_repeats(docs.limit(0)).count() == 0
+
+
+def test_cover_has_every_difference():
+    assert {(a - b) % suffixes.V for a in suffixes.COVER for b in suffixes.COVER} == set(range(suffixes.V))
