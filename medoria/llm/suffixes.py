@@ -8,6 +8,9 @@ removed. The suffixes of all texts are not sorted at once:
    have equal names, so a bucket of names holds all suffixes that can be equal.
    Neighbouring suffixes mostly share a name, and such a run travels as one piece
    of text. Equal runs of a task travel once, with the places they stand for.
+   Only runs whose name stands in two places travel. Which names do is a bitmap of
+   fixed size (SEEN_BITS), which a first pass over the texts fills; names that share a
+   bit travel for nothing, and none is lost.
 2. *Cover sample.* In a bucket's text the positions of a difference cover modulo V
    are sampled: any two positions i, j have a shift d < V with i + d and j + d both
    sampled. The samples are ranked by their next LENGTH - V + 1 bytes, beforehand.
@@ -16,8 +19,9 @@ removed. The suffixes of all texts are not sorted at once:
    are, d bytes on, and so are the d bytes before and the few after. So a tie costs
    one look-up and V - 1 bytes, and a bucket's memory is bounded.
 
-A bucket is one group of a shuffle, its number follows the bytes of the input. Names
-that a bounded sample of texts shows to be frequent do not fill a bucket: their
+A bucket holds some whole names. Buckets are the groups of a shuffle, as many as the
+bytes of the input ask for, and inside a group one block of BLOCK_BYTES is sorted at a
+time. Names that a bounded sample of texts shows to be frequent do not fill a bucket: their
 suffixes are dealt by the key itself, each as a pair of 64-bit numbers.
 
 What is removed depends on a text alone, so results are joined back by two 64-bit
@@ -31,7 +35,7 @@ character; an empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -48,8 +52,11 @@ SHORT = 25
 #: a difference cover: every number modulo V is a difference of two of these
 V = 31
 COVER = (1, 5, 11, 24, 25, 27)
-UNIT = 1 << 21
-BUCKET_BYTES = 24 << 20
+UNIT = 1 << 20
+BUCKET_BYTES = 16 << 20
+BLOCK_BYTES = 1 << 20
+SEEN_BITS = 1 << 28
+SEEN_PARTS = 256
 HOT_SAMPLE = 2000
 HOT_SHARE = 0.005
 
@@ -67,18 +74,16 @@ def _join(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return x
 
 
-def _key(known: dict[int, np.ndarray], n: int) -> np.ndarray:
-    """The key of the n bytes at every position."""
-    if n not in known:
-        half = max(k for k in (1, 2, 4, 8, 16, SHORT, 2 * SHORT, 4 * SHORT) if k < n)
-        h = _key(known, half)
-        known[n] = _join(h[: len(h) - (n - half)], h[n - half :])
-    return known[n]
+def grow(key: np.ndarray, have: int, n: int) -> np.ndarray:
+    """The key of the n bytes at every position, from that of fewer."""
+    while have < n:
+        more = min(have, n - have)
+        key, have = _join(key[: len(key) - more], key[more:]), have + more
+    return key
 
 
-def keys(text: np.ndarray, *lengths: int) -> list[np.ndarray]:
-    known = {1: _BYTE[text]}
-    return [_key(known, n) for n in lengths]
+def keys(text: np.ndarray, n: int) -> np.ndarray:
+    return grow(_BYTE[text], 1, n)
 
 
 def _least(x: np.ndarray, width: int) -> np.ndarray:
@@ -91,11 +96,11 @@ def _least(x: np.ndarray, width: int) -> np.ndarray:
 
 
 def runs(text: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(first, last, name, key of each position): the runs of suffixes with one name, of texts that end at ``ends``."""
+    """(first, last, name) of the runs of suffixes with one name, of texts that end at ``ends``, and the short strings' keys."""
     none = np.empty(0, np.int64)
     if len(text) < LENGTH:
-        return none, none, none.astype(np.uint64), none.astype(np.uint64)
-    short, whole = keys(text, SHORT, LENGTH)
+        return (none, none, *[none.astype(np.uint64)] * 2)
+    short = keys(text, SHORT)
     packed = (short & ~_PLACE) | np.arange(len(short), dtype=np.uint64)
     anchor = (_least(packed, LENGTH - SHORT + 1) & _PLACE).astype(np.int64)
     begins = np.concatenate([[0], ends[:-1]])
@@ -105,11 +110,11 @@ def runs(text: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
     full[ends[long] - LENGTH + 1] -= 1
     at = np.flatnonzero(np.cumsum(full[:-1]) > 0)
     if not len(at):
-        return none, none, none.astype(np.uint64), whole
+        return none, none, none.astype(np.uint64), short
     own = anchor[at]
     new = np.flatnonzero(np.concatenate([[True], (own[1:] != own[:-1]) | (at[1:] != at[:-1] + 1)]))
     last = np.concatenate([new[1:], [len(at)]]) - 1
-    return at[new], at[last], short[own[new]], whole
+    return at[new], at[last], short[own[new]], short
 
 
 def _spread(first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -142,7 +147,7 @@ for _d in range(V - 1, -1, -1):
 def cover_ranks(text: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """At the positions of the cover, a rank of the next LENGTH - V + 1 bytes: equal only if these are. Elsewhere -1."""
     n = LENGTH - V + 1
-    (key,) = keys(text, n)
+    key = keys(text, n)
     inside = np.repeat(ends, np.diff(np.concatenate([[0], ends])))[: len(key)]
     at = np.flatnonzero(np.isin(np.arange(len(key)) % V, COVER) & (np.arange(len(key)) + n <= inside))
     order = at[np.argsort(key[at], kind="stable")]
@@ -166,7 +171,7 @@ def repeated(text: np.ndarray, ends: np.ndarray, at: np.ndarray) -> np.ndarray:
     out = np.zeros(len(at), bool)
     if len(at) < 2:
         return out
-    (key,) = keys(text, LENGTH)
+    key = keys(text, LENGTH)
     order = np.argsort(key[at], kind="stable")
     i, j = at[order[:-1]], at[order[1:]]
     tied = np.flatnonzero(key[i] == key[j])
@@ -187,84 +192,139 @@ def repeated(text: np.ndarray, ends: np.ndarray, at: np.ndarray) -> np.ndarray:
 SPAN = "k1 long, k2 long, first long, last long"
 
 
-def _cut_up(buckets: int, hot: np.ndarray):
-    """The task function that sends every run of suffixes to its bucket."""
+class Unit:
+    """Some pieces of texts in one array: where they end, whose they are and where in their text they begin."""
+
+    def __init__(self, pieces: list[tuple[int, int, int, bytes]]):
+        self.text = np.frombuffer(b"".join(p[3] for p in pieces), np.uint8)
+        self.ends = np.cumsum([len(p[3]) for p in pieces])
+        self.begins = np.concatenate([[0], self.ends[:-1]])
+        self.keys = np.array([p[:2] for p in pieces], np.int64).reshape(-1, 2)
+        self.offsets = np.array([p[2] for p in pieces], np.int64)
+
+
+def units(batches: Iterator[pa.RecordBatch]) -> Iterator[Unit]:
+    """The texts of batches of (k1, k2, text), at most UNIT bytes at a time."""
+    pieces: list[tuple[int, int, int, bytes]] = []
+    size = 0
+    for batch in batches:
+        for k1, k2, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+            value = value.as_py()
+            # a text longer than a unit comes in pieces that overlap by all but one byte of a string
+            for k in range(0, max(1, len(value) - LENGTH + 1), UNIT - LENGTH):
+                piece = value[k : k + UNIT - 1]
+                if size + len(piece) > UNIT and pieces:
+                    yield Unit(pieces)
+                    pieces, size = [], 0
+                pieces.append((k1, k2, k, piece))
+                size += len(piece)
+    if pieces:
+        yield Unit(pieces)
+
+
+def _slot(names: np.ndarray) -> np.ndarray:
+    """The bit of each name in the bitmap."""
+    return (_join(names, names) >> np.uint64(7)) % np.uint64(SEEN_BITS)
+
+
+def seen_twice(texts: DataFrame) -> np.ndarray:
+    """A bitmap in which the bits of all names are set that stand in two places; SEEN_BITS / 8 bytes."""
+    width = SEEN_BITS // SEEN_PARTS
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for unit in units(batches):
+            names, count = np.unique(runs(unit.text, unit.ends)[2], return_counts=True)
+            slot = _slot(names)
+            order = np.argsort(slot, kind="stable")
+            names, count, part = names[order], count[order], (slot[order] // np.uint64(width)).astype(np.int64)
+            cuts = np.searchsorted(part, np.arange(SEEN_PARTS + 1))
+            used = np.flatnonzero(np.diff(cuts))
+            # a name that stands in two places of the unit is sent twice
+            blobs = [np.repeat(names[a:b], np.minimum(count[a:b], 2)).tobytes() for a, b in zip(cuts[used], cuts[used + 1])]
+            yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(blobs, pa.binary())], names=["part", "names"])
+
+    def mark(t: pa.Table) -> pa.Table:
+        names = np.sort(np.frombuffer(b"".join(t.column("names").to_pylist()), "<u8"))
+        twice = np.unique(names[1:][names[1:] == names[:-1]])
+        bits = np.zeros(width, np.uint8)
+        bits[(_slot(twice) % np.uint64(width)).astype(np.int64)] = 1
+        packed = zstandard.compress(np.packbits(bits).tobytes(), 1)
+        return pa.table({"part": t.column("part")[:1], "bits": pa.array([packed], pa.binary())})
+
+    sent = texts.mapInArrow(send, "part long, names binary")
+    marked = sent.groupBy("part").applyInArrow(mark, "part long, bits binary").collect()
+    out = np.zeros(SEEN_BITS // 8, np.uint8)
+    for row in marked:
+        begin = row["part"] * width // 8
+        out[begin : begin + width // 8] = np.frombuffer(zstandard.decompress(bytes(row["bits"])), np.uint8)
+    return out
+
+
+def _is_set(bits: np.ndarray, names: np.ndarray) -> np.ndarray:
+    slot = _slot(names)
+    return (bits[(slot >> np.uint64(3)).astype(np.int64)] >> (7 - (slot & np.uint64(7))).astype(np.uint8)) & 1 == 1
+
+
+def _cut_up(buckets: int, hot: np.ndarray, seen: Callable[[], np.ndarray]):
+    """The task function that sends every run of suffixes, whose name ``seen`` holds, to its bucket."""
+
+    def send(text, begins, owner_keys, offsets, first, last, name, key, single) -> Iterator[pa.RecordBatch]:
+        dealt = _join(name, key[first]) if single else _join(name, name)
+        bucket = (dealt % np.uint64(buckets)).astype(np.int64)
+        order = np.lexsort((last - first, key[last], key[first], bucket))
+        first, last, name, bucket = first[order], last[order], name[order], bucket[order]
+        new = np.ones(len(first), bool)
+        new[1:] = (
+            (bucket[1:] != bucket[:-1])
+            | (key[first[1:]] != key[first[:-1]])
+            | (key[last[1:]] != key[last[:-1]])
+            | (last[1:] - first[1:] != last[:-1] - first[:-1])
+        )
+        kind = np.cumsum(new) - 1
+        piece = np.searchsorted(begins, first, side="right") - 1
+        places = first - begins[piece] + offsets[piece]
+        cuts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]])) if len(bucket) else []
+        rows = []
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            own = np.arange(a, b)[new[a:b]]
+            sizes = (last[own] - first[own] + LENGTH).astype("<i8")
+            owners = np.concatenate([owner_keys[piece[a:b]], places[a:b, None], kind[a:b, None] - kind[a]], axis=1)
+            shared = b"" if single else text[_spread(first[own], sizes)].tobytes()
+            rows.append(
+                (
+                    int(bucket[a]),
+                    zstandard.compress(shared, 1),
+                    sizes.tobytes(),
+                    name[own].tobytes(),
+                    key[first[own]].tobytes() if single else b"",
+                    zstandard.compress(np.ascontiguousarray(owners.T).astype("<i8").tobytes(), 1),
+                    b"1" if single else b"0",
+                )
+            )
+        if rows:
+            columns = list(zip(*rows))
+            kinds = [pa.int64()] + [pa.binary()] * 6
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(columns, kinds)],
+                names=["bucket", "texts", "sizes", "names", "keys", "owners", "single"],
+            )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces: list[tuple[int, int, int, bytes]] = []
-        size = 0
-
-        def unit() -> Iterator[pa.RecordBatch]:
-            nonlocal pieces, size
-            text = np.frombuffer(b"".join(p[3] for p in pieces), np.uint8)
-            ends = np.cumsum([len(p[3]) for p in pieces])
-            begins = np.concatenate([[0], ends[:-1]])
-            owner_keys = np.array([p[:2] for p in pieces], np.int64).reshape(-1, 2)
-            offsets = np.array([p[2] for p in pieces], np.int64)
-            pieces, size = [], 0
-            first, last, name, key = runs(text, ends)
+        bits = seen()
+        for unit in units(batches):
+            first, last, name, short = runs(unit.text, unit.ends)
+            twice = _is_set(bits, name)
+            first, last, name = first[twice], last[twice], name[twice]
             if not len(first):
-                return
+                continue
+            key = grow(short, SHORT, LENGTH)
+            own = (unit.text, unit.begins, unit.keys, unit.offsets)
             is_hot = np.isin(name, hot)
-            yield from send(text, begins, owner_keys, offsets, first[~is_hot], last[~is_hot], name[~is_hot], key, False)
+            yield from send(*own, first[~is_hot], last[~is_hot], name[~is_hot], key, False)
             if is_hot.any():
                 n = last[is_hot] - first[is_hot] + 1
                 each = _spread(first[is_hot], n)
-                yield from send(text, begins, owner_keys, offsets, each, each, np.repeat(name[is_hot], n), key, True)
-
-        def send(text, begins, owner_keys, offsets, first, last, name, key, single) -> Iterator[pa.RecordBatch]:
-            dealt = _join(name, key[first]) if single else _join(name, name)
-            bucket = (dealt % np.uint64(buckets)).astype(np.int64)
-            order = np.lexsort((last - first, key[last], key[first], bucket))
-            first, last, name, bucket = first[order], last[order], name[order], bucket[order]
-            new = np.ones(len(first), bool)
-            new[1:] = (
-                (bucket[1:] != bucket[:-1])
-                | (key[first[1:]] != key[first[:-1]])
-                | (key[last[1:]] != key[last[:-1]])
-                | (last[1:] - first[1:] != last[:-1] - first[:-1])
-            )
-            kind = np.cumsum(new) - 1
-            piece = np.searchsorted(begins, first, side="right") - 1
-            places = first - begins[piece] + offsets[piece]
-            cuts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]])) if len(bucket) else []
-            rows = []
-            for a, b in zip(cuts[:-1], cuts[1:]):
-                own = np.arange(a, b)[new[a:b]]
-                sizes = (last[own] - first[own] + LENGTH).astype("<i8")
-                owners = np.concatenate([owner_keys[piece[a:b]], places[a:b, None], kind[a:b, None] - kind[a]], axis=1)
-                shared = b"" if single else text[_spread(first[own], sizes)].tobytes()
-                rows.append(
-                    (
-                        int(bucket[a]),
-                        zstandard.compress(shared, 1),
-                        sizes.tobytes(),
-                        name[own].tobytes(),
-                        key[first[own]].tobytes() if single else b"",
-                        zstandard.compress(np.ascontiguousarray(owners.T).astype("<i8").tobytes(), 1),
-                        b"1" if single else b"0",
-                    )
-                )
-            if rows:
-                columns = list(zip(*rows))
-                kinds = [pa.int64()] + [pa.binary()] * 6
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(columns, kinds)],
-                    names=["bucket", "texts", "sizes", "names", "keys", "owners", "single"],
-                )
-
-        for batch in batches:
-            for k1, k2, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-                value = value.as_py()
-                # a text longer than a unit is sent in pieces that overlap by all but one byte of a string
-                for k in range(0, max(1, len(value) - LENGTH + 1), UNIT - LENGTH):
-                    piece = value[k : k + UNIT - 1]
-                    if size + len(piece) > UNIT and pieces:
-                        yield from unit()
-                    pieces.append((k1, k2, k, piece))
-                    size += len(piece)
-        if pieces:
-            yield from unit()
+                yield from send(*own, each, each, np.repeat(name[is_hot], n), key, True)
 
     return run
 
@@ -276,8 +336,8 @@ def _sort_bucket(t: pa.Table) -> pa.Table:
     """The repeated spans of the suffixes in one bucket."""
     found: list[np.ndarray] = []
 
-    def spans(owner: np.ndarray, marks: np.ndarray, begin: np.ndarray, sizes: np.ndarray) -> None:
-        """Runs of marked suffixes of each owner's piece; suffixes of piece k are marks[begin[k]:][:sizes[k]]."""
+    def spans(owner: np.ndarray, marks: np.ndarray, begin: np.ndarray) -> None:
+        """Runs of marked suffixes of each owner's piece; the suffixes of piece k are those from begin[k] on."""
         edge = np.zeros(len(marks) + 1, bool)
         edge[begin] = True
         opens = np.flatnonzero(marks & (edge[:-1] | ~np.concatenate([[False], marks[:-1]])))
@@ -314,32 +374,50 @@ def _sort_bucket(t: pa.Table) -> pa.Table:
             marks = copies > 1
             marks[order[1:][same]] = True
             marks[order[:-1][same]] = True
-            spans(owner, marks, np.arange(len(sizes)), np.ones(len(sizes), np.int64))
+            spans(owner, marks, np.arange(len(sizes)))
             continue
         if not maybe.any():
             continue
-        # only pieces whose name is there twice go on
-        texts = []
-        kept, at = np.flatnonzero(maybe), 0
-        for r in rows:
-            n = len(r["sizes"]) // 8
-            own = maybe[at : at + n]
-            if own.any():
-                raw = np.frombuffer(zstandard.decompress(r["texts"]), np.uint8)
-                texts.append(raw[np.repeat(own, sizes[at : at + n])])
-            at += n
-        text = np.concatenate(texts)
-        sizes = sizes[kept]
-        place = np.full(len(maybe), -1, np.int64)
-        place[kept] = np.arange(len(kept))
-        owner = owner[:, maybe[owner[3]]]
-        owner[3] = place[owner[3]]
-        ends = np.cumsum(sizes)
-        n = sizes - LENGTH + 1
-        suffixes = _spread(ends - sizes, n)
-        marks = repeated(text, ends, suffixes) | np.repeat(copies[kept] > 1, n)
-        spans(owner, marks, np.cumsum(n) - n, n)
+        # only pieces whose name is there twice go on, name by name
+        texts = np.concatenate([np.frombuffer(zstandard.decompress(r["texts"]), np.uint8) for r in rows])
+        begins = np.cumsum(sizes) - sizes
+        kept = np.flatnonzero(maybe)
+        kept = kept[np.argsort(names[kept], kind="stable")]
+        owner = owner[:, np.argsort(owner[3], kind="stable")]
+        owned = np.concatenate([[0], np.cumsum(copies)])
+        upto = np.cumsum(sizes[kept])
+        borders = np.flatnonzero(names[kept][1:] != names[kept][:-1]) + 1
+        begin = 0
+        while begin < len(kept):
+            base = upto[begin] - sizes[kept[begin]]
+            full = np.searchsorted(upto, base + BLOCK_BYTES, side="right")
+            # the last border before the block is full, or else the next one
+            k = np.searchsorted(borders, full, side="right")
+            end = int(borders[k - 1]) if k and borders[k - 1] > begin else int(borders[k]) if k < len(borders) else len(kept)
+            if full >= len(kept):
+                end = len(kept)
+            own = kept[begin:end]
+            begin = end
+            text = texts[_spread(begins[own], sizes[own])]
+            ends = np.cumsum(sizes[own])
+            n = sizes[own] - LENGTH + 1
+            marks = repeated(text, ends, _spread(ends - sizes[own], n)) | np.repeat(copies[own] > 1, n)
+            if marks.any():
+                of = owner[:, _spread(owned[own], copies[own])].copy()
+                of[3] = np.repeat(np.arange(len(own)), copies[own])
+                spans(of, marks, np.cumsum(n) - n)
     out = np.concatenate(found, axis=1) if found else np.empty((4, 0), np.int64)
+    # copies of a text have its keys, so their spans are one; spans that meet are one as well
+    out = out[:, np.lexsort((-out[3], out[2], out[1], out[0]))]
+    if out.shape[1]:
+        other = np.any(out[:2, 1:] != out[:2, :-1], axis=0)
+        text = np.concatenate([[0], np.cumsum(other)])
+        # later texts lie beyond all spans of earlier ones, so one running maximum serves all
+        far = text * (int(out[3].max()) + 2)
+        reach = np.maximum.accumulate(out[3] + far)
+        opens = np.concatenate([[True], out[2, 1:] + far[1:] > reach[:-1] + 1])
+        closes = np.concatenate([opens[1:], [True]])
+        out = np.stack([out[0, opens], out[1, opens], out[2, opens], (reach - far)[closes]])
     return pa.table({name: pa.array(column) for name, column in zip(("k1", "k2", "first", "last"), out)})
 
 
@@ -371,13 +449,23 @@ def repeated_spans(texts: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> DataFr
     total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     # a byte is sent about 3.3 times
     buckets = max(1, int(3.3 * total // bucket_bytes))
-    sent = texts.mapInArrow(_cut_up(buckets, _hot_names(texts)), SENT)
+    seen = texts.sparkSession.sparkContext.broadcast(seen_twice(texts))  # SEEN_BITS, whatever the input
+    sent = texts.mapInArrow(_cut_up(buckets, _hot_names(texts), lambda: seen.value), SENT)
     spans = sent.groupBy("bucket").applyInArrow(_sort_bucket, SPAN).distinct()
     return spans.groupBy("k1", "k2").agg(F.sort_array(F.collect_list(F.struct("first", "last"))).alias("spans"))
 
 
-def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
-    """Per row: the id, ``n_bytes``, ``spans`` (first, last byte of each maximal removed run) and ``kept`` (the other bytes)."""
+def remove_repeats(
+    docs: DataFrame,
+    id: str = "doc_id",
+    text: str = "text",
+    whole_characters: bool = False,
+    bucket_bytes: int = BUCKET_BYTES,
+) -> DataFrame:
+    """Per row: the id, ``n_bytes``, ``spans`` (first, last byte of each maximal removed run) and ``kept`` (the other bytes).
+
+    With ``whole_characters`` a character goes whole where only some of its bytes would.
+    """
     value = F.coalesce(F.col(text), F.lit("")).cast("binary")
     rows = docs.select(F.col(id).alias("id"), value.alias("text")).select(
         "id", F.xxhash64("text").alias("k1"), F.xxhash64(F.lit("again"), "text").alias("k2"), "text"
@@ -392,6 +480,11 @@ def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", buck
             for value, spans in zip(batch.column(1), batch.column(2)):
                 value, merged = value.as_py(), []
                 for s in spans.as_py() or ():
+                    if whole_characters:
+                        while s["first"] and value[s["first"]] & 0xC0 == 0x80:
+                            s["first"] -= 1
+                        while s["last"] + 1 < len(value) and value[s["last"] + 1] & 0xC0 == 0x80:
+                            s["last"] += 1
                     if merged and s["first"] <= merged[-1]["last"] + 1:
                         merged[-1]["last"] = max(merged[-1]["last"], s["last"])
                     else:
