@@ -9,6 +9,8 @@ from dataclasses import dataclass, field
 
 @dataclass(frozen=True)
 class Settings:
+    """``keep_generations`` contents of a gold table stay; ``output_files`` sizes silver by its rows."""
+
     source_root: str
     output_root: str
     file_format: str = "csv"
@@ -17,6 +19,8 @@ class Settings:
     as_of: dt.date = field(default_factory=dt.date.today)
     survey_year: int = 2020
     relocate_to: str | None = None
+    keep_generations: int = 2
+    output_files: bool = False
 
     def __post_init__(self) -> None:
         if not self.source_root or not self.output_root:
@@ -30,6 +34,10 @@ class Settings:
     def gold_root(self) -> str:
         return f"{self.output_root.rstrip('/')}/gold"
 
+    @property
+    def database_root(self) -> str:
+        return f"{self.output_root.rstrip('/')}/{self.database}.db"
+
     @classmethod
     def from_env(cls, **given) -> "Settings":
         """SOURCE_FOLDER, FILE_EXTENSION and TARGET_BUCKET unless given as arguments."""

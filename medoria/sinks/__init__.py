@@ -9,21 +9,24 @@ from medoria.sinks.catalog import (
     register_all,
     tables_in,
 )
-from medoria.sinks.checks import SameLocation, fingerprint, relocate, same_rows, verify_tables
-from medoria.sinks.gold import replace_table
+from medoria.sinks.checks import fingerprint, relocate, same_rows, verify_tables
+from medoria.sinks.generations import generations, newest
+from medoria.sinks.gold import read_table, replace_table
 from medoria.sinks.report import Outcome, as_report, failed, summary
 from medoria.sinks.silver import write_silver
 
 __all__ = [
     "Outcome",
-    "SameLocation",
     "as_report",
     "create_if_absent",
     "databases",
     "ensure_database",
     "failed",
     "fingerprint",
+    "generations",
     "location_of",
+    "newest",
+    "read_table",
     "register",
     "register_all",
     "relocate",

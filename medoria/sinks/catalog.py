@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from medoria.sinks.report import FAILED, OK, Outcome
+from medoria.files import one_spelling
+from medoria.sinks.generations import layout, new_generation, newest
+from medoria.sinks.report import EMPTY, FAILED, OK, Outcome
 from medoria.specs import STAR, TableSpec
 
 
@@ -57,21 +61,16 @@ def create_if_absent(
     """
     if spark.catalog.tableExists(f"{database}.{spec.name}"):
         return False
-    location = f"{root.rstrip('/')}/{spec.name}"
-    empty = spark.createDataFrame([], spec.schema)
-    empty.write.format(table_format).mode("ignore").partitionBy(*spec.declared_by).save(location)
-    return register(
-        spark, database, spec.name, location, spec.schema, spec.declared_by, table_format
-    )
-
-
-def _partitions_of(files: DataFrame) -> list[str]:
-    """Partition columns as the path of one file shows them."""
-    one = files.select("_metadata.file_path").first()
-    if one is None:
-        return []
-    names = [folder.split("=")[0] for folder in one["file_path"].split("/") if "=" in folder]
-    return [name for name in names if name in files.columns]
+    folder = f"{root.rstrip('/')}/{spec.name}"
+    location = newest(spark, folder)
+    if location is None:
+        location, partitions = new_generation(folder), list(spec.declared_by)
+        empty = spark.createDataFrame([], spec.schema)
+        empty.write.format(table_format).mode("errorifexists").partitionBy(*partitions).save(location)
+    else:
+        column = layout(spark, location)
+        partitions = [column] if column else []
+    return register(spark, database, spec.name, location, spec.schema, partitions, table_format)
 
 
 def register_all(
@@ -80,19 +79,31 @@ def register_all(
     locations: Mapping[str, str],
     table_format: str = "parquet",
 ) -> list[Outcome]:
-    """Register tables of the star that lie at the given places; those that do not load fail."""
+    """Enter tables of the star from their files alone.
+
+    A location is the folder of a table: its newest complete generation is
+    entered, or the files in it. An entry that points elsewhere is moved there.
+    Tables without rows are EMPTY, those without files or with mixed layouts FAILED.
+    """
     outcomes = []
-    for name, location in locations.items():
+    for name, folder in locations.items():
         spec = STAR[name]
-        columns = len(spec.schema)
         try:
+            location = newest(spark, folder)
+            if location is None:
+                raise FileNotFoundError(f"no files of {name} at {folder}")
+            column = layout(spark, location)
+            partitions = [column] if column else []
             files = spark.read.format(table_format).schema(spec.schema).load(location)
-            partitions = _partitions_of(files)
-            register(spark, database, name, location, spec.schema, partitions, table_format)
-        except AnalysisException as error:
-            outcomes.append(Outcome(name, FAILED, error=str(error).splitlines()[0][:500]))
+            rows = files.count()  # from the footers
+            table = f"{database}.{name}"
+            known = spark.catalog.tableExists(table) and location_of(spark, database, name)
+            if not known or one_spelling(spark, known) != one_spelling(spark, location):
+                move_entry(spark, database, name, location, spec.schema, partitions, table_format)
+        except (PySparkException, Py4JJavaError, OSError, ValueError) as error:
+            outcomes.append(Outcome(name, FAILED, error=str(error)))
         else:
-            outcomes.append(Outcome(name, OK, n_cols=columns))
+            outcomes.append(Outcome(name, OK if rows else EMPTY, rows, len(spec.schema)))
     return outcomes
 
 
@@ -114,7 +125,8 @@ def move_entry(
     """Point the entry at other files; those it pointed at before stay.
 
     Between layouts without partitions this is one step. Partitions have
-    locations of their own, so a table that has or gets them is entered anew.
+    locations of their own, so a table that has or gets them is entered under
+    another name first, and takes the old one's place when that worked.
     """
     table = f"{database}.{name}"
     if spark.catalog.tableExists(table):
@@ -124,7 +136,12 @@ def move_entry(
             spark.sql(f"ALTER TABLE `{database}`.`{name}` SET LOCATION '{location}'")
             spark.catalog.refreshTable(table)
             return
+        entered = f"{name}_{uuid.uuid4().hex[:8]}"
+        register(spark, database, entered, location, schema, partition_by, table_format)
         spark.sql(f"DROP TABLE `{database}`.`{name}`")
+        spark.sql(f"ALTER TABLE `{database}`.`{entered}` RENAME TO `{database}`.`{name}`")
+        spark.catalog.refreshTable(table)
+        return
     register(spark, database, name, location, schema, partition_by, table_format)
 
 

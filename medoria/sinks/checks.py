@@ -2,30 +2,28 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable
 from functools import reduce
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from medoria.files import nested
 from medoria.sinks.catalog import location_of, move_entry
+from medoria.sinks.generations import new_generation
 from medoria.sinks.report import EMPTY, FAILED, OK, Outcome
 
 
-class SameLocation(ValueError):
-    """Source and target of a relocation are the same place."""
-
-
 def verify_tables(spark: SparkSession, database: str, names: Iterable[str]) -> DataFrame:
-    """``(table_name, status, n_rows, n_cols)`` of each table, counted in one job."""
+    """``(table_name, status, n_rows, n_cols, error)`` of each table, counted in one job."""
     counts, missing = [], []
     for name in names:
         try:
             table = spark.table(f"{database}.{name}")
-        except AnalysisException:
-            missing.append((name, FAILED, None, None))
+        except PySparkException as error:
+            missing.append((name, FAILED, None, None, str(error)))
             continue
         rows = F.count(F.lit(1))
         counts.append(
@@ -34,10 +32,11 @@ def verify_tables(spark: SparkSession, database: str, names: Iterable[str]) -> D
                 F.when(rows > 0, F.lit(OK)).otherwise(F.lit(EMPTY)).alias("status"),
                 rows.alias("n_rows"),
                 F.lit(len(table.columns)).alias("n_cols"),
+                F.lit(None).cast("string").alias("error"),
             )
         )
     if missing:
-        schema = "table_name string, status string, n_rows bigint, n_cols int"
+        schema = "table_name string, status string, n_rows bigint, n_cols int, error string"
         counts.append(spark.createDataFrame(missing, schema))
     return reduce(DataFrame.unionByName, counts)
 
@@ -64,12 +63,6 @@ def same_rows(left: DataFrame, right: DataFrame) -> bool:
     return left.columns == right.columns and fingerprint(left).first() == fingerprint(right).first()
 
 
-def _normal(location: str) -> str:
-    """One spelling per place: the s3 schemes are one store, local paths need no scheme."""
-    location = re.sub(r"^s3[an]?://", "s3://", location.rstrip("/"))
-    return re.sub(r"^file:/+", "/", location)
-
-
 def relocate(
     spark: SparkSession,
     database: str,
@@ -78,27 +71,33 @@ def relocate(
     partition_by: Iterable[str] = (),
     table_format: str = "parquet",
 ) -> Outcome:
-    """Copy a table to another place, compare, then point the entry there.
+    """Copy a table below another place, compare, then point the entry there.
 
-    An empty table is left alone. The entry moves only after the copy was
-    found equal; the old files stay.
+    The copy is a new generation at ``location``; nothing that is there is
+    overwritten or removed, and the old files stay. A place that holds the
+    table's files, or lies in them, is refused. An empty table is left alone. The
+    entry moves only after the copy was found equal. What goes wrong is in the
+    outcome.
     """
     table = f"{database}.{name}"
-    source = spark.table(table)
-    if _normal(location_of(spark, database, name)) == _normal(location):
-        raise SameLocation(f"{table} is already at {location}")
-    if source.isEmpty():
-        return Outcome(name, EMPTY, 0, len(source.columns))
-
-    partition_by = list(partition_by)
-    # the files of a table hold one partition each, so copying needs no shuffle
-    source.write.format(table_format).mode("overwrite").partitionBy(*partition_by).save(location)
-    copy = spark.read.format(table_format).schema(source.schema).load(location)
-    copy = copy.select(*source.columns)
-    before, after = fingerprint(source).union(fingerprint(copy)).collect()  # two rows
-    if before != after:
-        return Outcome(name, FAILED, after["n_rows"], len(source.columns), "copy differs from source")
-
-    schema = source.schema
-    move_entry(spark, database, name, location, schema, partition_by, table_format)
-    return Outcome(name, OK, after["n_rows"], len(schema))
+    try:
+        source = spark.table(table)
+        columns = len(source.columns)
+        if nested(spark, location_of(spark, database, name), location):
+            return Outcome(name, FAILED, None, columns, f"{table} is already at or around {location}")
+        if source.isEmpty():
+            return Outcome(name, EMPTY, 0, columns)
+
+        partition_by = list(partition_by)
+        target = new_generation(location)
+        # the files of a table hold one partition each, so copying needs no shuffle
+        source.write.format(table_format).mode("errorifexists").partitionBy(*partition_by).save(target)
+        copy = spark.read.format(table_format).schema(source.schema).load(target)
+        copy = copy.select(*source.columns)
+        before, after = fingerprint(source).union(fingerprint(copy)).collect()  # two rows
+        if before != after:
+            return Outcome(name, FAILED, after["n_rows"], columns, f"the copy at {target} differs from {table}")
+        move_entry(spark, database, name, target, source.schema, partition_by, table_format)
+    except (PySparkException, Py4JJavaError) as error:
+        return Outcome(name, FAILED, error=str(error))
+    return Outcome(name, OK, after["n_rows"], columns)

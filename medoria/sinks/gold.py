@@ -1,39 +1,69 @@
-"""Gold tables: every overwrite is a new folder the catalog then points to."""
+"""Gold tables: every overwrite is a new generation the catalog then points to."""
 
 from __future__ import annotations
 
-import uuid
-
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
+from medoria.files import remove
 from medoria.operators import partition_column
 from medoria.sinks.catalog import move_entry
+from medoria.sinks.generations import new_generation, newest, retire
 from medoria.specs import TableSpec, conform
 
+KEEP = 2
+
+
+def _read(spark: SparkSession, spec: TableSpec, location: str, table_format: str) -> DataFrame:
+    written = spark.read.format(table_format).schema(spec.schema).load(location)
+    return written.select(*spec.schema.names)
+
+
+def read_table(spark: SparkSession, spec: TableSpec, root: str, table_format: str = "parquet") -> DataFrame:
+    """A gold table by its place alone: the newest complete content below ``root``."""
+    location = newest(spark, f"{root.rstrip('/')}/{spec.name}")
+    if location is None:
+        raise FileNotFoundError(f"no content of {spec.name} below {root}")
+    return _read(spark, spec, location, table_format)
+
 
 def replace_table(
-    df: DataFrame, database: str, spec: TableSpec, root: str, table_format: str = "parquet"
+    df: DataFrame,
+    database: str,
+    spec: TableSpec,
+    root: str,
+    table_format: str = "parquet",
+    keep: int = KEEP,
 ) -> DataFrame:
     """Write ``df`` as the new content of the table and return that content.
 
     The new content is written beside the old one and the entry is moved when
     it is complete, so ``df`` may read the table it replaces. What is returned
-    are these very files: a later overwrite does not change it. The table is
-    partitioned by the column of its contract if its size calls for that,
-    which takes one more pass over that column.
+    are these very files, until ``keep`` later overwrites have removed them.
+
+    ``df`` runs once. If what it wrote is large enough to be partitioned by the
+    column of the contract, these files are read and written again that way.
     """
     spark = df.sparkSession
     df = conform(df, spec)
-    column = partition_column(df, spec.adaptive_by)
-    location = f"{root.rstrip('/')}/{spec.name}/{uuid.uuid4().hex}"
+    folder = f"{root.rstrip('/')}/{spec.name}"
 
+    def write(rows: DataFrame, column: str | None) -> str:
+        location = new_generation(folder)
+        partitions = [column] if column is not None else []
+        if column is not None:
+            # a value's rows meet in few files, and a frequent value is split
+            rows = rows.hint("rebalance", column)
+        if spec.sort_by is not None:
+            rows = rows.sortWithinPartitions(*partitions, spec.sort_by)
+        rows.write.format(table_format).mode("errorifexists").partitionBy(*partitions).save(location)
+        return location
+
+    location = write(df, None)
+    written = _read(spark, spec, location, table_format)
+    column = partition_column(written, spec.adaptive_by)
     if column is not None:
-        # a value's rows meet in few files, and a frequent value is split
-        df = df.hint("rebalance", column)
-    partitions = [column] if column is not None else []
-    if spec.sort_by is not None:
-        df = df.sortWithinPartitions(*partitions, spec.sort_by)
-    df.write.format(table_format).mode("overwrite").partitionBy(*partitions).save(location)
-    move_entry(spark, database, spec.name, location, spec.schema, partitions, table_format)
-    written = spark.read.format(table_format).schema(spec.schema).load(location)
-    return written.select(*spec.schema.names)
+        whole, location = location, write(written, column)
+        remove(spark, whole)
+    move_entry(spark, database, spec.name, location, spec.schema, [column] if column else [], table_format)
+    retire(spark, folder, keep)
+    return _read(spark, spec, location, table_format)

@@ -3,25 +3,26 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from medoria.functions.sizing import output_files_for
+from medoria.work import materialise, scratch
 
-# Up to this input size (eight default input splits) a table is counted and
-# written to the number of files its rows call for, eight at most. Beyond it
-# the table is written as it was read, one file per input split.
-RULE_MAX_BYTES = 8 * 128 * 1024**2
 
+def write_silver(df: DataFrame, path: str, output_files: bool = False) -> int:
+    """Overwrite ``path`` and return the rows written; an empty table is not written.
 
-def write_silver(df: DataFrame, path: str, input_bytes: int | None = None) -> int:
-    """Overwrite ``path`` and return the rows written; an empty table is not written."""
-    small = input_bytes is not None and input_bytes <= RULE_MAX_BYTES
-    rows = df.count() if small else None
-    if rows == 0 or (rows is None and df.isEmpty()):
+    A table is written in one pass as it was read, one file per input split,
+    whatever its size. With ``output_files`` its rows are written apart first
+    and then to as many files as the rule of rows calls for, eight at most.
+    """
+    spark = df.sparkSession
+    if df.isEmpty():
         return 0
-    if small:
-        files = output_files_for(rows)
-        df = df.coalesce(1) if files == 1 else df.repartition(files)
-    df.write.mode("overwrite").option("compression", "snappy").parquet(path)
-    if rows is None:
-        rows = df.sparkSession.read.schema(df.schema).parquet(path).count()  # from the footers
-    return rows
+    with scratch(spark):
+        if output_files:
+            df = materialise(df, "silver")
+            files = output_files_for(df.count())  # from the footers
+            df = df.coalesce(1) if files == 1 else df.repartition(files)
+        df.write.mode("overwrite").option("compression", "snappy").parquet(path)
+    return spark.read.schema(df.schema).parquet(path).agg(F.count(F.lit(1))).first()[0]

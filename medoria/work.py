@@ -3,23 +3,30 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+from medoria.files import remove
+
 FOLDER_SETTING = "spark.checkpoint.dir"
 _local_roots: dict[str, str] = {}
+_scope = threading.local()
 
 
 def work_root(spark: SparkSession) -> str:
     """The folder named in ``spark.checkpoint.dir``.
 
-    Only a local session may go without: it gets a temporary folder. On a
-    cluster a folder of one machine would be lost with it, so that is an error.
+    Only a session on one machine may go without, as in a notebook: it gets a
+    temporary folder. On a cluster a folder of one machine would be lost with
+    it, so that is an error.
     """
     root = spark.conf.get(FOLDER_SETTING, None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local["):
             raise ValueError(f"set {FOLDER_SETTING} to a folder every executor can reach")
         app = spark.sparkContext.applicationId
         if app not in _local_roots:
@@ -39,13 +46,26 @@ def work_path(spark: SparkSession, label: str) -> str:
 
 def discard_work(spark: SparkSession) -> None:
     """Delete the work tables of this application, once nothing reads them any more."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    remove(spark, _own_folder(spark))
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Work tables that this thread makes inside are removed at the end: their result is written by then."""
+    outer, _scope.made = getattr(_scope, "made", None), []
+    try:
+        yield
+    finally:
+        made, _scope.made = _scope.made, outer
+        for path in made:
+            remove(spark, path)
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write once and read back: cuts the lineage and survives lost executors."""
     spark = df.sparkSession
     path = work_path(spark, label)
+    if getattr(_scope, "made", None) is not None:
+        _scope.made.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -11,15 +11,17 @@ from pyspark.sql import functions as F
 
 from medoria.__main__ import main
 from medoria.config import Settings
+from medoria.files import nested
 from medoria.plans import questions
-from medoria.plans.pipeline import STEPS, build_gold, create_star, run_pipeline
+from medoria.plans.pipeline import STEPS, build_gold, build_star, create_star, register_star, run_pipeline
 from medoria.sinks import (
-    SameLocation,
     create_if_absent,
     databases,
     ensure_database,
     fingerprint,
+    generations,
     location_of,
+    read_table,
     register_all,
     relocate,
     replace_table,
@@ -140,6 +142,10 @@ def test_gaps_move_the_fingerprint(spark):
     assert fingerprint(left).first() != fingerprint(right).first()
 
 
+def files_below(folder):
+    return sorted(str(p) for p in Path(folder).rglob("*.parquet"))
+
+
 @pytest.mark.parametrize("partition_by", [[], ["annee"]])
 def test_relocate(spark, database, tmp_path, stays, partition_by):
     spec = STAR["fait_hospitalisation"]
@@ -147,41 +153,118 @@ def test_relocate(spark, database, tmp_path, stays, partition_by):
     target = f"{tmp_path}/b"
     outcome = relocate(spark, database, spec.name, target, partition_by)
     assert (outcome.status, outcome.n_rows) == ("OK", 12_000)
-    assert location_of(spark, database, spec.name).endswith("/b")
+    assert "/b/generation-" in location_of(spark, database, spec.name)
     assert same_rows(spark.table(f"{database}.{spec.name}").select(*stays.columns), stays)
     for same in (target, f"{target}/", f"file:{target}", f"file://{target}"):
-        with pytest.raises(SameLocation):
-            relocate(spark, database, spec.name, same)
+        assert relocate(spark, database, spec.name, same).status == "FAILED"
+
+
+@pytest.mark.parametrize("place", ["", "/{name}", "/{name}/..", "/{name}/{generation}", "/{name}/{generation}/deeper"])
+def test_a_table_is_not_moved_into_or_around_itself(spark, database, tmp_path, stays, place):
+    spec = STAR["fait_hospitalisation"]
+    replace_table(stays, database, spec, f"{tmp_path}/gold")
+    location, before = location_of(spark, database, spec.name), files_below(tmp_path)
+    target = f"{tmp_path}/gold" + place.format(name=spec.name, generation=location.rpartition("/")[2])
+    outcome = relocate(spark, database, spec.name, target, ["annee"])
+    assert outcome.status == "FAILED" and "around" in outcome.error
+    assert files_below(tmp_path) == before and location_of(spark, database, spec.name) == location
+    assert spark.table(f"{database}.{spec.name}").count() == 12_000
+
+
+def test_spellings_of_one_place(spark):
+    assert nested(spark, "s3a://lake/gold/x", "s3://lake/gold") and nested(spark, "s3n://lake/a/", "s3a://lake/a")
+    assert not nested(spark, "s3a://lake/gold", "s3a://lake/golden") and nested(spark, "file:///a/b", "/a/c/../b/d")
+
+
+def test_a_broken_move_is_reported(spark, database, tmp_path):
+    assert relocate(spark, database, "fait_deces", f"{tmp_path}/b").status == "FAILED"
 
 
 def test_an_empty_table_is_not_moved(spark, database, tmp_path):
     spec = STAR["dim_indicateur"]
     create_if_absent(spark, database, spec, str(tmp_path / "a"))
     assert relocate(spark, database, spec.name, f"{tmp_path}/b").status == "EMPTY"
-    assert location_of(spark, database, spec.name).endswith("/a/dim_indicateur")
+    assert "/a/dim_indicateur/generation-" in location_of(spark, database, spec.name)
 
 
 def test_register_all(spark, database, tmp_path, stays):
     stays.write.partitionBy("annee").parquet(f"{tmp_path}/stays")
-    locations = {"fait_hospitalisation": f"{tmp_path}/stays", "dim_lieu": f"{tmp_path}/absent"}
+    stays.limit(0).write.parquet(f"{tmp_path}/none")
+    (tmp_path / "hollow").mkdir()
+    stays.write.parquet(f"{tmp_path}/mixed")
+    stays.write.mode("append").partitionBy("annee").parquet(f"{tmp_path}/mixed")
+    locations = {
+        "fait_hospitalisation": f"{tmp_path}/stays",
+        "dim_lieu": f"{tmp_path}/absent",
+        "dim_date": f"{tmp_path}/hollow",
+        "dim_patient": f"{tmp_path}/none",
+        "fait_deces": f"{tmp_path}/mixed",
+    }
     outcomes = {o.table_name: o.status for o in register_all(spark, database, locations)}
-    assert outcomes == {"fait_hospitalisation": "OK", "dim_lieu": "FAILED"}
-    assert [row["tableName"] for row in tables_in(spark, database).collect()] == ["fait_hospitalisation"]
+    assert outcomes == {
+        "fait_hospitalisation": "OK",
+        "dim_lieu": "FAILED",
+        "dim_date": "FAILED",
+        "dim_patient": "EMPTY",
+        "fait_deces": "FAILED",
+    }
+    found = {row["tableName"] for row in tables_in(spark, database).collect()}
+    assert found == {"fait_hospitalisation", "dim_patient"}
     assert database in [row[0] for row in databases(spark).collect()]
     sql = f"select sum(nb_hospitalisations) n from {database}.fait_hospitalisation where annee = 2016"
     expected = stays.where("annee = 2016").count()
     assert questions.query(spark, sql).first()["n"] == expected
 
 
+def test_the_newest_complete_generation_counts(spark, database, tmp_path, stays):
+    spec, root = STAR["fait_hospitalisation"], f"{tmp_path}/gold"
+    for n in (10, 12_000, 30, 40):
+        replace_table(stays.limit(n), database, spec, root, keep=2)
+    folder = f"{root}/{spec.name}"
+    assert len(generations(spark, folder)) == 2
+    assert read_table(spark, spec, root).count() == 40
+    # a write that broke off is passed over
+    os.remove(f"{generations(spark, folder)[-1]}/_SUCCESS")
+    assert read_table(spark, spec, root).count() == 30
+    with pytest.raises(FileNotFoundError):
+        read_table(spark, STAR["fait_deces"], root)
+
+
+def test_the_star_is_found_again_by_its_files(spark, database, tmp_path):
+    cfg = settings(tmp_path, database)
+    build_gold(spark, silver_frames(spark), cfg)
+    before = rows(verify_tables(spark, database, STAR))
+    for name in STAR:
+        spark.sql(f"drop table {database}.{name}")
+    outcomes = register_star(spark, cfg)
+    assert {o.status for o in outcomes} == {"OK"}
+    assert rows(verify_tables(spark, database, STAR)) == before
+    assert {o.status for o in register_star(spark, cfg)} == {"OK"}  # once more changes nothing
+
+
+def test_a_broken_table_does_not_stop_the_others(spark, database, tmp_path):
+    t = silver_frames(spark)
+    t["region"] = t["region"].withColumn("region", F.raise_error(F.lit("broken on purpose")).cast("string"))
+    gold, outcomes = build_star(spark, t, settings(tmp_path, database))
+    status = {o.table_name: o.status for o in outcomes}
+    assert len(status) == len(STAR) and status["fait_consultations"] == "OK"
+    broken = {name for name, s in status.items() if s == "FAILED"}
+    assert broken == {"dim_lieu", "dim_etablissement", "fait_deces", "fait_satisfaction"}
+    errors = {o.table_name: o.error for o in outcomes}
+    assert "broken on purpose" in errors["dim_lieu"] and "dim_lieu failed" in errors["fait_deces"]
+
+
 def test_verify_tables(spark, database, tmp_path):
     for name in ("dim_indicateur", "dim_lieu"):
         create_if_absent(spark, database, STAR[name], str(tmp_path))
     spark.sql(f"insert into {database}.dim_indicateur values (1, 'x')")
-    found = verify_tables(spark, database, ["dim_indicateur", "dim_lieu", "dim_date"])
+    full = verify_tables(spark, database, ["dim_indicateur", "dim_lieu", "dim_date"])
+    found = full.drop("error")
     assert rows(found) == sorted(
         [("dim_indicateur", "OK", 1, 2), ("dim_lieu", "EMPTY", 0, 4), ("dim_date", "FAILED", None, None)],
         key=repr,
     )
+    assert "dim_date" in full.where("status = 'FAILED'").first()["error"]
 
 
 def test_build_gold_twice_gives_the_same(spark, database, tmp_path):
@@ -278,8 +361,8 @@ def test_command_line(spark, database, tmp_path, monkeypatch, capsys):
 def test_missing_silver_tables_stop_the_run(spark, database, tmp_path):
     cfg = settings(tmp_path, database)
     write_raw(spark, cfg.source_root, skip=("communes",))
-    with pytest.raises(MissingTables, match="communes"):
-        run_pipeline(spark, cfg)
+    step, outcome = run_pipeline(spark, cfg)[-1]
+    assert (step, outcome.status) == ("build", "FAILED") and "communes" in outcome.error
 
 
 def test_settings(monkeypatch):
