@@ -12,14 +12,19 @@ from medoria.parallel import together
 from medoria.sinks.report import EMPTY, FAILED, OK, Outcome
 from medoria.sinks.silver import write_silver
 from medoria.sources import UnsupportedFormat, discover, read_raw
+from medoria.sources.discovery import unreadable_names
+from medoria.sources.silver import TEXT_COLUMNS
 
 
-def with_lineage(df: DataFrame, source_path: str, table_name: str) -> DataFrame:
-    """When a row was converted, from which source, into which table."""
+CORRUPT = "_corrupt_record"
+
+
+def with_lineage(df: DataFrame, table_name: str) -> DataFrame:
+    """When a row was converted, from which file, into which table."""
     return df.withColumns(
         {
             "conversion_timestamp": F.current_timestamp(),
-            "source_file": F.lit(source_path),
+            "source_file": F.input_file_name(),
             "table_name": F.lit(table_name),
         }
     )
@@ -31,16 +36,24 @@ def convert_source(
     target_path: str,
     table_name: str,
     file_format: str = "csv",
-    length: int | None = None,
     schema: StructType | None = None,
+    output_files: bool = False,
 ) -> Outcome:
-    """One source to one silver table; what goes wrong is in the outcome."""
+    """One source to one silver table; what goes wrong is in the outcome.
+
+    Records that do not parse are kept in a column of their own, and counted.
+    """
     try:
-        table = with_lineage(read_raw(spark, source_path, file_format, schema), source_path, table_name)
-        rows = write_silver(table, target_path, length)
+        raw = read_raw(spark, source_path, file_format, schema, TEXT_COLUMNS.get(table_name, ()))
+        table = with_lineage(raw, table_name)
+        rows = write_silver(table, target_path, output_files)
+        corrupt = 0
+        if rows and CORRUPT in table.columns:
+            corrupt = spark.read.parquet(target_path).where(F.col(CORRUPT).isNotNull()).count()
     except (PySparkException, Py4JJavaError, UnsupportedFormat) as error:
-        return Outcome(table_name, FAILED, error=" ".join(str(error).splitlines()[:2])[:500])
-    return Outcome(table_name, OK if rows else EMPTY, rows, len(table.columns))
+        return Outcome(table_name, FAILED, error=str(error))
+    note = f"{corrupt} records do not parse, they are in {CORRUPT}" if corrupt else None
+    return Outcome(table_name, OK if rows else EMPTY, rows, len(table.columns), note)
 
 
 def preview(spark: SparkSession, target_path: str, rows: int = 3) -> DataFrame:
@@ -54,8 +67,12 @@ def convert_folder(
     target_root: str,
     file_format: str = "csv",
     schemas: dict[str, StructType] | None = None,
+    output_files: bool = False,
 ) -> list[Outcome]:
-    """Every source under a folder; a broken one does not stop the others."""
+    """Every source under a folder; a broken one does not stop the others.
+
+    Sources that Spark cannot read because of their name are FAILED, not passed over.
+    """
     schemas = schemas or {}
     manifest = discover(spark, source_root, file_format, target_root).orderBy("table_name")
 
@@ -66,8 +83,10 @@ def convert_folder(
             entry["target_path"],
             entry["table_name"],
             file_format,
-            entry["length"],
             schemas.get(entry["table_name"]),
+            output_files,
         )
 
-    return together(convert, manifest.toLocalIterator())  # one row per table
+    outcomes = together(convert, manifest.toLocalIterator())  # one row per table
+    hidden = unreadable_names(spark, source_root, file_format)
+    return outcomes + [Outcome(path, FAILED, error="names that begin with _ or . are hidden to Spark") for path in hidden]

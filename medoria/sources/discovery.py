@@ -4,15 +4,19 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from medoria.files import SCHEME, children, matching, qualified
 from medoria.functions import size_mb, table_name_of
 from medoria.operators import unique_names
 
 
-# scheme and authority of a path
-_SCHEME = r"^[a-zA-Z][a-zA-Z0-9+.-]*:(//[^/]*)?"
+def _below(spark: SparkSession, root: str) -> Column:
+    """What follows the root in the path of a file: an anchored prefix, never a later occurrence."""
+    place = re.sub(SCHEME, "", qualified(spark, root)).rstrip("/") + "/"
+    plain = F.regexp_replace("path", SCHEME, "")
+    return F.when(F.startswith(plain, F.lit(place)), F.substr(plain, F.lit(len(place) + 1)))
 
 
 def discover(spark: SparkSession, root: str, extension: str, target_root: str) -> DataFrame:
@@ -20,20 +24,19 @@ def discover(spark: SparkSession, root: str, extension: str, target_root: str) -
 
     Files are found at any depth. A folder that itself carries the extension
     (``visits.csv/part-…``, as distributed writers leave it) is one source.
-    Only paths and lengths are read, never contents.
+    Only paths and lengths are read, never contents. Spark reads no file whose
+    name begins with ``_`` or ``.``: ``unreadable_names`` lists those.
     """
-    place = re.sub(_SCHEME, "", root).rstrip("/")
     suffix = re.escape(f".{extension}")
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", f"*.{extension}")
         .load(root)
-        .select("path", "length", F.regexp_replace("path", _SCHEME, "").alias("plain"))
+        .select("path", "length", _below(spark, root).alias("below"))
     )
-    below = F.substr("plain", F.instr("plain", place) + len(place) + 1)
-    source = F.regexp_extract(below, rf"^(.*?{suffix})(/|$)", 1)
-    parts = F.length(below) - F.length(source)  # what follows the name of a folder source
+    source = F.regexp_extract("below", rf"^(.*?{suffix})(/|$)", 1)
+    parts = F.length("below") - F.length("relative")  # what follows the name of a folder source
     sources = (
         files.withColumn("relative", source)
         .withColumn("source_path", F.substr("path", F.lit(1), F.length("path") - parts))
@@ -49,3 +52,22 @@ def discover(spark: SparkSession, root: str, extension: str, target_root: str) -
         "length",
         size_mb(F.col("length")).alias("file_size_mb"),
     )
+
+
+def unreadable_names(spark: SparkSession, root: str, extension: str) -> list[str]:
+    """Sources below the root that Spark hides, because their name or a folder's begins with ``_`` or ``.``.
+
+    One pattern per depth, so only the hidden names themselves come back.
+    """
+    place, found, depth = qualified(spark, root), [], "/*"
+    if not children(spark, place):
+        return []
+    while True:
+        above = place + depth[:-2]
+        found += matching(spark, f"{above}/[_.]*.{extension}")
+        # a hidden folder hides what is in it
+        found += matching(spark, f"{above}/[_.]*/*.{extension}")
+        if not matching(spark, place + depth + "/*"):
+            # what lies in a folder source is that source
+            return sorted(f for f in set(found) if not any(f.startswith(other + "/") for other in found))
+        depth += "/*"

@@ -44,6 +44,16 @@ SILVER_COLUMNS = {
 }
 
 
+# Columns that are numbers, days or scores; all others are codes or words, and stay text.
+_MEASURES = frozenset(
+    "id_patient date date_naissance date_deces duree score_all_rea_ajust nb_rep_score_all_rea_ajust"
+    " score_all_ajust nb_rep_score_all_ajust taux_reco_brut".split()
+)
+TEXT_COLUMNS = {
+    SILVER_TABLES[role]: tuple(c for c in columns if c not in _MEASURES) for role, columns in SILVER_COLUMNS.items()
+}
+
+
 class MissingTables(LookupError):
     """Required silver tables, or columns of them, that are not there."""
 

@@ -177,8 +177,8 @@ def test_given_files_have_their_true_size(spark, sf_dir):
 
 
 def test_lineage(spark):
-    row = with_lineage(spark.range(1), "/raw/x.csv", "x").first()
-    assert (row["id"], row["source_file"], row["table_name"]) == (0, "/raw/x.csv", "x")
+    row = with_lineage(spark.range(1), "x").first()
+    assert (row["id"], row["table_name"]) == (0, "x")
     assert isinstance(row["conversion_timestamp"], dt.datetime)
 
 
@@ -189,20 +189,20 @@ def parquet_files(path):
 @pytest.mark.parametrize(("rows", "files"), [(1, 1), (100_000, 1), (100_001, 4), (1_000_001, 8)])
 def test_output_files_follow_the_rule(spark, tmp_path, rows, files):
     path = f"{tmp_path}/out"
-    assert write_silver(spark.range(rows), path, 1000) == rows
+    assert write_silver(spark.range(rows), path, output_files=True) == rows
     assert len(parquet_files(path)) == files
     assert all(".snappy." in name for name in parquet_files(path))
 
 
-def test_large_input_keeps_its_splits(spark, tmp_path):
+def test_tables_keep_their_splits(spark, tmp_path):
     path = f"{tmp_path}/out"
-    assert write_silver(spark.range(0, 1000, 1, 6), path, 10 * 1024**4) == 1000
+    assert write_silver(spark.range(0, 1000, 1, 6), path) == 1000
     assert len(parquet_files(path)) == 6
 
 
 def test_nothing_is_written_for_no_rows(spark, tmp_path):
-    assert write_silver(spark.range(0), f"{tmp_path}/a", 0) == 0
-    assert write_silver(spark.range(0), f"{tmp_path}/b", 10 * 1024**4) == 0
+    assert write_silver(spark.range(0), f"{tmp_path}/a") == 0
+    assert write_silver(spark.range(0), f"{tmp_path}/b", output_files=True) == 0
     assert not os.listdir(tmp_path)
 
 
@@ -210,8 +210,8 @@ def test_convert_source_outcomes(spark, tmp_path):
     good = put(tmp_path, "good.csv", "a;b\n1;2\n")
     empty = put(tmp_path, "empty.csv", "a;b\n")
     out = f"{tmp_path}/out"
-    assert convert_source(spark, good, out, "good", length=8) == Outcome("good", "OK", 1, 5)
-    assert convert_source(spark, empty, out, "empty", length=4).status == "EMPTY"
+    assert convert_source(spark, good, out, "good") == Outcome("good", "OK", 1, 5)
+    assert convert_source(spark, empty, out, "empty").status == "EMPTY"
     assert convert_source(spark, f"{tmp_path}/absent.csv", out, "absent").status == "FAILED"
     unknown = convert_source(spark, good, out, "good", "xlsx")
     assert unknown.status == "FAILED" and "xlsx" in unknown.error
@@ -271,3 +271,51 @@ def test_jdbc_scan_is_split():
     }
     with pytest.raises(ValueError):
         jdbc_options("jdbc:x", "t", "id", 0, 100, 0)
+
+
+def test_hidden_names_are_reported(spark, tmp_path):
+    for name in ("a.csv", "_b.csv", "deep/er/.c.csv", "_dir/d.csv", "big.csv/part-0.csv", "big.csv/_SUCCESS", "_e.csv/part-0.csv"):
+        put(tmp_path / "raw", name, "x;y\n1;2\n")
+    outcomes = convert_folder(spark, f"{tmp_path}/raw", f"{tmp_path}/out")
+    assert {o.table_name for o in outcomes if o.status == "OK"} == {"a", "big"}
+    hidden = sorted(o.table_name.rpartition("/raw/")[2] for o in outcomes if o.status == "FAILED")
+    assert hidden == ["_b.csv", "_dir/d.csv", "_e.csv", "deep/er/.c.csv"]
+
+
+def test_a_root_named_like_a_part_of_its_path(spark, tmp_path, monkeypatch):
+    put(tmp_path / "draw/raw", "visits/a.csv", "x\n1\n")
+    assert [r["table_name"] for r in discover(spark, f"{tmp_path}/draw/raw", "csv", "o").collect()] == ["visits_a"]
+
+
+def test_each_file_has_its_separator(spark, tmp_path):
+    put(tmp_path, "f.csv/a.csv", "id;nom\n1;x,y\n")
+    put(tmp_path, "f.csv/b.csv", "id,nom\n2,x;y\n3,\n")
+    found = read_csv(spark, f"{tmp_path}/f.csv")
+    assert content(found) == (["id", "nom"], [(1, "x,y"), (2, "x;y"), (3, None)])
+
+
+def test_codes_stay_text(spark, tmp_path):
+    path = put(tmp_path, "f.csv", "code_commune;n\n01001;1\n75056;02\n")
+    assert content(read_csv(spark, path, text_columns=["code_commune"]))[1] == [("01001", 1), ("75056", 2)]
+
+
+@pytest.mark.parametrize(
+    "files, rows",
+    [
+        ({"a": '{"a":1}\n\n{"a":2}\n{"a":3}\n'}, [1, 2, 3]),
+        ({"a": '[{"a":1},\n{"a":2}]', "b": '{"a":3}\n{"a":4}\n\n{"a":5}'}, [1, 2, 3, 4, 5]),
+        ({"a": '{\n"a": 1\n}'}, [1]),
+        ({"a": '{"a":1}'}, [1]),
+        ({"a": '[{"a":1}, {"a":2}]'}, [1, 2]),
+    ],
+)
+def test_json_of_any_layout(spark, tmp_path, files, rows):
+    for name, text in files.items():
+        put(tmp_path, f"f.json/{name}.json", text)
+    assert sorted(r["a"] for r in read_raw(spark, f"{tmp_path}/f.json", "json").collect()) == rows
+
+
+def test_records_that_do_not_parse_are_counted(spark, tmp_path):
+    path = put(tmp_path, "f.json", '{"a":1}\n{"a":2}\n{"a":\n')
+    outcome = convert_source(spark, path, f"{tmp_path}/out", "f", "json")
+    assert outcome.status == "OK" and "do not parse" in outcome.error
