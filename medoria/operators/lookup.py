@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 MAX_BROADCAST_ROWS = 2_000_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 MIN_HEAVY_ROWS = 10_000  # fewer rows are no burden to a task
+ROW = "*"  # all columns together decide how a row is dealt
 
 
 def broadcastable(df: DataFrame) -> bool:
@@ -44,7 +45,10 @@ def _salted(
     heavy = F.broadcast(heavy_keys(large, key, parts))  # fewer rows than partitions
     matches = F.col(key).eqNullSafe(F.col("_heavy_key"))
     n_salts = F.coalesce(F.col("_parts"), F.lit(1))
-    row = F.xxhash64(spread_by) if spread_by else F.monotonically_increasing_id()
+    if spread_by == ROW:
+        row = F.xxhash64(*large.columns)  # equal rows fall on one salt, whoever made them
+    else:
+        row = F.xxhash64(spread_by) if spread_by else F.monotonically_increasing_id()
 
     dealt = (
         large.withColumn("_row", row)
@@ -99,6 +103,6 @@ def lookup(
         key,
         "inner",
         parts,
-        None,
+        ROW,
     )
     return usual.unionByName(apart)

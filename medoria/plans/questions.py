@@ -89,7 +89,8 @@ def hospitalisation_by(
             F.sum("duree_sejour_jours").alias("jours"),
         )
     )
-    total = groups.agg(F.sum("n")).scalar()
+    # the total asks for the same sums, days included, so that both read one exchange
+    total = groups.agg(F.struct(F.sum("n").alias("n"), F.sum("jours").alias("jours"))).scalar()["n"]
     return groups.select(by, "n", _rate(F.col("n"), total).alias("part"), "jours")
 
 
