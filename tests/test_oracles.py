@@ -9,7 +9,7 @@ from check_oracles import compare, connect
 from workload.oracles import ORACLES
 from workload.queries import REGISTERED
 
-WITHOUT_SQL = {"manifest"}
+WITHOUT_SQL: set[str] = set()
 
 
 @pytest.fixture(scope="module")

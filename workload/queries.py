@@ -16,27 +16,30 @@ from medoria.functions import age_at, clean_name, date_key, output_files, size_m
 from medoria.operators import dense_number, partition_advice, unique_names
 from medoria.parallel import together
 from medoria.plans import dimensions, facts, questions
-from medoria.plans.pipeline import build_gold, create_star, run_pipeline
-from medoria.plans.silver import convert_folder, convert_source
+from medoria.plans.pipeline import build_gold, create_star, register_star, run_pipeline
+from medoria.plans.silver import convert_folder, convert_source, preview
 from medoria.sinks import (
     as_report,
     ensure_database,
     failed,
+    read_table,
     register_all,
     relocate,
     replace_table,
     summary,
+    tables_in,
     verify_tables,
 )
-from medoria.sources import SILVER_TABLES, discover
+from medoria.sources import SILVER_TABLES, discover, load_silver
 from medoria.specs import STAR
-from medoria.work import work_path
+from medoria.work import scratch, work_path
 from workload.bindings import AS_OF, END, START, TABLES, YEAR, silver, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTERED: dict[str, Query] = {}
 
 PLACES = ("etablissement_sante", "communes", "region")
+ETABLISSEMENTS = ("1", "2", "3")
 SURVEYS = ("satisfaction_esatis", "satisfaction_esatisca")
 
 
@@ -138,64 +141,87 @@ def bridge_consultation_etablissement(spark: SparkSession, sf_dir: str) -> DataF
     return facts.bridge_consultation_etablissement(t)
 
 
-# Business questions
+# Business questions, over facts and dimensions as they are stored
+
+
+def _stored(spark: SparkSession, **built: DataFrame) -> list[DataFrame]:
+    """Gold tables as a user of the star reads them, in the order given."""
+    cfg = _settings(spark)
+    ensure_database(spark, cfg.database, cfg.database_root)
+
+    def write(one: tuple[str, DataFrame]) -> DataFrame:
+        with scratch(spark):
+            return replace_table(one[1], cfg.database, STAR[one[0]], cfg.gold_root)
+
+    return together(write, built.items())
 
 
 @register
 def consult_by_etablissement(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return questions.consultation_rate(
-        fait_consultations(spark, sf_dir), "fk_etablissement", START, END
-    )
+    (fact,) = _stored(spark, fait_consultations=fait_consultations(spark, sf_dir))
+    return questions.consultation_rate(fact, "fk_etablissement", START, END)
+
+
+@register
+def consult_one_etablissement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some establishments alone; their shares still refer to all."""
+    (fact,) = _stored(spark, fait_consultations=fait_consultations(spark, sf_dir))
+    return questions.consultation_rate(fact, "fk_etablissement", START, END, only=ETABLISSEMENTS)
 
 
 @register
 def consult_by_diagnostic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return questions.consultation_rate(fait_consultations(spark, sf_dir), "fk_diagnostic", START, END)
+    (fact,) = _stored(spark, fait_consultations=fait_consultations(spark, sf_dir))
+    return questions.consultation_rate(fact, "fk_diagnostic", START, END)
 
 
 @register
 def hosp_global(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = silver(spark, sf_dir, "hospitalisation", "patient")
-    return questions.hospitalisation_rate(
-        facts.fait_hospitalisation(t), dimensions.dim_patient(t, AS_OF), START, END
+    stays, people = _stored(
+        spark, fait_hospitalisation=facts.fait_hospitalisation(t), dim_patient=dimensions.dim_patient(t, AS_OF)
     )
+    return questions.hospitalisation_rate(stays, people, START, END)
 
 
 @register
 def hosp_by_diagnostic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return questions.hospitalisation_by(
-        fait_hospitalisation(spark, sf_dir), "fk_diagnostic", START, END
-    )
+    (stays,) = _stored(spark, fait_hospitalisation=fait_hospitalisation(spark, sf_dir))
+    return questions.hospitalisation_by(stays, "fk_diagnostic", START, END)
 
 
 @register
 def hosp_by_sexe_age(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = silver(spark, sf_dir, "hospitalisation", "patient")
-    return questions.hospitalisation_by_patient(
-        facts.fait_hospitalisation(t), dimensions.dim_patient(t, AS_OF), ["sexe", "age"]
+    stays, people = _stored(
+        spark, fait_hospitalisation=facts.fait_hospitalisation(t), dim_patient=dimensions.dim_patient(t, AS_OF)
     )
+    return questions.hospitalisation_by_patient(stays, people, ["sexe", "age"])
 
 
 @register
 def consult_by_professionnel(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = silver(spark, sf_dir, "consultations", "activite_professionel", "professionnel_sante")
-    return questions.consultation_rate_by_professional(
-        facts.fait_consultations(t), dimensions.dim_professionel(t), START, END
+    visits, people = _stored(
+        spark, fait_consultations=facts.fait_consultations(t), dim_professionel=dimensions.dim_professionel(t)
     )
+    return questions.consultation_rate_by_professional(visits, people, START, END)
 
 
 @register
 def deces_by_region(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = silver(spark, sf_dir, "deces", "communes", "region")
-    places = dimensions.dim_lieu(t)
-    return questions.deaths_by_region(facts.fait_deces(t, places), places, YEAR)
+    (places,) = _stored(spark, dim_lieu=dimensions.dim_lieu(t))
+    (deaths,) = _stored(spark, fait_deces=facts.fait_deces(t, places))
+    return questions.deaths_by_region(deaths, places, YEAR)
 
 
 @register
 def satisfaction_by_region(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = silver(spark, sf_dir, *SURVEYS, *PLACES)
-    places = dimensions.dim_etablissement(t)
-    return questions.satisfaction_by_region(facts.fait_satisfaction(t, places, YEAR), places, YEAR)
+    (places,) = _stored(spark, dim_etablissement=dimensions.dim_etablissement(t))
+    (lines,) = _stored(spark, fait_satisfaction=facts.fait_satisfaction(t, places, YEAR))
+    return questions.satisfaction_by_region(lines, places, YEAR)
 
 
 # Column functions and keys
@@ -359,9 +385,97 @@ def silver_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The given files, the table each becomes and its size."""
-    found = discover(spark, sf_dir, "parquet", "silver")
-    return found.drop("source_path")
+    """Document ids as files by language and source, under folder names that collide once cleaned."""
+    ids = table(spark, sf_dir, "documents").select(
+        F.col("doc_id").cast("string").alias("value"),
+        F.concat("lang", F.when(F.col("doc_id") % 2 == 0, " ").otherwise("-"), "source", F.lit(".csv")).alias("t"),
+    )
+    root = f"{work_path(spark, 'draw')}/raw"
+    ids.repartition("t").write.partitionBy("t").csv(root)
+    return discover(spark, root, "csv", "silver").drop("source_path")
+
+
+@register
+def silver_json_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One folder with files of an object per line, blank lines among them, and files of pretty arrays."""
+    source = f"{work_path(spark, 'raw')}/customer.json"
+    customers = table(spark, sf_dir, "customer")
+    row = F.struct("c_custkey", "c_name")
+    lines = customers.where("c_custkey % 2 = 0").select(
+        F.concat(F.when(F.col("c_custkey") % 3 == 0, "\n").otherwise(""), F.to_json(row)).alias("value")
+    )
+    lines.write.text(f"{source}/lines")
+    numbered = dense_number(customers.where("c_custkey % 2 = 1"), ["c_custkey"], "_number")
+    arrays = numbered.groupBy(F.floor((F.col("_number") - 1) / 10_000).alias("chunk")).agg(
+        F.to_json(F.collect_list(row), {"pretty": "true"}).alias("value")
+    )
+    arrays.write.partitionBy("chunk").text(f"{source}/arrays")
+    return _converted(spark, source, "customer", "json")
+
+
+@register
+def silver_source_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The file each row came from, of a folder with a file per nation."""
+    source = f"{work_path(spark, 'raw')}/customer.csv"
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name", F.col("c_nationkey").alias("nation"))
+    customers.repartition("nation").write.option("header", True).partitionBy("nation").csv(source)
+    target = work_path(spark, "silver-customer")
+    outcome = convert_source(spark, source, target, "customer", "csv")
+    if outcome.status != "OK":
+        raise RuntimeError(outcome.error or outcome.status)
+    nation = F.regexp_extract("source_file", "nation=([0-9]+)/[^/]+[.]csv$", 1).cast("int")
+    return preview(spark, target, outcome.n_rows).select(F.col("c_custkey").cast("bigint"), nation.alias("nation"))
+
+
+@register
+def silver_text_only(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns that are known to be codes stay text; no value is looked at for its type."""
+    raw = table(spark, sf_dir, "supplier").select(
+        F.lpad(F.col("s_suppkey").cast("string"), 9, "0").alias("code_commune"),
+        F.col("s_nationkey").alias("code_region"),
+    )
+    name = SILVER_TABLES["communes"]
+    return _converted(spark, _export_csv(raw, work_path(spark, "raw"), name, ";"), name, "csv")
+
+
+@register
+def unknown_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A format no reader knows fails for its table, whatever the others do; rows are those of the table."""
+    outcomes = []
+    for name in ("region", "nation"):
+        source = f"{sf_dir}/{name}.parquet"
+        for file_format in ("parquet", "xlsx"):
+            target = work_path(spark, f"silver-{name}")
+            outcomes.append(convert_source(spark, source, target, f"{name}_{file_format}", file_format))
+    return as_report(spark, outcomes).select("table_name", "status", "n_rows")
+
+
+@register
+def leading_zeros(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deaths per place from raw files in which only one table's codes hold letters."""
+    code = F.lpad(F.col("c_custkey").cast("string"), 8, "0")
+    codes = F.when(F.col("c_custkey") % 10 == 0, F.concat(F.lit("2A"), code)).otherwise(code)
+    t = silver(spark, sf_dir, "region")
+    raw = {
+        "communes": table(spark, sf_dir, "customer").select(
+            codes.alias("code_commune"), F.col("c_nationkey").alias("code_region")
+        ),
+        "deces": table(spark, sf_dir, "events").select(
+            F.col("ts").cast("date").alias("date_deces"),
+            F.lpad((F.col("user_id") * 11).cast("string"), 8, "0").alias("code_commune"),
+        ),
+        "region": t["region"],
+    }
+    folder = _raw_folder(spark, {SILVER_TABLES[role].replace("_", "/", 1): df for role, df in raw.items()})
+    target = work_path(spark, "silver")
+    outcomes = convert_folder(spark, folder, target)
+    if failed(outcomes):
+        raise RuntimeError(str(outcomes))
+    found = load_silver(spark, target, raw)
+    places = dimensions.dim_lieu(found)
+    deaths = facts.fait_deces(found, places).groupBy("fk_lieu_deces").agg(F.sum("nb_deces").alias("n"))
+    known = places.select(F.col("lieu_id").alias("fk_lieu_deces"), "commune")
+    return deaths.join(known, "fk_lieu_deces", "left").select("commune", "n")
 
 
 def _raw_folder(spark: SparkSession, tables: dict[str, DataFrame]) -> str:
@@ -388,7 +502,12 @@ def run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return summary(_report(spark, sf_dir))
+    """Six good sources, one without rows and one whose name Spark hides."""
+    names = ("region", "nation", "customer", "supplier", "part", "lineitem")
+    tables = {name: table(spark, sf_dir, name) for name in names}
+    tables |= {"nobody": tables["customer"].where("false"), "_hidden": tables["region"]}
+    folder = _raw_folder(spark, tables)
+    return summary(as_report(spark, convert_folder(spark, folder, work_path(spark, "silver"))))
 
 
 # The star in the catalog
@@ -411,7 +530,7 @@ def create_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
 def replace_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table overwritten with what it holds itself, partitioned if its size calls for it."""
     cfg = _settings(spark)
-    ensure_database(spark, cfg.database)
+    ensure_database(spark, cfg.database, cfg.database_root)
     spec = STAR["fait_hospitalisation"]
     stays = replace_table(fait_hospitalisation(spark, sf_dir), cfg.database, spec, cfg.gold_root)
     return replace_table(stays, cfg.database, spec, cfg.gold_root)
@@ -425,6 +544,25 @@ def table_verify(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verify_tables(spark, cfg.database, STAR)
 
 
+@register
+def star_by_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A star built in one database and entered into another from its files alone."""
+    cfg = _settings(spark)
+    build_gold(spark, silver(spark, sf_dir), cfg)
+    again = replace(cfg, database=f"{cfg.database}_again")
+    outcomes = register_star(spark, again)
+    names = [row["tableName"] for row in tables_in(spark, again.database).collect()]  # one row per table
+    if failed(outcomes) or sorted(names) != sorted(STAR):
+        raise RuntimeError(str(outcomes))
+    counted = verify_tables(spark, again.database, STAR)
+    # and read by path, without any database
+    rows = [
+        read_table(spark, spec, cfg.gold_root).agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("by_path"))
+        for name, spec in STAR.items()
+    ]
+    return counted.drop("error").join(reduce(DataFrame.unionByName, rows), "table_name")
+
+
 @register
 def register_and_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Deaths per region and quarter in SQL over tables registered from their files."""
@@ -439,7 +577,7 @@ def register_and_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     for name, df in built.items():
         df.write.parquet(f"{cfg.gold_root}/{name}")
     database = cfg.database
-    ensure_database(spark, database, cfg.gold_root)
+    ensure_database(spark, database, cfg.database_root)
     outcomes = register_all(spark, database, {name: f"{cfg.gold_root}/{name}" for name in built})
     if failed(outcomes):
         raise RuntimeError(str(outcomes))
@@ -459,7 +597,7 @@ def register_and_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
 def relocate_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Consultations read from the place their table was moved to."""
     cfg = _settings(spark)
-    ensure_database(spark, cfg.database)
+    ensure_database(spark, cfg.database, cfg.database_root)
     spec = STAR["fait_consultations"]
     replace_table(fait_consultations(spark, sf_dir), cfg.database, spec, cfg.gold_root)
     outcome = relocate(
