@@ -1,7 +1,7 @@
 """Time the registered queries: one JSON line.
 
 ``BENCH_SF_DIR`` (default /root/testdata/sf0.1) and ``BENCH_CPUS`` (default 8)
-choose the data and the cores, arguments the queries. Results go to Spark's
+choose the data and the cores, ``BENCH_WORK_DIR`` the folder of work tables, arguments the queries. Results go to Spark's
 no-op sink, so what is timed is the query and not a transfer to Python. Each
 query first runs once untimed on the smallest tables (sf0.001 beside the
 chosen folder), which loads classes and compiles the generated code.
@@ -15,8 +15,10 @@ import sys
 import time
 
 from medoria.session import session
+from medoria.work import discard_work
 from workload.queries import REGISTERED
 
+WORK_DIR = os.environ.get("BENCH_WORK_DIR", "/tmp/medoria-bench")
 HEADLINE = [
     "dim_lieu",
     "dim_patient",
@@ -57,7 +59,13 @@ def main() -> None:
     spark = session(
         "bench",
         f"local[{cpus}]",
-        **{"spark.sql.shuffle.partitions": cpus, "spark.ui.enabled": "false", "spark.driver.memory": "8g"},
+        **{
+            "spark.sql.shuffle.partitions": cpus,
+            "spark.ui.enabled": "false",
+            "spark.driver.memory": "8g",
+            "spark.checkpoint.dir": WORK_DIR,
+            "spark.sql.warehouse.dir": f"{WORK_DIR}/warehouse",
+        },
     )
     spark.sparkContext.setLogLevel("ERROR")
     warm_up = os.path.join(os.path.dirname(sf_dir), "sf0.001")
@@ -75,6 +83,7 @@ def main() -> None:
         begin = time.perf_counter()
         run(name, sf_dir)
         seconds[name] = round(time.perf_counter() - begin, 3)
+    discard_work(spark)
     print(
         json.dumps(
             {

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import math
+import os
 import sys
 import time
 
 import duckdb
 
 from medoria.session import session
+from medoria.work import discard_work
 from workload.bindings import TABLES
 from workload.oracles import ORACLES
 from workload.queries import REGISTERED
@@ -21,6 +23,8 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return connection
 
 
+WORK_DIR = os.environ.get("CHECK_WORK_DIR", "/tmp/medoria-check")
+
 # DuckDB and Spark names of the types the outputs may have
 TYPES = {
     "BIGINT": "bigint",
@@ -64,7 +68,13 @@ def compare(spark, connection, name: str, sf_dir: str) -> str | None:
 if __name__ == "__main__":
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     chosen = sys.argv[2:] or list(REGISTERED)
-    spark = session("check", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false"})
+    settings = {
+        "spark.sql.shuffle.partitions": "8",
+        "spark.ui.enabled": "false",
+        "spark.checkpoint.dir": WORK_DIR,
+        "spark.sql.warehouse.dir": f"{WORK_DIR}/warehouse",
+    }
+    spark = session("check", "local[8]", **settings)
     spark.sparkContext.setLogLevel("ERROR")
     connection = connect(sf_dir)
     for name in chosen:
@@ -73,4 +83,5 @@ if __name__ == "__main__":
             problem = compare(spark, connection, name, sf_dir)
         except Exception as error:  # report and go on with the next query
             problem = f"{type(error).__name__}: {str(error)[:1500]}"
+        discard_work(spark)
         print(f"{time.time() - begin:7.2f}s  {name:36s} {'ok' if problem is None else problem}", flush=True)

@@ -23,11 +23,14 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--as-of", dest="as_of", type=dt.date.fromisoformat, help="day ages refer to")
     parser.add_argument("--survey-year", dest="survey_year", type=int)
     parser.add_argument("--relocate-to", dest="relocate_to", help="move the star there when built")
+    parser.add_argument("--keep-generations", dest="keep_generations", type=int, help="contents kept per gold table")
+    parser.add_argument("--output-files", dest="output_files", action="store_true", default=None, help="size silver by its rows")
+    parser.add_argument("--hive", action="store_true", help="use the metastore the session is set up with")
     parser.add_argument("--steps", nargs="+", choices=list(STEPS), default=list(STEPS))
     given = {k: v for k, v in vars(parser.parse_args(argv)).items() if v is not None}
-    steps = given.pop("steps")
+    steps, hive = given.pop("steps"), given.pop("hive")
 
-    spark = session()
+    spark = session(hive=hive)
     report = run_pipeline(spark, Settings.from_env(**given), steps)
     outcomes = [outcome for _, outcome in report]
     as_report(spark, outcomes).show(len(outcomes) or 1, truncate=False)

@@ -5,19 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from medoria.work import materialise
+
 MAX_BROADCAST_ROWS = 2_000_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 MIN_HEAVY_ROWS = 10_000  # fewer rows are no burden to a task
 ROW = "*"  # all columns together decide how a row is dealt
 
 
-def broadcastable(df: DataFrame) -> bool:
-    """Whether the whole of ``df`` was measured to fit; one row returns to the driver."""
+def broadcastable(df: DataFrame, max_rows: int | None = None, max_bytes: int | None = None) -> bool:
+    """Whether the whole of ``df`` was measured to fit the bounds; one row returns to the driver."""
+    max_rows = MAX_BROADCAST_ROWS if max_rows is None else max_rows
+    max_bytes = MAX_BROADCAST_BYTES if max_bytes is None else max_bytes
     width = F.lit(0)
     for name in df.columns:
         width = width + F.coalesce(F.octet_length(F.col(name).cast("string")), F.lit(0)) + 16
     measured = df.agg(F.count(F.lit(1)).alias("rows"), F.sum(width).alias("bytes")).first()
-    return measured["rows"] <= MAX_BROADCAST_ROWS and (measured["bytes"] or 0) <= MAX_BROADCAST_BYTES
+    return measured["rows"] <= max_rows and (measured["bytes"] or 0) <= max_bytes
 
 
 def heavy_keys(df: DataFrame, key: str, parts: int) -> DataFrame:
@@ -65,12 +69,18 @@ def _salted(
 
 
 def lookup(
-    df: DataFrame, other: DataFrame, key: str, spread_by: str | None = None
+    df: DataFrame,
+    other: DataFrame,
+    key: str,
+    spread_by: str | None = None,
+    max_rows: int | None = None,
+    max_bytes: int | None = None,
 ) -> DataFrame:
     """Left join on one column of the same name.
 
-    ``other`` is broadcast when measured to be small. Otherwise the join
-    shuffles; rows of heavy keys are dealt over as many salts as they fill
+    ``other`` is broadcast when measured to be small: at most ``max_rows`` rows
+    and ``max_bytes``, to be set by the memory of an executor. Otherwise it is
+    written once, as it is read several times, and the join shuffles; rows of heavy keys are dealt over as many salts as they fill
     partitions, and ``other``'s rows of these keys are repeated per salt.
     Where ``other`` has heavy keys itself, these are joined apart with the
     sides swapped: all their rows have a match, so an inner join is enough.
@@ -79,9 +89,10 @@ def lookup(
     column that differs between the rows of a key; without it the position in
     the input decides, which is right when ``df`` is a scan with row-wise steps.
     """
-    if broadcastable(other):
+    if broadcastable(other, max_rows, max_bytes):
         return df.join(F.broadcast(other), key, "left")
 
+    other = materialise(other, "lookup")
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     crowded = heavy_keys(other, key, parts).select(F.col("_heavy_key").alias(key))
     crowded = crowded.where(F.col(key).isNotNull())

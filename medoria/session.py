@@ -5,9 +5,14 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 
-def session(app: str = "medoria", master: str | None = None, **conf: str) -> SparkSession:
-    """Adaptive execution and UTC; everything else is left to the cluster."""
+def session(app: str = "medoria", master: str | None = None, hive: bool = False, **conf: str) -> SparkSession:
+    """Adaptive execution and UTC; everything else is left to the cluster.
+
+    With ``hive`` the catalog is that of the metastore the cluster is set up with.
+    """
     builder = SparkSession.builder.appName(app)
+    if hive:
+        builder = builder.enableHiveSupport()
     if master:
         builder = builder.master(master)
     settings = {
