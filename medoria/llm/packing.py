@@ -16,8 +16,8 @@ whose lengths are powers of two, which need no padding.
 
 There is no shuffle, and a task that runs again cuts alike. Token ids are those
 of the given tokenizer file. A text is encoded through the faster library for the
-same vocabulary where both are known to agree (letters up to U+024F and no special
-token); every other text goes through the tokenizer file itself.
+same vocabulary where both are known to agree (letters up to U+024F, no special token
+and no run without a break over a thousand characters); every other text goes through the tokenizer file itself.
 
 Defined results: a null or empty text is the end token alone; a null id is kept;
 repeated rows are packed each; an empty table gives no rows; other columns are
@@ -45,7 +45,8 @@ FORCED_PENALTY = 8.0
 FORCED_EVERY = 16
 PLAN_TOKENS = 1 << 19
 
-_UNUSUAL = re.compile("[^\x00-ɏ]|<\\|endoftext\\|>")
+# what the faster library may split otherwise, or only with a deep stack or in quadratic time
+_UNUSUAL = re.compile("[^\x00-\u024f]|<\\|endoftext\\|>|\\s{1000}|\\S{2000}")
 
 
 class Encoder:

@@ -38,6 +38,8 @@ def test_awkward_rows(spark):
         4: "One. Two! Three? " * 900,
         5: "日本語 и кириллица <|endoftext|> x",
         6: " \n\t ",
+        7: "\n" * 300_000 + "x",
+        8: "x" * 20_000 + "!" * 20_000,
     }
     rows = [(k, v, "other") for k, v in texts.items()]
     docs = spark.createDataFrame(rows, "doc_id long, text string, ids string").coalesce(1)
