@@ -280,6 +280,13 @@ def output_files_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, counts).withColumn("n_files", output_files(F.col("n_rows")))
 
 
+@register
+def output_files_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rule over numbers on both sides of each bound: a hundred rows per byte of text."""
+    rows = table(spark, sf_dir, "documents").select("doc_id", (F.octet_length("text").cast("bigint") * 100).alias("n"))
+    return rows.select("doc_id", output_files(F.col("n")).alias("n_files"))
+
+
 @register
 def partition_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which gold tables are large enough to be partitioned by their column."""
@@ -339,6 +346,17 @@ def silver_csv_comma(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _converted(spark, source, "orders", "csv", like=orders)
 
 
+@register
+def silver_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Times of day survive the way through CSV."""
+    events = table(spark, sf_dir, "events").select("event_id", "ts")
+    source = _export_csv(events, work_path(spark, "raw"), "events", ",")
+    found = _converted(spark, source, "events", "csv")
+    return found.select(
+        F.col("event_id").cast("bigint"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("ts"), "table_name"
+    )
+
+
 @register
 def silver_csv_one_column_retry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As many commas inside the values as semicolons between them: the first guess is wrong."""
