@@ -74,14 +74,19 @@ def fit(labelled: DataFrame, text: str = "text", language: str = "lang") -> tupl
     rows = labelled.where(F.col(language).isNotNull()).select(F.col(text).alias("text"), F.col(language).alias("lang"))
     counted = rows.mapInArrow(count, "lang string, bin long, n long")
     summed = counted.groupBy("lang", "bin").agg(F.sum("n").alias("n"))
-    dense = summed.groupBy("lang").agg(F.collect_list(F.struct("bin", "n")).alias("bins"))
-    found = sorted((r["lang"], r["bins"]) for r in dense.limit(MAX_LANGUAGES + 1).collect())
+
+    def dense(t: pa.Table) -> pa.Table:
+        counts = np.zeros(BINS, "<i8")
+        counts[t.column("bin").to_numpy()] = t.column("n").to_numpy()
+        return pa.table({"lang": t.column("lang")[:1], "counts": pa.array([counts.tobytes()], pa.binary())})
+
+    each = summed.groupBy("lang").applyInArrow(dense, "lang string, counts binary")
+    found = sorted((r["lang"], bytes(r["counts"])) for r in each.limit(MAX_LANGUAGES + 1).collect())
     if len(found) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages are labelled: the model would not fit every task")
     table = np.full((BINS, len(found)), 0.5)
-    for k, (_, bins) in enumerate(found):
-        at, n = np.array(bins, dtype=np.int64).T
-        table[at, k] += n
+    for k, (_, counts) in enumerate(found):
+        table[:, k] += np.frombuffer(counts, "<i8")
     return [name for name, _ in found], table / table.sum(axis=0)
 
 
