@@ -22,6 +22,7 @@ from medoria.sinks import (
     as_report,
     ensure_database,
     failed,
+    newest,
     read_table,
     register_all,
     relocate,
@@ -144,34 +145,45 @@ def bridge_consultation_etablissement(spark: SparkSession, sf_dir: str) -> DataF
 # Business questions, over facts and dimensions as they are stored
 
 
-def _stored(spark: SparkSession, **built: DataFrame) -> list[DataFrame]:
-    """Gold tables as a user of the star reads them, in the order given."""
-    cfg = _settings(spark)
-    ensure_database(spark, cfg.database, cfg.database_root)
+_GOLD: dict[tuple[str, str, str], str] = {}
+
 
-    def write(one: tuple[str, DataFrame]) -> DataFrame:
-        with scratch(spark):
-            return replace_table(one[1], cfg.database, STAR[one[0]], cfg.gold_root)
+def _stored(spark: SparkSession, sf_dir: str, **build: Callable[[], DataFrame]) -> list[DataFrame]:
+    """Gold tables as a user of the star reads them, in the order given.
+
+    A session builds and stores each once per folder of given tables; questions then share it.
+    """
 
-    return together(write, built.items())
+    def find(one: tuple[str, Callable[[], DataFrame]]) -> DataFrame:
+        spec = STAR[one[0]]
+        key = (spark.sparkContext.applicationId, sf_dir, spec.name)
+        if key not in _GOLD or newest(spark, f"{_GOLD[key]}/{spec.name}") is None:
+            cfg = _settings(spark)
+            ensure_database(spark, cfg.database, cfg.database_root)
+            with scratch(spark):
+                replace_table(one[1](), cfg.database, spec, cfg.gold_root)
+            _GOLD[key] = cfg.gold_root
+        return read_table(spark, spec, _GOLD[key])
+
+    return together(find, build.items())
 
 
 @register
 def consult_by_etablissement(spark: SparkSession, sf_dir: str) -> DataFrame:
-    (fact,) = _stored(spark, fait_consultations=fait_consultations(spark, sf_dir))
+    (fact,) = _stored(spark, sf_dir, fait_consultations=lambda: fait_consultations(spark, sf_dir))
     return questions.consultation_rate(fact, "fk_etablissement", START, END)
 
 
 @register
 def consult_one_etablissement(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Some establishments alone; their shares still refer to all."""
-    (fact,) = _stored(spark, fait_consultations=fait_consultations(spark, sf_dir))
+    (fact,) = _stored(spark, sf_dir, fait_consultations=lambda: fait_consultations(spark, sf_dir))
     return questions.consultation_rate(fact, "fk_etablissement", START, END, only=ETABLISSEMENTS)
 
 
 @register
 def consult_by_diagnostic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    (fact,) = _stored(spark, fait_consultations=fait_consultations(spark, sf_dir))
+    (fact,) = _stored(spark, sf_dir, fait_consultations=lambda: fait_consultations(spark, sf_dir))
     return questions.consultation_rate(fact, "fk_diagnostic", START, END)
 
 
@@ -179,14 +191,17 @@ def consult_by_diagnostic(spark: SparkSession, sf_dir: str) -> DataFrame:
 def hosp_global(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = silver(spark, sf_dir, "hospitalisation", "patient")
     stays, people = _stored(
-        spark, fait_hospitalisation=facts.fait_hospitalisation(t), dim_patient=dimensions.dim_patient(t, AS_OF)
+        spark,
+        sf_dir,
+        fait_hospitalisation=lambda: facts.fait_hospitalisation(t),
+        dim_patient=lambda: dimensions.dim_patient(t, AS_OF),
     )
     return questions.hospitalisation_rate(stays, people, START, END)
 
 
 @register
 def hosp_by_diagnostic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    (stays,) = _stored(spark, fait_hospitalisation=fait_hospitalisation(spark, sf_dir))
+    (stays,) = _stored(spark, sf_dir, fait_hospitalisation=lambda: fait_hospitalisation(spark, sf_dir))
     return questions.hospitalisation_by(stays, "fk_diagnostic", START, END)
 
 
@@ -194,7 +209,10 @@ def hosp_by_diagnostic(spark: SparkSession, sf_dir: str) -> DataFrame:
 def hosp_by_sexe_age(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = silver(spark, sf_dir, "hospitalisation", "patient")
     stays, people = _stored(
-        spark, fait_hospitalisation=facts.fait_hospitalisation(t), dim_patient=dimensions.dim_patient(t, AS_OF)
+        spark,
+        sf_dir,
+        fait_hospitalisation=lambda: facts.fait_hospitalisation(t),
+        dim_patient=lambda: dimensions.dim_patient(t, AS_OF),
     )
     return questions.hospitalisation_by_patient(stays, people, ["sexe", "age"])
 
@@ -203,7 +221,10 @@ def hosp_by_sexe_age(spark: SparkSession, sf_dir: str) -> DataFrame:
 def consult_by_professionnel(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = silver(spark, sf_dir, "consultations", "activite_professionel", "professionnel_sante")
     visits, people = _stored(
-        spark, fait_consultations=facts.fait_consultations(t), dim_professionel=dimensions.dim_professionel(t)
+        spark,
+        sf_dir,
+        fait_consultations=lambda: facts.fait_consultations(t),
+        dim_professionel=lambda: dimensions.dim_professionel(t),
     )
     return questions.consultation_rate_by_professional(visits, people, START, END)
 
@@ -211,16 +232,16 @@ def consult_by_professionnel(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def deces_by_region(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = silver(spark, sf_dir, "deces", "communes", "region")
-    (places,) = _stored(spark, dim_lieu=dimensions.dim_lieu(t))
-    (deaths,) = _stored(spark, fait_deces=facts.fait_deces(t, places))
+    (places,) = _stored(spark, sf_dir, dim_lieu=lambda: dimensions.dim_lieu(t))
+    (deaths,) = _stored(spark, sf_dir, fait_deces=lambda: facts.fait_deces(t, places))
     return questions.deaths_by_region(deaths, places, YEAR)
 
 
 @register
 def satisfaction_by_region(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = silver(spark, sf_dir, *SURVEYS, *PLACES)
-    (places,) = _stored(spark, dim_etablissement=dimensions.dim_etablissement(t))
-    (lines,) = _stored(spark, fait_satisfaction=facts.fait_satisfaction(t, places, YEAR))
+    (places,) = _stored(spark, sf_dir, dim_etablissement=lambda: dimensions.dim_etablissement(t))
+    (lines,) = _stored(spark, sf_dir, fait_satisfaction=lambda: facts.fait_satisfaction(t, places, YEAR))
     return questions.satisfaction_by_region(lines, places, YEAR)
 
 
