@@ -26,9 +26,10 @@ from medoria.llm.queries import piece_columns, tokenizer_files
 from medoria.work import materialise
 
 WORDS = 5
-# 256 bits of fingerprint: at a similarity of 0.8 about 39 of them differ, at 0.6 about 59; of the first 64 about 10
-# and 15. The bounds lie two deviations above, so that what is similar enough is linked
-WIDE, RADIUS, TOTAL = 4, 18, 50
+SIMILAR = (4, 5)
+# candidates: of 256 bits of fingerprint about 39 differ at that similarity (48 for sets of 4 and 5 shingles), of the
+# first 64 about 10 (12). The bounds lie over three deviations above the latter, over four above the former
+RADIUS, TOTAL = 22, 70
 
 NO_ID = (1 << 63) - 1
 
@@ -53,9 +54,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     keyed = docs.withColumn("__key", _key())
-    groups = simhash.near_duplicates(
-        keyed.select("__key", "text"), words=WORDS, radius=RADIUS, id="__key", parts=1, wide=WIDE, total=TOTAL
-    )
+    groups = simhash.similar_groups(keyed.select("__key", "text"), WORDS, RADIUS, TOTAL, SIMILAR, id="__key")
     stay = groups.where(F.col("__key") == F.col("component_id")).select("__key").distinct()
     kept = keyed.join(stay, "__key", "left_semi").dropDuplicates(["__key"])
     return kept.select(*(f"`{c}`" for c in docs.columns))
