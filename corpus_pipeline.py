@@ -87,7 +87,8 @@ STAGES = [
     ("packing", pack),
 ]
 
-# SQL expresses neither the tokenizer nor the language model: the stages are tested against brute force instead
+# SQL expresses neither the tokenizer nor the language model. tests/llm/test_stages.py has the stages that are tested
+# against brute force with the parameters they run with
 ORACLE_SQL = None
 
 

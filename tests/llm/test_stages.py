@@ -5,6 +5,8 @@ from __future__ import annotations
 import random
 
 import corpus_pipeline
+from tests.llm.test_registered import check_pieces
+from tests.llm.test_suffixes import awkward, covered
 
 COLUMNS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -65,3 +67,39 @@ def test_near_duplicates_are_similar(spark):
     found = corpus_pipeline.near_duplicates(spark, documents(spark, texts), "").collect()
     assert {r["doc_id"] for r in found} == smallest_of_groups(texts)
     assert len(found) < len(texts) - 20
+
+
+def test_contamination_takes_every_document_with_a_window(spark, tmp_path):
+    draw = random.Random(12)
+
+    def some(n):
+        return [f"w{draw.randint(0, 40)}" for _ in range(n)]
+
+    items = [some(draw.choice((3, 9, 10, 11, 25))) for _ in range(20)]
+    spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(items)], "item_id long, text string").write.parquet(
+        f"{tmp_path}/benchmark.parquet"
+    )
+    texts = [(1000, None), (1001, "")]
+    for k in range(120):
+        item = draw.choice(items)
+        at, n = draw.randrange(len(item)), draw.randint(2, 14)
+        texts.append((k, " ".join([*some(draw.randint(0, 30)), *item[at : at + n], *some(draw.randint(0, 30))])))
+    windows = {" ".join(t[k : k + 10]) for t in items for k in range(max(1, len(t) - 9))}
+    clean = {k for k, t in texts if not any(f" {w} " in f" {t or ''} " for w in windows)}
+    found = corpus_pipeline.contamination(spark, documents(spark, texts), str(tmp_path)).collect()
+    assert {r["doc_id"] for r in found} == clean and 20 < len(clean) < len(texts) - 10
+
+
+def test_packing_keeps_every_id(spark):
+    draw = random.Random(13)
+    texts = {k: " ".join(f"w{draw.randint(0, 999)}" for _ in range(draw.choice((0, 1, 40, 3000)))) for k in range(40)}
+    check_pieces(corpus_pipeline.pack(spark, documents(spark, texts.items()), "").collect(), texts)
+
+
+def test_repeats_are_cut_byte_by_byte(spark):
+    texts = [(t or "").encode("ascii", "ignore").decode() for t in awkward(1)]
+    marks = covered([t.encode() for t in texts])
+    found = corpus_pipeline.repeats(spark, documents(spark, enumerate(texts)), "").collect()
+    kept = {k: "".join(c for c, m in zip(t, marks[k]) if not m) for k, t in enumerate(texts)}
+    assert {r["doc_id"]: r["text"] for r in found} == kept and len(found) == len(texts)
+    assert all(r["n_chars"] == len(r["text"]) for r in found)
