@@ -25,3 +25,10 @@ def bounded_sample(df: DataFrame, key: str, at_most: int) -> DataFrame:
         return df
     share = int(at_most / n * (1 << 30))
     return df.where(F.pmod(F.xxhash64(F.lit("fit"), F.col(key)), F.lit(1 << 30)) < share)
+
+
+def finite(vector: Column) -> Column:
+    """Whether a vector is there and holds neither nulls nor components that are not finite."""
+    x = vector.cast("array<double>")
+    every = F.forall(x, lambda e: e.isNotNull() & ~F.isnan(e) & (F.abs(e) != float("inf")))
+    return F.coalesce(vector.isNotNull() & every, F.lit(False))

@@ -92,8 +92,61 @@ select conv_id, count(*) as n_turns,
 from placed group by conv_id
 """
 
+
+
+def _vector_codes(entries: int = 256, parts: int = 4, rounds: int = 4, scale: int = 1024) -> str:
+    """Vector codes, one round after the other; list distances are sums of squares of whole numbers."""
+    steps = [
+        f"""kept as (
+    select vec_id, label, list_transform(embedding, lambda x: cast(floor({scale} * cast(x as double)) as bigint)) as v
+    from embeddings
+    where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+),
+parts as (
+    select vec_id, label, p, v[p * (len(v) // {parts}) + 1:(p + 1) * (len(v) // {parts})] as x
+    from kept, range({parts}) as r(p)
+),
+book0 as (
+    select p, row_number() over (partition by p order by vec_id) - 1 as e, x as c
+    from parts where vec_id in (select vec_id from kept order by vec_id limit {entries})
+)"""
+    ]
+    apart = "list_sum(list_transform(range(1, len(x) + 1), lambda i: (x[i] - c[i]) * (x[i] - c[i])))"
+    for k in range(rounds + 1):
+        steps.append(
+            f"""code{k} as materialized (
+    select vec_id, label, p, any_value(x) as x, arg_min(e, (d, e)) as e, min(d) as d
+    from (select vec_id, label, p, x, e, {apart} as d from parts join book{k} using (p))
+    group by vec_id, label, p
+)"""
+        )
+        if k < rounds:
+            steps.append(
+                f"""book{k + 1} as materialized (
+    select b.p, b.e, coalesce(m.c, b.c) as c
+    from book{k} b left join (
+        select p, e, list(cast(floor(s / n) as bigint) order by i) as c
+        from (select p, e, i, sum(x[i]) as s, count(*) as n from code{k}, range(1, len(x) + 1) as r(i) group by p, e, i)
+        group by p, e
+    ) m on m.p = b.p and m.e = b.e
+)"""
+            )
+    return f"""
+with {", ".join(steps)},
+coded as (
+    select vec_id, label, string_agg(printf('%02x', e), '' order by p) as code, cast(sum(d) as bigint) as error
+    from code{rounds} group by vec_id, label
+)
+select vec_id, code, error,
+       cast(sum(error) over (partition by label) as bigint) as label_error,
+       (select sha256(string_agg(array_to_string(c, ','), ',' order by p, e)) from book{rounds}) as codebooks_sha256
+from coded
+"""
+
+
 ORACLES: dict[str, str] = {
     "op1_topk_search": _TOP_K,
     "op6_decontamination": _CONTAMINATION,
     "op8_chat_format": _CHAT,
+    "op13_vector_codes": _vector_codes(),
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medoria.llm import chat, decontaminate, html, langid, packing, quality, simhash, suffixes, topk, urls
+from medoria.llm import ballcodes, chat, decontaminate, html, langid, packing, quality, simhash, suffixes, topk, urls
 from medoria.llm.common import held_out, table
 
 
@@ -138,6 +138,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_columns(packing.pack(table(spark, sf_dir, "documents"), **tokenizer_files()))
 
 
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ballcodes.codes(table(spark, sf_dir, "embeddings"))
+
+
 REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_topk_search": op1_topk_search,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -149,4 +153,5 @@ REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat_format": op8_chat_format,
     "op9_language_id": op9_language_id,
     "op10_packing": op10_packing,
+    "op13_vector_codes": op13_vector_codes,
 }
