@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medoria.llm import ballcodes, chat, decontaminate, html, langid, packing, quality, simhash, spelling, suffixes, topk, urls
+from medoria.llm import ballcodes, chat, decontaminate, html, langid, neighbours, packing, quality, simhash, spelling, suffixes, topk, urls
 from medoria.llm.common import held_out, table
 
 
@@ -138,6 +138,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_columns(packing.pack(table(spark, sf_dir, "documents"), **tokenizer_files()))
 
 
+def op11_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = spelling.variants(spelling.observed(table(spark, sf_dir, "documents")))
     return found.select("word", "form", "root", "n", "n_near", "form_n")
@@ -158,6 +162,7 @@ REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat_format": op8_chat_format,
     "op9_language_id": op9_language_id,
     "op10_packing": op10_packing,
+    "op11_neighbours": op11_neighbours,
     "op12_spelling": op12_spelling,
     "op13_vector_codes": op13_vector_codes,
 }
