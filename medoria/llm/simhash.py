@@ -15,13 +15,9 @@ of cells that near are compared, and all their pairs are: numpy exclusive-or and
 bit counts. A pair of tiles returns a spanning forest of its links, never all
 pairs of a group. Components are found over these forests.
 
-``similar_groups`` takes fingerprints for candidates only: they are made of the
-distinct shingles, and two shingle sets are linked if their exact similarity says so.
-Equal sets are one node first. A first pass returns forests of the nearest candidates;
-the second one compares what had candidates and is still apart, and returns all pairs of
-different groups. So every candidate pair is checked, or its two sets are in one group.
+Where a similarity of shingle sets decides, ``similar_sets`` compares sets in such tiles.
 
-Defined results: a null or wordless text has fingerprint zero, which links like
+A text of any length has one fingerprint, of all its shingles. Defined results: a null or wordless text has fingerprint zero, which links like
 any other; a null id is kept and gets its component's smallest id (null if all
 are); repeated rows share their component; an empty table gives no rows; other
 columns are ignored.
@@ -218,155 +214,3 @@ def near_duplicates(
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = rooted.join(least, "root").select("fingerprint", "component_id")
     return prints.join(named, "fingerprint").select(id, "fingerprint", "component_id")
-
-
-# a shingle set as a row of numbers: words of its fingerprint, its size, a hash of all of it; then, if asked for, its group
-SET_WORDS = 4
-NODE = SET_WORDS + 2
-
-
-def shingle_sets(docs: DataFrame, words: int, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, fingerprint) of every row; ``fingerprint`` is the row of numbers of its set of distinct shingles."""
-    from xxhash import xxh64_intdigest
-
-    def of(text: bytes) -> list[int]:
-        hashes = np.unique(shingle_hashes(text, words))
-        whole = xxh64_intdigest(hashes.astype("<u8").tobytes(), SEED)
-        return [*(simhash(_mixed(hashes, k)) for k in range(SET_WORDS)), len(hashes), whole - (whole >> 63 << 64)]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            values = pa.array([of(t.as_py()) for t in batch.column(1)], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), values], names=["id", "fingerprint"])
-
-    rows = docs.select(F.col(id).alias("id"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"))
-    out = rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, fingerprint array<long>")
-    return out.withColumnRenamed("id", id)
-
-
-def _near(
-    a: np.ndarray, b: np.ndarray, same: bool, radius: int, total: int, similar: tuple[int, int], forest: bool
-) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of rows of two arrays that may be similar and differ in their last number; ``forest``: what joins them, the nearest first."""
-    _, back = np.unique(np.concatenate([a[:, -1], b[:, -1]]), return_inverse=True)
-    of_a, of_b = back[: len(a)], back[len(a) :]
-    label = np.arange(len(a) + len(b))
-    first_a, first_b = a[:, 0].copy(), b[:, 0].copy()
-    prints_a, prints_b = a[:, :SET_WORDS].copy(), b[:, :SET_WORDS].copy()
-    size_a, size_b = a[:, SET_WORDS].astype(np.int64), b[:, SET_WORDS].astype(np.int64)
-    found_a, found_b = [], []
-    step = max(1, _AT_ONCE // max(1, len(b)))
-    for k in range(0, len(a), step):
-        i, j = np.nonzero(np.bitwise_count(first_a[k : k + step, None] ^ first_b[None, :]) <= radius)
-        i += k
-        # sets whose sizes are too far apart cannot be similar
-        x, y = size_a[i], size_b[j]
-        open_ = np.minimum(x, y) * similar[1] >= np.maximum(x, y) * similar[0]
-        open_ &= label[of_a[i]] != label[of_b[j]]
-        if same:
-            open_ &= i < j
-        i, j = i[open_], j[open_]
-        differ = np.bitwise_count(prints_a[i] ^ prints_b[j]).sum(axis=1, dtype=np.int64)
-        near = np.flatnonzero(differ <= total)
-        i, j = i[near], j[near]
-        if not forest:
-            found_a.append(i)
-            found_b.append(j)
-            continue
-        order = np.argsort(differ[near], kind="stable")
-        i, j = i[order], j[order]
-        while len(i):
-            u, v = label[of_a[i]], label[of_b[j]]
-            open_ = u != v
-            i, j, u, v = i[open_], j[open_], u[open_], v[open_]
-            # each group takes its nearest pair with a group of a smaller number, so there is no circle
-            own, at = np.unique(np.maximum(u, v), return_index=True)
-            found_a.append(i[at])
-            found_b.append(j[at])
-            label[own] = np.minimum(u, v)[at]
-            while (label != label[label]).any():
-                label = label[label]
-    i, j = (np.concatenate([*x, np.empty(0, np.int64)]).astype(np.int64) for x in (found_a, found_b))
-    return a[i, :NODE], b[j, :NODE]
-
-
-def candidates(
-    distinct: DataFrame, radius: int, total: int, similar: tuple[int, int], forest: bool, tile: int = TILE
-) -> DataFrame:
-    """Distinct pairs (u, v), u < v, of sets that may be similar, from rows that ``shingle_sets`` gives (and their group)."""
-
-    def rows(prints: pa.Scalar) -> np.ndarray:
-        values = prints.values
-        return values.flatten().to_numpy().view(np.uint64).reshape(len(values), -1)
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = pa.list_(pa.int64())
-        for batch in batches:
-            for a, b, same in zip(*batch.columns):
-                u, v = _near(rows(a), rows(b), same.as_py(), radius, total, similar, forest)
-                for k in range(0, len(u), 1 << 16):
-                    ends = [pa.array(x[k : k + (1 << 16)].view(np.int64).tolist(), kind) for x in (u, v)]
-                    yield pa.RecordBatch.from_arrays(ends, names=["u", "v"])
-
-    found = _tile_pairs(distinct, radius, 1, tile).mapInArrow(compare, "u array<long>, v array<long>")
-    return found.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
-
-
-def verified(pairs: DataFrame, texts: DataFrame, words: int, similar: tuple[int, int]) -> DataFrame:
-    """The pairs (u, v) whose shingle sets are similar; ``texts`` has one (fingerprint, text) for each of them."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            passed = []
-            for a, b in zip(batch.column(2), batch.column(3)):
-                x, y = (np.unique(shingle_hashes(t.as_py(), words)) for t in (a, b))
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                passed.append(both * similar[1] >= (len(x) + len(y) - both) * similar[0])
-            yield batch.select([0, 1]).filter(pa.array(passed, pa.bool_()))
-
-    one = pairs.join(texts.select(F.col("fingerprint").alias("u"), F.col("text").alias("a")), "u")
-    two = one.join(texts.select(F.col("fingerprint").alias("v"), F.col("text").alias("b")), "v")
-    return two.select("u", "v", "a", "b").mapInArrow(run, "u array<long>, v array<long>")
-
-
-def similar_groups(
-    docs: DataFrame,
-    words: int,
-    radius: int,
-    total: int,
-    similar: tuple[int, int],
-    id: str = "doc_id",
-    text: str = "text",
-    tile: int = TILE,
-) -> DataFrame:
-    """One row per document: the id and ``component_id``, the smallest id reachable over pairs of similar shingle sets.
-
-    Similar: the intersection is at least ``similar`` (numerator, denominator) of the union.
-    Candidates differ in at most ``radius`` bits of the first word and ``total`` of all. Equal
-    ids must have equal texts. Sets without a shingle are equal.
-    """
-    rows = docs.select(F.col(id).alias("id"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"))
-    prints = materialise(shingle_sets(rows, words, "id"), "fingerprints")
-    distinct = materialise(prints.groupBy("fingerprint").agg(F.min("id").alias("least")), "sets")
-    first = materialise(candidates(distinct.select("fingerprint"), radius, total, similar, True, tile), "pairs")
-    nodes = first.select(F.col("u").alias("fingerprint")).union(first.select("v")).distinct()
-    # only sets with a candidate need their text
-    wanted = distinct.join(nodes, "fingerprint").select("fingerprint", F.col("least").alias("id"))
-    texts = materialise(
-        rows.join(wanted, "id").groupBy("fingerprint").agg(F.first("text").alias("text")), "texts"
-    )
-    sure = materialise(verified(first, texts, words, similar), "similar")
-    roots = components(sure)
-    grouped = texts.select("fingerprint").join(roots, F.col("fingerprint") == F.col("node"), "left")
-    group = F.coalesce("root", "fingerprint")[NODE - 1]
-    grouped = grouped.select(F.concat("fingerprint", F.array(group)).alias("fingerprint"))
-    second = candidates(grouped, radius, total, similar, False, tile).join(first, ["u", "v"], "left_anti")
-    more = verified(materialise(second, "pairs"), texts, words, similar)
-    roots = components(sure.unionByName(more))
-    rooted = distinct.join(roots, distinct["fingerprint"] == roots["node"], "left").select(
-        "fingerprint", "least", F.coalesce("root", "fingerprint").alias("root")
-    )
-    rooted = materialise(rooted, "rooted")
-    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(least, "root").select("fingerprint", "component_id")
-    return prints.join(named, "fingerprint").select(F.col("id").alias(id), "component_id")
