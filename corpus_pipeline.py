@@ -12,7 +12,10 @@ return the columns of the documents they were given; their decisions take effect
 5. ``packing``: the texts become pieces of token sequences.
 
 Null, empty and repeated rows take part like any other; a document without an id is
-told apart by its text. Empty tables give empty tables.
+told apart by its text. Of rows with one id and one text the near-duplicate stage keeps one,
+chosen by a hash of all their columns. Texts of any length are taken whole; ties go to the
+smaller id. Columns beside those of the documents stay, whatever their names. Empty
+tables give empty tables.
 """
 
 from __future__ import annotations
@@ -20,16 +23,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medoria.llm import decontaminate, langid, packing, simhash, suffixes
+from medoria.llm import decontaminate, langid, packing, similar_sets, suffixes
 from medoria.llm.common import held_out, table
 from medoria.llm.queries import piece_columns, tokenizer_files
 from medoria.work import materialise
 
 WORDS = 5
 SIMILAR = (4, 5)
-# candidates: of 256 bits of fingerprint about 39 differ at that similarity (48 for sets of 4 and 5 shingles), of the
-# first 64 about 10 (12). The bounds lie over three deviations above the latter, over four above the former
-RADIUS, TOTAL = 22, 70
 
 NO_ID = (1 << 63) - 1
 
@@ -39,11 +39,10 @@ def _row(docs: DataFrame) -> Column:
     return F.struct(*(F.col(f"`{c}`") for c in docs.columns))
 
 
-def _key() -> Column:
-    """What tells documents apart: the id (none sorts last) and a hash of the text, never null."""
-    return F.struct(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), F.xxhash64("text").alias("text")
-    )
+def _keyed(docs: DataFrame) -> DataFrame:
+    """(row, text, key): the key tells documents apart, by the id (none sorts last) and a hash of the text; never null."""
+    key = F.struct(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), F.xxhash64("text").alias("text"))
+    return docs.select(_row(docs).alias("row"), "text", key.alias("key"))
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,11 +52,12 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    keyed = docs.withColumn("__key", _key())
-    groups = simhash.similar_groups(keyed.select("__key", "text"), WORDS, RADIUS, TOTAL, SIMILAR, id="__key")
-    stay = groups.where(F.col("__key") == F.col("component_id")).select("__key").distinct()
-    kept = keyed.join(stay, "__key", "left_semi").dropDuplicates(["__key"])
-    return kept.select(*(f"`{c}`" for c in docs.columns))
+    keyed = _keyed(docs)
+    groups = similar_sets.similar_groups(keyed.select("key", "text"), WORDS, SIMILAR, id="key")
+    stay = groups.where(F.col("key") == F.col("component_id")).select("key").distinct()
+    kept = keyed.join(stay, "key", "left_semi")
+    # of rows with one id and text any of the equal ones, else always the same
+    return kept.groupBy("key").agg(F.min_by("row", F.xxhash64("row")).alias("row")).select("row.*")
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -69,10 +69,10 @@ def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def contamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    keyed = docs.withColumn("__key", _key())
-    found = decontaminate.contamination(keyed.select("__key", "text"), table(spark, sf_dir, "benchmark"), id="__key")
-    hit = found.where(F.size("spans") > 0).select("__key").distinct()
-    return keyed.join(hit, "__key", "left_anti").select(*(f"`{c}`" for c in docs.columns))
+    keyed = _keyed(docs)
+    found = decontaminate.contamination(keyed.select("key", "text"), table(spark, sf_dir, "benchmark"), id="key")
+    hit = found.where(F.size("spans") > 0).select("key").distinct()
+    return keyed.join(hit, "key", "left_anti").select("row.*")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
