@@ -56,3 +56,25 @@ def matching(spark: SparkSession, pattern: str) -> list[str]:
     """The paths a pattern of the file system matches."""
     system, place = _system(spark, pattern)
     return [status.getPath().toString() for status in system.globStatus(place) or ()]
+
+
+def head(spark: SparkSession, path: str, n: int) -> bytes:
+    """The first ``n`` bytes of a file at most, unpacked; no more of it is read."""
+    system, place = _system(spark, path)
+    packed = spark._jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(spark._jsc.hadoopConfiguration())
+    codec = packed.getCodec(place)
+    stream = system.open(place)
+    try:
+        return bytes((codec.createInputStream(stream) if codec else stream).readNBytes(n))
+    finally:
+        stream.close()
+
+
+def size(spark: SparkSession, path: str) -> int:
+    system, place = _system(spark, path)
+    return system.getFileStatus(place).getLen()
+
+
+def literal(path: str) -> str:
+    """A path as a pattern that matches it alone."""
+    return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)

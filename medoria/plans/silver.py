@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -10,24 +12,24 @@ from pyspark.sql.types import StructType
 
 from medoria.parallel import together
 from medoria.sinks.report import EMPTY, FAILED, OK, Outcome
-from medoria.sinks.silver import write_silver
+from medoria.sinks.silver import write_counted
 from medoria.sources import UnsupportedFormat, discover, read_raw
+from medoria.sources.csv_files import CORRUPT
 from medoria.sources.discovery import unreadable_names
+from medoria.sources.json_files import SOURCE
 from medoria.sources.silver import TEXT_COLUMNS
 
 
-CORRUPT = "_corrupt_record"
-
-
 def with_lineage(df: DataFrame, table_name: str) -> DataFrame:
     """When a row was converted, from which file, into which table."""
+    file = F.col(SOURCE) if SOURCE in df.columns else F.input_file_name()
     return df.withColumns(
         {
             "conversion_timestamp": F.current_timestamp(),
-            "source_file": F.input_file_name(),
+            "source_file": file,
             "table_name": F.lit(table_name),
         }
-    )
+    ).drop(SOURCE)
 
 
 def convert_source(
@@ -38,22 +40,27 @@ def convert_source(
     file_format: str = "csv",
     schema: StructType | None = None,
     output_files: bool = False,
+    options: Mapping[str, str] | None = None,
 ) -> Outcome:
     """One source to one silver table; what goes wrong is in the outcome.
 
-    Records that do not parse are kept in a column of their own, and counted.
+    Records that do not parse are counted as the table is written, and kept in a column of
+    their own; a table of CSV files without any has no such column, one with some is written once more to have it.
     """
     try:
-        raw = read_raw(spark, source_path, file_format, schema, TEXT_COLUMNS.get(table_name, ()))
+        known = TEXT_COLUMNS.get(table_name, ())
+        raw = read_raw(spark, source_path, file_format, schema, known, keep_corrupt=True, options=options)
         table = with_lineage(raw, table_name)
-        rows = write_silver(table, target_path, output_files)
-        corrupt = 0
-        if rows and CORRUPT in table.columns:
-            corrupt = spark.read.parquet(target_path).where(F.col(CORRUPT).isNotNull()).count()
+        count = [c for c in table.columns if c == CORRUPT]
+        spare = count if file_format.lower() == "csv" else []
+        written = write_counted(table, target_path, output_files, count, spare)
+        corrupt = written.counted.get(CORRUPT, 0)
+        if corrupt and spare:
+            written, spare = write_counted(table, target_path, output_files, count), []
     except (PySparkException, Py4JJavaError, UnsupportedFormat) as error:
         return Outcome(table_name, FAILED, error=str(error))
     note = f"{corrupt} records do not parse, they are in {CORRUPT}" if corrupt else None
-    return Outcome(table_name, OK if rows else EMPTY, rows, len(table.columns), note)
+    return Outcome(table_name, OK if written.rows else EMPTY, written.rows, len(table.columns) - len(spare), note)
 
 
 def preview(spark: SparkSession, target_path: str, rows: int = 3) -> DataFrame:

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from medoria.files import remove
 from medoria.operators import partition_column
 from medoria.sinks.catalog import move_entry
 from medoria.sinks.generations import new_generation, newest, retire
@@ -40,30 +39,23 @@ def replace_table(
     it is complete, so ``df`` may read the table it replaces. What is returned
     are these very files, until ``keep`` later overwrites have removed them.
 
-    ``df`` runs once. If what it wrote is large enough to be partitioned by the
-    column of the contract, these files are read and written again that way.
+    The layout is chosen before: the rows are counted per value of the column of the
+    contract, a pass that computes this column alone, and are then written once.
     """
     spark = df.sparkSession
     df = conform(df, spec)
     folder = f"{root.rstrip('/')}/{spec.name}"
 
-    def write(rows: DataFrame, column: str | None) -> str:
-        location = new_generation(folder)
-        partitions = [column] if column is not None else []
-        if column is not None:
-            # a value's rows meet in few files, and a frequent value is split
-            rows = rows.hint("rebalance", column)
-        if spec.sort_by is not None:
-            rows = rows.sortWithinPartitions(*partitions, spec.sort_by)
-        rows.write.format(table_format).mode("errorifexists").partitionBy(*partitions).save(location)
-        return location
-
-    location = write(df, None)
-    written = _read(spark, spec, location, table_format)
-    column = partition_column(written, spec.adaptive_by)
+    column = partition_column(df, spec.adaptive_by)
+    partitions = [column] if column is not None else []
+    rows = df
     if column is not None:
-        whole, location = location, write(written, column)
-        remove(spark, whole)
-    move_entry(spark, database, spec.name, location, spec.schema, [column] if column else [], table_format)
+        # a value's rows meet in few files, and a frequent value is split
+        rows = rows.hint("rebalance", column)
+    if spec.sort_by is not None:
+        rows = rows.sortWithinPartitions(*partitions, spec.sort_by)
+    location = new_generation(folder)
+    rows.write.format(table_format).mode("errorifexists").partitionBy(*partitions).save(location)
+    move_entry(spark, database, spec.name, location, spec.schema, partitions, table_format)
     retire(spark, folder, keep)
     return _read(spark, spec, location, table_format)

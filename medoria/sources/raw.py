@@ -2,155 +2,32 @@
 
 from __future__ import annotations
 
-from collections.abc import Collection, Sequence
-from functools import reduce
+from collections.abc import Collection, Mapping
 
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import StructType
 
-# How raw CSV files are written.
-CSV_OPTIONS = {
-    "header": True,
-    "quote": '"',
-    "escape": '"',
-    "encoding": "UTF-8",
-    "multiLine": False,
-    "ignoreLeadingWhiteSpace": True,
-    "ignoreTrailingWhiteSpace": True,
-}
-SEPARATORS = (",", ";")
-UNREADABLE = "�"  # what a byte that is not UTF-8 decodes to
+from medoria.sources.csv_files import read_csv
+from medoria.sources.json_files import read_json
 
 
 class UnsupportedFormat(ValueError):
     """A file format none of the readers knows."""
 
 
-def sniff_separator(first_lines: Sequence[str]) -> str:
-    """``;`` if the first two lines hold more of it than ``,`` or are not UTF-8, else ``,``."""
-    lines = "".join(first_lines[:2])
-    if UNREADABLE in lines or lines.count(";") > lines.count(","):
-        return ";"
-    return ","
-
-
-def _first_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(file, line, next): the first two lines of every file of a source."""
-    lines = spark.read.text(path, recursiveFileLookup=True).select(
-        F.col("_metadata.file_path").alias("file"),
-        F.struct((F.col("_metadata.file_block_start") + 0).alias("block"), F.monotonically_increasing_id().alias("at")).alias("at"),
-        "value",
-    )
-    # the lines of a file follow each other in the scan, so its second is the one after its first
-    first = lines.groupBy("file").agg(F.min(F.struct("at", "value")).alias("one"))
-    later = lines.join(first, "file").where(F.col("at.block") == F.col("one.at.block"))
-    second = later.where(F.col("at.at") == F.col("one.at.at") + 1).select("file", F.col("value").alias("next"))
-    return first.join(second, "file", "left").select("file", F.col("one.value").alias("line"), "next")
-
-
-def _separators(spark: SparkSession, path: str) -> dict[str, list[str]]:
-    """The files of a source by their separator: paths alone, as many as Spark lists to read them."""
-    reader = spark.read.options(**CSV_OPTIONS)
-    by: dict[str, list[str]] = {}
-    for row in _first_lines(spark, path).orderBy("file").collect():
-        separator = sniff_separator([row["line"], row["next"] or ""])
-        other = next(s for s in SEPARATORS if s != separator)
-        # a wrong guess leaves the header in one piece
-        if separator not in row["line"] and other in row["line"]:
-            if len(reader.csv(row["file"], sep=other).columns) > 1:
-                separator = other
-        by.setdefault(separator, []).append(row["file"])
-    return by
-
-
-def read_csv(
-    spark: SparkSession,
-    path: str,
-    schema: StructType | None = None,
-    text_columns: Collection[str] = (),
-) -> DataFrame:
-    """CSV with a header, the separator of each file found out and its types inferred.
-
-    Inference reads the files once more; a known ``schema`` avoids that, and so
-    do ``text_columns`` where they are all there is. Columns of that name are
-    text, whatever their values look like: a code keeps its leading zeros.
-    If types cannot be inferred every column is text.
-    """
-    reader = spark.read.options(**CSV_OPTIONS).option("recursiveFileLookup", True)
-
-    def typed(files: list[str] | str, separator: str) -> DataFrame:
-        if schema is not None:
-            return reader.schema(schema).csv(files, sep=separator)
-        plain = reader.csv(files, sep=separator)
-        if set(plain.columns) <= set(text_columns):
-            return plain
-        try:
-            inferred = reader.csv(files, sep=separator, inferSchema=True).schema
-        except (PySparkException, Py4JJavaError):
-            # without inference every column is text; an unreadable source fails here
-            return plain
-        fields = [StructField(f.name, StringType()) if f.name in text_columns else f for f in inferred]
-        return reader.schema(StructType(fields)).csv(files, sep=separator)
-
-    by = _separators(spark, path)
-    if len(by) <= 1:
-        return typed(path, next(iter(by), SEPARATORS[0]))
-    parts = [typed(files, separator) for separator, files in sorted(by.items())]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-
-
-def _by_lines(spark: SparkSession, path: str) -> dict[bool, list[str]]:
-    """The files of a source by whether they hold an object per line.
-
-    They do if the first line, or at least half of all lines, blank ones aside, are whole
-    objects: some broken records do not turn such a file into one document.
-    """
-    lines = spark.read.text(path, recursiveFileLookup=True).select(
-        F.col("_metadata.file_path").alias("file"),
-        F.trim("value").alias("value"),
-        F.monotonically_increasing_id().alias("at"),
-    )
-    whole = F.col("value").rlike(r"(?s)^\{.*\}$") & F.try_parse_json("value").isNotNull()
-    files = lines.where("value <> ''").groupBy("file").agg(
-        (F.min_by(whole, "at") | (F.avg(whole.cast("int")) >= 0.5)).alias("whole")
-    )
-    by: dict[bool, list[str]] = {}
-    for row in files.orderBy("file").collect():  # paths alone
-        by.setdefault(row["whole"], []).append(row["file"])
-    return by
-
-
-def read_json(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
-    """JSON documents of any layout; nested values stay nested.
-
-    Which layout a file has is told from all of it: files with an object on each
-    line are read by lines, which also splits them; any other file is read whole, by
-    one task. What does not parse is in ``_corrupt_record``, as Spark names it.
-    """
-    reader = spark.read.option("recursiveFileLookup", True)
-    if schema is not None:
-        reader = reader.schema(schema)
-    by = _by_lines(spark, path)
-    if len(by) <= 1:
-        return reader.json(path, multiLine=not next(iter(by), True))
-    parts = [reader.json(files, multiLine=not whole) for whole, files in sorted(by.items())]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-
-
 def read_raw(
     spark: SparkSession,
     path: str,
     file_format: str,
     schema: StructType | None = None,
     text_columns: Collection[str] = (),
+    keep_corrupt: bool = False,
+    options: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """One source of the given format. Unknown formats raise ``UnsupportedFormat``."""
     match file_format.lower():
         case "csv":
-            return read_csv(spark, path, schema, text_columns)
+            return read_csv(spark, path, schema, text_columns, keep_corrupt, options)
         case "json":
             return read_json(spark, path, schema)
         case "parquet":

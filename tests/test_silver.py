@@ -3,16 +3,19 @@ from __future__ import annotations
 import datetime as dt
 import json
 import os
+import random
 
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrameReader
+from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from medoria.plans.silver import convert_folder, convert_source, preview, with_lineage
 from medoria.sinks import as_report, failed, summary, write_silver
 from medoria.sinks.report import Outcome
-from medoria.sources import UnsupportedFormat, discover, read_csv, read_raw, sniff_separator
+from medoria.sources import UnsupportedFormat, discover, read_csv, read_json, read_raw, sniff_separator
+from medoria.sources.json_files import array_records, layout
 from medoria.sources.jdbc import jdbc_options
 from medoria.sources.silver import SILVER_COLUMNS, SILVER_TABLES, MissingTables, check_silver, load_silver
 
@@ -319,3 +322,125 @@ def test_records_that_do_not_parse_are_counted(spark, tmp_path):
     path = put(tmp_path, "f.json", '{"a":1}\n{"a":2}\n{"a":\n')
     outcome = convert_source(spark, path, f"{tmp_path}/out", "f", "json")
     assert outcome.status == "OK" and "do not parse" in outcome.error
+
+
+def test_columns_go_by_their_names(spark, tmp_path):
+    put(tmp_path, "f.csv/a.csv", "id,name\n1,x\n2,y,z\n")
+    put(tmp_path, "f.csv/b.csv", "name;id;more\nw;3;1.5\nv;4\n")
+    put(tmp_path, "f.csv/c.csv", "ID,name\n5,007\n")
+    put(tmp_path, "f.csv/empty.csv", "")
+    source = f"{tmp_path}/f.csv"
+    found = read_csv(spark, source, text_columns=["name"])
+    rows = sorted(tuple(r) for r in found.select("id", "name", "more").collect())
+    assert rows == [(1, "x", None), (2, "y", None), (3, "w", 1.5), (4, "v", None), (5, "007", None)]
+    out = f"{tmp_path}/out"
+    outcome = convert_source(spark, source, out, "f")
+    assert (outcome.status, outcome.n_rows, outcome.n_cols) == ("OK", 5, 7) and outcome.error.startswith("2 records")
+    broken = spark.read.parquet(out).where("_corrupt_record is not null")
+    assert sorted(r["_corrupt_record"] for r in broken.collect()) == ["2,y,z", "v;4"]
+
+
+def test_types_that_differ_between_files(spark, tmp_path):
+    put(tmp_path, "f.csv/a.csv", "a,b,c\n1,1,1\n")
+    put(tmp_path, "f.csv/b.csv", "b,a,c\n2.5,3000000000,x\n")
+    found = read_csv(spark, f"{tmp_path}/f.csv")
+    assert dict(found.dtypes) == {"a": "bigint", "b": "double", "c": "string"}
+    assert sorted(map(tuple, found.collect())) == [(1, 1.0, "1"), (3000000000, 2.5, "x")]
+
+
+def test_a_known_schema_goes_by_names_too(spark, tmp_path):
+    put(tmp_path, "f.csv/a.csv", "code;id\n01;1\n")
+    put(tmp_path, "f.csv/b.csv", "id;other\n2;z\n")
+    schema = StructType([StructField("id", LongType()), StructField("code", StringType()), StructField("none", StringType())])
+    found = read_csv(spark, f"{tmp_path}/f.csv", schema)
+    assert found.schema.names == ["id", "code", "none"]
+    assert sorted(tuple(r) for r in found.collect()) == [(1, "01", None), (2, None, None)]
+
+
+def test_values_a_schema_does_not_hold_are_kept(spark, tmp_path):
+    path = put(tmp_path, "f.csv", "id;code\n1;x\nabc;y\n")
+    schema = StructType([StructField("id", LongType()), StructField("code", StringType())])
+    found = read_csv(spark, path, schema, keep_corrupt=True)
+    assert sorted(map(tuple, found.collect()), key=str) == [(1, "x", None), (None, "y", "abc;y")]
+
+
+def test_files_are_told_apart_by_their_first_bytes(spark, tmp_path, monkeypatch):
+    from medoria.sources import csv_files
+
+    read = []
+    head = csv_files.head
+    monkeypatch.setattr(csv_files, "head", lambda s, f, n: read.append(head(s, f, n)) or read[-1])
+    put(tmp_path, "f.csv/a [1]{2}.csv", "id;t\n1;" + "é" * 100_000 + "\n")
+    put(tmp_path, "f.csv/b.csv", "t,id\n" + "x,2\n" * 50_000)
+    found = read_csv(spark, f"{tmp_path}/f.csv")
+    assert found.count() == 50_001
+    assert [len(x) for x in read] == [csv_files.HEAD_BYTES] * 2
+
+
+def test_what_replaces_nothing_leaves_what_is_there(spark, tmp_path):
+    path = f"{tmp_path}/out"
+    assert write_silver(spark.range(3), path) == 3
+    assert write_silver(spark.range(0), path) == 0
+    assert spark.read.parquet(path).count() == 3
+
+
+def test_rows_are_counted_as_they_are_written(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(type(spark.range(1)), "isEmpty", None)
+    monkeypatch.setattr(type(spark.range(1)), "count", None)
+    path = put(tmp_path, "f.csv", "a;b\n1;2\n3;4\n")
+    assert convert_source(spark, path, f"{tmp_path}/out", "f") == Outcome("f", "OK", 2, 5)
+
+
+@pytest.mark.parametrize("split", ["300", "100000"])
+def test_arrays_are_cut_into_records(spark, tmp_path, split):
+    draw = random.Random(7)
+
+    def text():
+        return "".join(draw.choice('{}[]",\\\n:é a') for _ in range(draw.randint(0, 30)))
+
+    rows = [{"id": k, "s": text(), "o": {"p": text(), "l": [text(), "}" * draw.randint(0, 2)]}} for k in range(120)]
+    put(tmp_path, "f.json/a.json", json.dumps(rows[:50], ensure_ascii=False))
+    put(tmp_path, "f.json/b.json", json.dumps(rows[50:100], indent=2))
+    put(tmp_path, "f.json/c.json", "[\n" + ",\n".join(map(json.dumps, rows[100:])) + "\n]\n")
+    put(tmp_path, "f.json/d.json", "[]")
+    put(tmp_path, "f.json/e.json", "[ {} , {\"id\": -1}]")
+    put(tmp_path, "f.json/f.json", '{"id": -2}\n{"id": -3}\n')
+    source = f"{tmp_path}/f.json"
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        found = read_json(spark, source, array_bytes=0)
+        files = [f"{source}/{n}.json" for n in "abcde"]
+        expected = spark.read.json(files, multiLine=True).unionByName(spark.createDataFrame([(-2,), (-3,)], "id long"), allowMissingColumns=True)
+        assert sorted(map(str, found.select(*expected.columns).collect())) == sorted(map(str, expected.collect()))
+        by_file = found.groupBy(F.regexp_extract("_source_file", "([a-z])[.]json$", 1).alias("f")).count()
+        assert {r["f"]: r["count"] for r in by_file.collect()} == {"a": 50, "b": 50, "c": 20, "e": 2, "f": 2}
+        if split == "300":
+            assert array_records(spark, files).where("file like '%/b.json'").count() == 50
+            pieces = spark.read.option("lineSep", "}").text(files[1])
+            assert pieces.rdd.getNumPartitions() > 10
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+@pytest.mark.parametrize(
+    "start, kind",
+    [
+        ('{"a":1}\n{"a":', "lines"),
+        ('\n\n{"a":1}\n', "lines"),
+        ('[{"a":1},', "array"),
+        ('{\n"a": 1,\n"b": 2\n', "whole"),
+        ('{"a":\n{"a":1}\n{"a":2}\n', None),
+        ("", "lines"),
+    ],
+)
+def test_json_layout_from_the_first_bytes(start, kind):
+    assert layout(start.encode(), whole=False) == kind
+
+
+def test_json_layout_from_all_lines(spark, tmp_path):
+    """The first record is broken and the first bytes hold too little to tell."""
+    put(tmp_path, "f.json/a.json", '{"a":\n' + '{"a":1}\n' * 20_000)
+    put(tmp_path, "f.json/b.json", '{\n"a": 7\n}')
+    found = read_json(spark, f"{tmp_path}/f.json")
+    assert found.where("_corrupt_record is not null").count() == 1 and found.where("a is not null").count() == 20_001

@@ -31,7 +31,8 @@ from medoria.sinks import (
     tables_in,
     verify_tables,
 )
-from medoria.sources import SILVER_TABLES, discover, load_silver
+from medoria.sinks.catalog import databases
+from medoria.sources import SILVER_TABLES, discover, load_silver, read_json
 from medoria.specs import STAR
 from medoria.work import scratch, work_path
 from workload.bindings import AS_OF, END, START, TABLES, YEAR, silver, table
@@ -452,6 +453,76 @@ def silver_json_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _converted(spark, source, "customer", "json")
 
 
+@register
+def silver_csv_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One folder whose files have their columns in other orders, one too few and one too many, and other separators."""
+    orders = table(spark, sf_dir, "orders").withColumn("o_orderdate", F.col("o_orderdate").cast("date"))
+    third = F.pmod("o_orderkey", F.lit(3))
+    source = f"{work_path(spark, 'raw')}/orders.csv"
+    parts = [
+        (["o_orderkey", "o_custkey", "o_orderdate", "o_totalprice"], ","),
+        (["o_totalprice", "o_orderkey", "o_custkey"], ";"),
+        (["o_custkey", "o_orderstatus", "o_orderdate", "o_orderkey", "o_totalprice"], ","),
+    ]
+    for k, (columns, separator) in enumerate(parts):
+        _export_csv(orders.where(third == k).select(columns), source, f"part{k}", separator)
+    found = _converted(spark, source, "orders", "csv")
+    like = [f for f in orders.dtypes if f[0] in found.columns]
+    return found.select(*[F.col(c).cast(kind) for c, kind in like], "table_name")
+
+
+@register
+def silver_csv_broken(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records with a cell too many or too few: what they hold is kept, their text and number are reported."""
+    source = f"{work_path(spark, 'raw')}/supplier.csv"
+    cells = [F.col(c).cast("string") for c in ("s_suppkey", "s_name", "s_nationkey")]
+    more = F.when(F.col("s_suppkey") % 7 == 0, F.concat_ws(",", *cells, F.lit("more")))
+    less = more.when(F.col("s_suppkey") % 7 == 1, F.concat_ws(",", *cells[:2]))
+    line = less.otherwise(F.concat_ws(",", *cells))
+    # every file begins with a header
+    suppliers = table(spark, sf_dir, "supplier").select(line.alias("s_suppkey,s_name,s_nationkey"))
+    suppliers.write.option("header", True).option("quote", "").option("sep", "\t").csv(source)
+    target = work_path(spark, "silver-supplier")
+    outcome = convert_source(spark, source, target, "supplier", "csv")
+    if outcome.status != "OK":
+        raise RuntimeError(outcome.error or outcome.status)
+    reported = F.regexp_extract(F.lit(outcome.error or ""), "^([0-9]+) records", 1).cast("bigint")
+    return spark.read.parquet(target).select(
+        F.col("s_suppkey").cast("bigint").alias("s_suppkey"),
+        "s_name",
+        F.col("s_nationkey").cast("int").alias("s_nationkey"),
+        F.col("_corrupt_record").alias("broken"),
+        reported.alias("n_broken"),
+    )
+
+
+@register
+def silver_text_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Types cannot be inferred by a pattern that Spark refuses: every column is text."""
+    events = table(spark, sf_dir, "events").select("event_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("ts"))
+    source = _export_csv(events, work_path(spark, "raw"), "events", ";")
+    target = work_path(spark, "silver-events")
+    outcome = convert_source(spark, source, target, "events", "csv", options={"timestampFormat": "yyyy-MM-dd'T"})
+    if outcome.status != "OK":
+        raise RuntimeError(outcome.error or outcome.status)
+    return spark.read.parquet(target).select("event_id", "ts", "table_name")
+
+
+@register
+def silver_json_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Arrays cut into their elements by many tasks; texts hold braces, quotes and line ends."""
+    source = f"{work_path(spark, 'raw')}/documents.json"
+    numbered = dense_number(table(spark, sf_dir, "documents"), ["doc_id"], "_number")
+    text = F.concat(F.lit('{"[\n\\'), F.coalesce("text", F.lit("")), F.lit('\\"}],'))
+    row = F.struct("doc_id", F.struct(text.alias("text"), F.array("lang").alias("langs")).alias("body"))
+    # every second file is pretty, the others are one line
+    arrays = numbered.groupBy(F.floor((F.col("_number") - 1) / 500).alias("chunk")).agg(F.collect_list(row).alias("rows"))
+    pretty = F.when(F.col("chunk") % 2 == 0, F.to_json("rows", {"pretty": "true"})).otherwise(F.to_json("rows"))
+    arrays.select("chunk", pretty.alias("value")).write.partitionBy("chunk").text(source)
+    found = read_json(spark, source, array_bytes=0)
+    return found.select("doc_id", F.md5(F.col("body.text").cast("binary")).alias("text_md5"), F.col("body.langs")[0].alias("lang"))
+
+
 @register
 def silver_source_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The file each row came from, of a folder with a file per nation."""
@@ -602,6 +673,32 @@ def star_by_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.drop("error").join(reduce(DataFrame.unionByName, rows), "table_name")
 
 
+@register
+def databases_and_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two databases as the catalog lists them, with the tables of each and their rows."""
+    cfg = _settings(spark)
+    t = silver(spark, sf_dir, "communes", "region", "patient")
+    kept = {"dim_lieu": dimensions.dim_lieu(t), "dim_patient": dimensions.dim_patient(t, AS_OF)}
+    for name, df in kept.items():
+        database = f"{cfg.database}_{name}"
+        ensure_database(spark, database, f"{cfg.output_root}/{database}.db")
+        df.write.parquet(f"{cfg.gold_root}/{name}")
+        outcomes = register_all(spark, database, {name: f"{cfg.gold_root}/{name}"})
+        if failed(outcomes):
+            raise RuntimeError(str(outcomes))
+    names = [row["namespace"] for row in databases(spark).where(F.startswith("namespace", F.lit(cfg.database))).collect()]
+    found = [
+        spark.table(f"{database}.{row['tableName']}").agg(
+            F.lit(database.removeprefix(f"{cfg.database}_")).alias("place"),
+            F.lit(row["tableName"]).alias("table_name"),
+            F.count(F.lit(1)).alias("n_rows"),
+        )
+        for database in names
+        for row in tables_in(spark, database).collect()
+    ]
+    return reduce(DataFrame.unionByName, found)
+
+
 @register
 def register_and_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Deaths per region and quarter in SQL over tables registered from their files."""
