@@ -2,70 +2,119 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+import math
 
-from medoria.work import materialise
+from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, IntegerType, MapType, StructField, StructType
 
 MAX_BROADCAST_ROWS = 2_000_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 MIN_HEAVY_ROWS = 10_000  # fewer rows are no burden to a task
-ROW = "*"  # all columns together decide how a row is dealt
+MIN_TRACKED, MAX_TRACKED = 1024, 1_000_000  # keys a sketch holds
 
 
-def broadcastable(df: DataFrame, max_rows: int | None = None, max_bytes: int | None = None) -> bool:
-    """Whether the whole of ``df`` was measured to fit the bounds; one row returns to the driver."""
-    max_rows = MAX_BROADCAST_ROWS if max_rows is None else max_rows
-    max_bytes = MAX_BROADCAST_BYTES if max_bytes is None else max_bytes
+def _bytes(df: DataFrame) -> Column:
+    """About what the rows take in memory, added up."""
     width = F.lit(0)
     for name in df.columns:
         width = width + F.coalesce(F.octet_length(F.col(name).cast("string")), F.lit(0)) + 16
-    measured = df.agg(F.count(F.lit(1)).alias("rows"), F.sum(width).alias("bytes")).first()
-    return measured["rows"] <= max_rows and (measured["bytes"] or 0) <= max_bytes
+    return F.coalesce(F.sum(width), F.lit(0))
+
+
+def _fits(rows: int, size: int, max_rows: int | None, max_bytes: int | None) -> bool:
+    max_rows = MAX_BROADCAST_ROWS if max_rows is None else max_rows
+    max_bytes = MAX_BROADCAST_BYTES if max_bytes is None else max_bytes
+    return rows <= max_rows and size <= max_bytes
+
+
+def broadcastable(df: DataFrame, max_rows: int | None = None, max_bytes: int | None = None) -> bool:
+    """Whether the whole of ``df`` was measured to fit the bounds; one row returns to the driver."""
+    measured = df.agg(F.count(F.lit(1)).alias("rows"), _bytes(df).alias("bytes")).first()
+    return _fits(measured["rows"], measured["bytes"], max_rows, max_bytes)
+
+
+def _token(df: DataFrame, key: str) -> str:
+    """What stands for a key in a sketch, as SQL: the key, or a hash of it where sketches do not take its type."""
+    if isinstance(df.schema[key].dataType, ArrayType | MapType | StructType | BinaryType):
+        return f"if(`{key}` is null, null, xxhash64(`{key}`))"
+    return f"`{key}`"
+
+
+def _sketch(df: DataFrame, key: str, parts: int) -> list[Column]:
+    """Rows, rows without a key, and the most frequent keys with about their rows.
+
+    A sketch of bounded size per task, merged: a key with over an even share of one of ``parts``
+    partitions is in it, its count is off by less than a third of that share.
+    """
+    tracked = min(MAX_TRACKED, max(MIN_TRACKED, 8 * parts))
+    top = F.expr(f"approx_top_k({_token(df, key)}, {min(parts, tracked)}, {tracked})")
+    return [F.count(F.lit(1)).alias("rows"), F.count_if(F.col(key).isNull()).alias("nulls"), top.alias("top")]
+
+
+def _shares(found: Row, parts: int) -> dict:
+    """Keys that hold more than an even share of one partition, with the partitions they would fill."""
+    counted = {item["item"]: item["count"] for item in found["top"] or ()}
+    if found["nulls"]:
+        counted[None] = found["nulls"]
+    return {
+        key: math.ceil(n * parts / found["rows"])
+        for key, n in counted.items()
+        if n * parts > found["rows"] and n >= MIN_HEAVY_ROWS
+    }
 
 
 def heavy_keys(df: DataFrame, key: str, parts: int) -> DataFrame:
-    """Keys with more rows than an even share of one partition, with their split.
+    """Keys (or what stands for them) with more rows than an even share of one partition, with their split; one pass over the keys.
 
     ``_parts`` is how many average partitions the rows of the key would fill.
     Each listed key holds over ``1/parts`` of the rows, so there are fewer
     than ``parts`` of them whatever the data looks like. NULL counts as a key.
     """
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-    total = counts.agg(F.sum("_rows")).scalar()
-    share = F.col("_rows") * parts / total
-    return counts.where((share > 1) & (F.col("_rows") >= MIN_HEAVY_ROWS)).select(
-        F.col(key).alias("_heavy_key"), F.ceil(share).cast("int").alias("_parts")
-    )
+    shares = _shares(df.agg(*_sketch(df, key, parts)).first(), parts)
+    kind = df.select(F.expr(_token(df, key))).schema[0].dataType
+    schema = StructType([StructField("_heavy_key", kind), StructField("_parts", IntegerType())])
+    return df.sparkSession.createDataFrame([*shares.items()], schema)
 
 
-def _salted(
-    large: DataFrame, small: DataFrame, key: str, how: str, parts: int, spread_by: str | None
-) -> DataFrame:
-    """Shuffled join that deals the heavy keys of ``large`` over salts.
+def _salted(df: DataFrame, other: DataFrame, key: str, hot: dict, crowded: dict, spread_by: str | None) -> DataFrame:
+    """Shuffled left join that deals the rows of frequent keys over a grid of salts.
 
-    ``small``'s rows of a heavy key are repeated once per salt.
+    ``hot`` keys are frequent in ``df``: its rows are dealt over ``_a``, and ``other``'s rows of
+    these keys are repeated for each. ``crowded`` ones are frequent in ``other``, whose rows are dealt
+    over ``_b``. A row of ``df`` with a crowded key has a match at one ``_b`` at least, so where
+    it has none it is left out.
     """
-    heavy = F.broadcast(heavy_keys(large, key, parts))  # fewer rows than partitions
-    matches = F.col(key).eqNullSafe(F.col("_heavy_key"))
-    n_salts = F.coalesce(F.col("_parts"), F.lit(1))
-    if spread_by == ROW:
-        row = F.xxhash64(*large.columns)  # equal rows fall on one salt, whoever made them
-    else:
-        row = F.xxhash64(spread_by) if spread_by else F.monotonically_increasing_id()
+    spark = df.sparkSession
+    token = F.expr(_token(df, key))
+    kind = df.select(token).schema[0].dataType
+    fields = [StructField("_key", kind), StructField("_as", IntegerType()), StructField("_bs", IntegerType())]
+    table = [(k, hot.get(k, 1), crowded.get(k, 1)) for k in {**hot, **crowded}]
+    salts = F.broadcast(spark.createDataFrame(table, StructType(fields)))  # fewer than two keys per partition
+    matches = token.eqNullSafe(F.col("_key"))
+    n_a, n_b = F.coalesce("_as", F.lit(1)), F.coalesce("_bs", F.lit(1))
+    place = F.xxhash64(spread_by) if spread_by else F.monotonically_increasing_id()
+
+    def each(n: Column) -> Column:
+        return F.explode(F.sequence(F.lit(0), n - 1))
 
     dealt = (
-        large.withColumn("_row", row)
-        .join(heavy, matches, "left")
-        .withColumn("_salt", F.pmod("_row", n_salts).cast("int"))
-        .drop("_row", "_parts", "_heavy_key")
+        df.withColumn("_row", place)
+        .join(salts, matches, "left")
+        .withColumns({"_a": F.pmod("_row", n_a).cast("int"), "_several": n_b > 1})
+        .withColumn("_b", each(n_b))
+        .drop("_row", "_key", "_as", "_bs")
     )
+    # equal rows fall on one salt, whoever made them
     repeated = (
-        small.join(heavy, matches, "left")
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), n_salts - 1)))
-        .drop("_parts", "_heavy_key")
+        other.withColumn("_row", F.xxhash64(*other.columns))
+        .join(salts, matches, "left")
+        .withColumns({"_b": F.pmod("_row", n_b).cast("int"), "_hit": F.lit(True)})
+        .withColumn("_a", each(n_a))
+        .drop("_row", "_key", "_as", "_bs")
     )
-    return dealt.join(repeated, [key, "_salt"], how).drop("_salt")
+    joined = dealt.join(repeated, [key, "_a", "_b"], "left").where(F.col("_hit").isNotNull() | ~F.col("_several"))
+    return joined.drop("_a", "_b", "_several", "_hit")
 
 
 def lookup(
@@ -79,41 +128,23 @@ def lookup(
     """Left join on one column of the same name.
 
     ``other`` is broadcast when measured to be small: at most ``max_rows`` rows
-    and ``max_bytes``, to be set by the memory of an executor. Otherwise it is
-    written once, as it is read several times, and the join shuffles; rows of heavy keys are dealt over as many salts as they fill
-    partitions, and ``other``'s rows of these keys are repeated per salt.
-    Where ``other`` has heavy keys itself, these are joined apart with the
-    sides swapped: all their rows have a match, so an inner join is enough.
+    and ``max_bytes``, to be set by the memory of an executor. The pass that measures it also
+    sketches its frequent keys. Otherwise the keys of ``df`` are sketched, too, and
+    the join shuffles; rows of keys that are frequent on either side are dealt over as many salts as they
+    fill partitions, and the other side's rows of these keys are repeated per salt. Each side is read twice.
 
     A task that is run again must deal its rows as before. ``spread_by`` is a
     column that differs between the rows of a key; without it the position in
     the input decides, which is right when ``df`` is a scan with row-wise steps.
     """
-    if broadcastable(other, max_rows, max_bytes):
-        return df.join(F.broadcast(other), key, "left")
-
-    other = materialise(other, "lookup")
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    crowded = heavy_keys(other, key, parts).select(F.col("_heavy_key").alias(key))
-    crowded = crowded.where(F.col(key).isNotNull())
-    if crowded.isEmpty():
-        return _salted(df, other, key, "left", parts, spread_by)
-
-    crowded = F.broadcast(crowded)  # fewer rows than partitions
-    usual = _salted(
-        df.join(crowded, key, "left_anti"),
-        other.join(crowded, key, "left_anti"),
-        key,
-        "left",
-        parts,
-        spread_by,
-    )
-    apart = _salted(
-        other.join(crowded, key, "left_semi"),
-        df.join(crowded, key, "left_semi"),
-        key,
-        "inner",
-        parts,
-        ROW,
-    )
-    return usual.unionByName(apart)
+    measured = other.agg(*_sketch(other, key, parts), _bytes(other).alias("bytes")).first()
+    if _fits(measured["rows"], measured["bytes"], max_rows, max_bytes):
+        return df.join(F.broadcast(other), key, "left")
+    crowded = {k: n for k, n in _shares(measured, parts).items() if k is not None}
+    if _token(other, key) != f"`{key}`":
+        crowded = {}  # two keys may have one hash, so a match is not certain
+    hot = _shares(df.agg(*_sketch(df, key, parts)).first(), parts)
+    if not hot and not crowded:
+        return df.join(other, key, "left")
+    return _salted(df, other, key, hot, crowded, spread_by)

@@ -209,3 +209,20 @@ def test_unique_names_at_random(spark):
     df = spark.createDataFrame(list(enumerate(bases)), "i int, base string").repartition(4)
     got = [row["name"] for row in unique_names(df, "base", ["i"], "name").orderBy("i").collect()]
     assert got == brute_force_names(bases)
+
+
+def test_lookup_reads_each_side_twice(hot, others, few_are_heavy):
+    """Once for the sketch of its keys, once for the join, however many keys are frequent."""
+    for left, right in ((hot, others), (others, hot.withColumnRenamed("i", "v2"))):
+        plan = lookup(left, right, "k")._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Join") == 3  # the salts of either side, and the join
+
+
+def test_keys_frequent_on_both_sides(spark, few_are_heavy):
+    draw = random.Random(9)
+    left = [(i, draw.choice(["x"] * 5 + ["y", "z", "only left", None])) for i in range(400)]
+    right = [(draw.choice(["x"] * 3 + ["y"] * 3 + ["only right", None]), v % 7) for v in range(300)]
+    left = spark.createDataFrame(left, "i int, k string").repartition(3)
+    right = spark.createDataFrame(right, "k string, v int").repartition(3)
+    expected = rows(left.join(right, "k", "left").select("i", "k", "v"))
+    assert rows(lookup(left, right, "k", "i").select("i", "k", "v")) == expected
