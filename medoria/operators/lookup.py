@@ -6,7 +6,18 @@ import math
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, IntegerType, MapType, StructField, StructType
+from pyspark.sql.types import (
+    ArrayType,
+    BinaryType,
+    BooleanType,
+    DateType,
+    IntegerType,
+    MapType,
+    NumericType,
+    StructField,
+    StructType,
+    TimestampType,
+)
 
 MAX_BROADCAST_ROWS = 2_000_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
@@ -16,12 +27,21 @@ MIN_TRACKED, MAX_TRACKED = 1024, 1_000_000  # keys a sketch holds
 
 def _bytes(df: DataFrame) -> Column:
     """About what the rows take in memory, added up."""
-    width = F.lit(0)
-    for name in df.columns:
-        width = width + F.coalesce(F.octet_length(F.col(name).cast("string")), F.lit(0)) + 16
+    width = F.lit(16 * len(df.columns))
+    for field in df.schema:
+        if isinstance(field.dataType, NumericType | DateType | TimestampType | BooleanType):
+            width = width + 8
+        else:
+            width = width + F.coalesce(F.octet_length(F.col(f"`{field.name}`").cast("string")), F.lit(0))
     return F.coalesce(F.sum(width), F.lit(0))
 
 
+def _splits_skew(df: DataFrame) -> bool:
+    """Whether the session splits the partitions of frequent keys itself, as it joins."""
+    read = df.sparkSession.conf.get
+    return all(read(f"spark.sql.adaptive.{name}") == "true" for name in ("enabled", "skewJoin.enabled"))
+
+
 def _fits(rows: int, size: int, max_rows: int | None, max_bytes: int | None) -> bool:
     max_rows = MAX_BROADCAST_ROWS if max_rows is None else max_rows
     max_bytes = MAX_BROADCAST_BYTES if max_bytes is None else max_bytes
@@ -128,19 +148,22 @@ def lookup(
     """Left join on one column of the same name.
 
     ``other`` is broadcast when measured to be small: at most ``max_rows`` rows
-    and ``max_bytes``, to be set by the memory of an executor. The pass that measures it also
-    sketches its frequent keys. Otherwise the keys of ``df`` are sketched, too, and
-    the join shuffles; rows of keys that are frequent on either side are dealt over as many salts as they
-    fill partitions, and the other side's rows of these keys are repeated per salt. Each side is read twice.
+    and ``max_bytes``, to be set by the memory of an executor. Otherwise the join shuffles.
+    Adaptive execution then splits the partitions of keys that are frequent on either side. In a session
+    without it the keys of both sides are sketched, in one pass each, and rows of
+    frequent keys are dealt over as many salts as they fill partitions, and the other
+    side's rows of these keys are repeated per salt.
 
     A task that is run again must deal its rows as before. ``spread_by`` is a
     column that differs between the rows of a key; without it the position in
     the input decides, which is right when ``df`` is a scan with row-wise steps.
     """
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    measured = other.agg(*_sketch(other, key, parts), _bytes(other).alias("bytes")).first()
-    if _fits(measured["rows"], measured["bytes"], max_rows, max_bytes):
+    if broadcastable(other, max_rows, max_bytes):
         return df.join(F.broadcast(other), key, "left")
+    if _splits_skew(df):
+        return df.join(other, key, "left")
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    measured = other.agg(*_sketch(other, key, parts)).first()
     crowded = {k: n for k, n in _shares(measured, parts).items() if k is not None}
     if _token(other, key) != f"`{key}`":
         crowded = {}  # two keys may have one hash, so a match is not certain

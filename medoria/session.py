@@ -19,6 +19,8 @@ def session(app: str = "medoria", master: str | None = None, hive: bool = False,
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # also where the split costs a shuffle that a later step could have shared
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         **conf,
     }
     for name, value in settings.items():

@@ -36,9 +36,12 @@ def never_broadcast(monkeypatch):
 
 
 @pytest.fixture
-def few_are_heavy(never_broadcast, monkeypatch):
-    """Keys are heavy by their share alone, however few rows there are."""
+def few_are_heavy(spark, never_broadcast, monkeypatch):
+    """Keys are heavy by their share alone, however few rows there are, and the session does not split them."""
     monkeypatch.setattr(sys.modules["medoria.operators.lookup"], "MIN_HEAVY_ROWS", 1)
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "false")
+    yield
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
 
 
 @pytest.fixture(scope="session")

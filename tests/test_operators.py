@@ -211,6 +211,12 @@ def test_unique_names_at_random(spark):
     assert got == brute_force_names(bases)
 
 
+def test_the_session_splits_frequent_keys(hot, others, never_broadcast):
+    joined = lookup(hot, others, "k", "i")
+    assert joined._jdf.queryExecution().optimizedPlan().toString().count("Join") == 1
+    assert rows(joined.select("i", "k", "v")) == rows(hot.join(others, "k", "left").select("i", "k", "v"))
+
+
 def test_lookup_reads_each_side_twice(hot, others, few_are_heavy):
     """Once for the sketch of its keys, once for the join, however many keys are frequent."""
     for left, right in ((hot, others), (others, hot.withColumnRenamed("i", "v2"))):
