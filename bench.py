@@ -4,7 +4,8 @@
 choose the data and the cores, ``BENCH_WORK_DIR`` the folder of work tables, arguments the queries. Results go to Spark's
 no-op sink, so what is timed is the query and not a transfer to Python. Each
 query first runs once untimed on the smallest tables (sf0.001 beside the
-chosen folder), which loads classes and compiles the generated code.
+chosen folder), which loads classes and compiles the generated code. The gold tables that
+questions read are stored first, timed as ``store_gold``.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ import time
 
 from medoria.session import session
 from medoria.work import discard_work
-from workload.queries import REGISTERED
+from workload.queries import REGISTERED, store_gold
 
 WORK_DIR = os.environ.get("BENCH_WORK_DIR", "/tmp/medoria-bench")
 HEADLINE = [
@@ -52,6 +53,9 @@ HEADLINE = [
     "star_pipeline",
 ]
 
+# these read stored tables; storing them is timed apart
+QUESTIONS = {name for name in HEADLINE if name.startswith(("consult_by", "hosp_")) or name.endswith("_by_region")}
+
 
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
@@ -79,6 +83,10 @@ def main() -> None:
             run(name, warm_up)
 
     seconds = {}
+    if QUESTIONS & set(names):
+        begin = time.perf_counter()
+        store_gold(spark, sf_dir)
+        seconds["store_gold"] = round(time.perf_counter() - begin, 3)
     for name in names:
         begin = time.perf_counter()
         run(name, sf_dir)

@@ -78,3 +78,11 @@ def size(spark: SparkSession, path: str) -> int:
 def literal(path: str) -> str:
     """A path as a pattern that matches it alone."""
     return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)
+
+
+def stamp(spark: SparkSession, path: str) -> tuple[tuple[str, int, int], ...]:
+    """What a file, or the files directly in a folder, were when last changed: names, lengths, times."""
+    system, place = _system(spark, path)
+    return tuple(
+        sorted((status.getPath().getName(), status.getLen(), status.getModificationTime()) for status in system.listStatus(place))
+    )

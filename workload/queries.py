@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from medoria.config import Settings
+from medoria.files import stamp
 from medoria.functions import age_at, clean_name, date_key, output_files, size_mb, table_name_of
 from medoria.operators import dense_number, partition_advice, unique_names
 from medoria.parallel import together
@@ -146,29 +147,54 @@ def bridge_consultation_etablissement(spark: SparkSession, sf_dir: str) -> DataF
 # Business questions, over facts and dimensions as they are stored
 
 
-_GOLD: dict[tuple[str, str, str], str] = {}
+# by application, folder and table: the root of the stored table, and what the given tables were then
+_GOLD: dict[tuple[str, str, str], tuple[str, tuple]] = {}
 
 
 def _stored(spark: SparkSession, sf_dir: str, **build: Callable[[], DataFrame]) -> list[DataFrame]:
     """Gold tables as a user of the star reads them, in the order given.
 
-    A session builds and stores each once per folder of given tables; questions then share it.
+    A session builds and stores each once per state of the given tables; questions then share it.
     """
+    state = tuple(stamp(spark, f"{sf_dir}/{name}.parquet") for name in TABLES)
 
     def find(one: tuple[str, Callable[[], DataFrame]]) -> DataFrame:
         spec = STAR[one[0]]
         key = (spark.sparkContext.applicationId, sf_dir, spec.name)
-        if key not in _GOLD or newest(spark, f"{_GOLD[key]}/{spec.name}") is None:
+        root, then = _GOLD.get(key, ("", ()))
+        if then != state or newest(spark, f"{root}/{spec.name}") is None:
             cfg = _settings(spark)
             ensure_database(spark, cfg.database, cfg.database_root)
             with scratch(spark):
                 replace_table(one[1](), cfg.database, spec, cfg.gold_root)
-            _GOLD[key] = cfg.gold_root
-        return read_table(spark, spec, _GOLD[key])
+            root = cfg.gold_root
+            _GOLD[key] = (root, state)
+        return read_table(spark, spec, root)
 
     return together(find, build.items())
 
 
+def store_gold(spark: SparkSession, sf_dir: str) -> None:
+    """Build and store whatever the questions read, so that a question alone can be timed."""
+    t = silver(spark, sf_dir)
+    (places, establishments) = _stored(
+        spark,
+        sf_dir,
+        dim_lieu=lambda: dimensions.dim_lieu(t),
+        dim_etablissement=lambda: dimensions.dim_etablissement(t),
+    )
+    _stored(
+        spark,
+        sf_dir,
+        fait_deces=lambda: facts.fait_deces(t, places),
+        fait_satisfaction=lambda: facts.fait_satisfaction(t, establishments, YEAR),
+        fait_consultations=lambda: facts.fait_consultations(t),
+        fait_hospitalisation=lambda: facts.fait_hospitalisation(t),
+        dim_patient=lambda: dimensions.dim_patient(t, AS_OF),
+        dim_professionel=lambda: dimensions.dim_professionel(t),
+    )
+
+
 @register
 def consult_by_etablissement(spark: SparkSession, sf_dir: str) -> DataFrame:
     (fact,) = _stored(spark, sf_dir, fait_consultations=lambda: fait_consultations(spark, sf_dir))
