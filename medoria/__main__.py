@@ -25,6 +25,7 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--relocate-to", dest="relocate_to", help="move the star there when built")
     parser.add_argument("--keep-generations", dest="keep_generations", type=int, help="contents kept per gold table")
     parser.add_argument("--output-files", dest="output_files", action="store_true", default=None, help="size silver by its rows")
+    parser.add_argument("--changed-only", dest="changed_only", action="store_true", default=None, help="convert changed sources alone")
     parser.add_argument("--hive", action="store_true", help="use the metastore the session is set up with")
     parser.add_argument("--steps", nargs="+", choices=list(STEPS), default=list(STEPS))
     given = {k: v for k, v in vars(parser.parse_args(argv)).items() if v is not None}

@@ -9,7 +9,10 @@ from dataclasses import dataclass, field
 
 @dataclass(frozen=True)
 class Settings:
-    """``keep_generations`` contents of a gold table stay; ``output_files`` sizes silver by its rows."""
+    """``keep_generations`` contents of a gold table stay; ``output_files`` sizes silver by its rows.
+
+    With ``changed_only`` sources that did not change since the last run are not converted again.
+    """
 
     source_root: str
     output_root: str
@@ -21,6 +24,7 @@ class Settings:
     relocate_to: str | None = None
     keep_generations: int = 2
     output_files: bool = False
+    changed_only: bool = False
 
     def __post_init__(self) -> None:
         if not self.source_root or not self.output_root:

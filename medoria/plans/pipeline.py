@@ -130,7 +130,12 @@ def relocate_star(spark: SparkSession, cfg: Settings, root: str) -> list[Outcome
 
 def _convert(spark: SparkSession, cfg: Settings) -> list[Outcome]:
     return convert_folder(
-        spark, cfg.source_root, cfg.silver_root, cfg.file_format, output_files=cfg.output_files
+        spark,
+        cfg.source_root,
+        cfg.silver_root,
+        cfg.file_format,
+        output_files=cfg.output_files,
+        changed_only=cfg.changed_only,
     )
 
 

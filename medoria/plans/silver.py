@@ -11,11 +11,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from medoria.parallel import together
+from medoria.sinks.ledger import add, settings_of, unchanged
 from medoria.sinks.report import EMPTY, FAILED, OK, Outcome
 from medoria.sinks.silver import write_counted
-from medoria.sources import UnsupportedFormat, discover, read_raw
+from medoria.sources import UnsupportedFormat, read_raw
 from medoria.sources.csv_files import CORRUPT
-from medoria.sources.discovery import unreadable_names
+from medoria.sources.discovery import discover_states, unreadable_names
 from medoria.sources.json_files import SOURCE
 from medoria.sources.silver import TEXT_COLUMNS
 
@@ -75,15 +76,31 @@ def convert_folder(
     file_format: str = "csv",
     schemas: dict[str, StructType] | None = None,
     output_files: bool = False,
+    changed_only: bool = False,
 ) -> list[Outcome]:
     """Every source under a folder; a broken one does not stop the others.
 
     Sources that Spark cannot read because of their name are FAILED, not passed over.
+    With ``changed_only`` sources whose files are those of an earlier run (by path, length and time of
+    change), converted the same way, keep their table and its outcome. Every run is noted for the next one.
     """
     schemas = schemas or {}
-    manifest = discover(spark, source_root, file_format, target_root).orderBy("table_name")
+    manifest = discover_states(spark, source_root, file_format, target_root).orderBy("table_name")
+    rows = manifest.collect()  # one row per table
+    how = {
+        row["table_name"]: settings_of(
+            file_format, schemas.get(row["table_name"]), sorted(TEXT_COLUMNS.get(row["table_name"], ())), output_files
+        )
+        for row in rows
+    }
+    kept: dict[str, Outcome] = {}
+    if changed_only and rows:
+        settings = spark.createDataFrame([*how.items()], "table_name string, settings string")
+        kept = unchanged(spark, manifest.join(settings, "table_name"), target_root)
 
     def convert(entry: Row) -> Outcome:
+        if entry["table_name"] in kept:
+            return kept[entry["table_name"]]
         return convert_source(
             spark,
             entry["source_path"],
@@ -94,6 +111,8 @@ def convert_folder(
             output_files,
         )
 
-    outcomes = together(convert, manifest.toLocalIterator())  # one row per table
+    outcomes = together(convert, rows)
+    new = [(o, r["source_path"], r["state"], how[o.table_name]) for o, r in zip(outcomes, rows) if o.table_name not in kept]
+    add(spark, target_root, new)
     hidden = unreadable_names(spark, source_root, file_format)
     return outcomes + [Outcome(path, FAILED, error="names that begin with _ or . are hidden to Spark") for path in hidden]

@@ -27,13 +27,18 @@ def discover(spark: SparkSession, root: str, extension: str, target_root: str) -
     Only paths and lengths are read, never contents. Spark reads no file whose
     name begins with ``_`` or ``.``: ``unreadable_names`` lists those.
     """
+    return discover_states(spark, root, extension, target_root).drop("state")
+
+
+def discover_states(spark: SparkSession, root: str, extension: str, target_root: str) -> DataFrame:
+    """The manifest of ``discover`` with a ``state`` of every source: of its files' paths, lengths and times of change."""
     suffix = re.escape(f".{extension}")
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", f"*.{extension}")
         .load(root)
-        .select("path", "length", _below(spark, root).alias("below"))
+        .select("path", "length", "modificationTime", _below(spark, root).alias("below"))
     )
     source = F.regexp_extract("below", rf"^(.*?{suffix})(/|$)", 1)
     parts = F.length("below") - F.length("relative")  # what follows the name of a folder source
@@ -41,7 +46,12 @@ def discover(spark: SparkSession, root: str, extension: str, target_root: str) -
         files.withColumn("relative", source)
         .withColumn("source_path", F.substr("path", F.lit(1), F.length("path") - parts))
         .groupBy("relative", "source_path")
-        .agg(F.count(F.lit(1)).alias("n_files"), F.sum("length").alias("length"))
+        .agg(
+            F.count(F.lit(1)).alias("n_files"),
+            F.sum("length").alias("length"),
+            # whatever the order of the files
+            F.sum(F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)")).cast("string").alias("state"),
+        )
         .withColumn("base", table_name_of(F.col("relative")))
     )
     return unique_names(sources, "base", ["relative"], "table_name").select(
@@ -51,6 +61,7 @@ def discover(spark: SparkSession, root: str, extension: str, target_root: str) -
         "n_files",
         "length",
         size_mb(F.col("length")).alias("file_size_mb"),
+        "state",
     )
 
 

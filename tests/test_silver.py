@@ -4,6 +4,7 @@ import datetime as dt
 import json
 import os
 import random
+import shutil
 
 import pytest
 from pyspark.errors import PySparkException
@@ -445,3 +446,49 @@ def test_json_layout_from_all_lines(spark, tmp_path):
     found = read_json(spark, f"{tmp_path}/f.json")
     rows = found.collect()
     assert sum(r["_corrupt_record"] is not None for r in rows) == 1 and sum(r["a"] is not None for r in rows) == 20_001
+
+
+def test_a_second_run_converts_what_changed(spark, tmp_path, monkeypatch):
+    from medoria.plans import silver
+
+    source, out = f"{tmp_path}/in", f"{tmp_path}/out"
+    for name in "abc":
+        put(tmp_path, f"in/{name}.csv", "x;y\n1;2\n")
+    put(tmp_path, "in/empty.csv", "x;y\n")
+    put(tmp_path, "in/bad.csv/part.csv", "x;y\n1;2\n")
+    converted = []
+    convert = silver.convert_source
+    monkeypatch.setattr(silver, "convert_source", lambda *a, **k: converted.append(a[3]) or convert(*a, **k))
+
+    def run(**settings):
+        converted.clear()
+        outcomes = silver.convert_folder(spark, source, out, changed_only=True, **settings)
+        return sorted(converted), {o.table_name: (o.status, o.n_rows) for o in outcomes}
+
+    every = ["a", "b", "bad", "c", "empty"]
+    expected = {"a": ("OK", 1), "b": ("OK", 1), "c": ("OK", 1), "bad": ("OK", 1), "empty": ("EMPTY", 0)}
+    assert run() == (every, expected)
+    assert run() == ([], expected)
+    put(tmp_path, "in/b.csv", "x;y\n1;2\n3;4\n")
+    put(tmp_path, "in/bad.csv/other.csv", "x;y\n5;6\n")
+    expected |= {"b": ("OK", 2), "bad": ("OK", 2)}
+    assert run() == (["b", "bad"], expected)
+    # another way of converting, and files that are gone
+    assert run(output_files=True) == (every, expected)
+    shutil.rmtree(f"{out}/c")
+    assert run(output_files=True) == (["c"], expected)
+    # a failure is tried again
+    monkeypatch.setattr(silver, "read_raw", lambda *a, **k: (_ for _ in ()).throw(UnsupportedFormat("no")))
+    put(tmp_path, "in/a.csv", "x;y\n1;2\n7;8\n9;9\n")
+    assert run(output_files=True)[0] == ["a"]
+    assert run(output_files=True)[0] == ["a"]
+
+
+def test_a_stamp_tells_states_apart(spark, tmp_path):
+    from medoria.files import stamp
+
+    path = put(tmp_path, "f/a.csv", "x")
+    before = stamp(spark, path)
+    assert before == stamp(spark, str(tmp_path / "f")) and before[0][:2] == ("a.csv", 1)
+    put(tmp_path, "f/a.csv", "xy")
+    assert stamp(spark, path) != before
