@@ -21,8 +21,8 @@ tiles of one band or of two that follow each other are compared, others differ t
 their bit counts. A task returns a forest of verified links, never all pairs, so near
 copies, and near texts that are not similar enough, hand on no more rows than there are sets.
 
-Equal sets are one row first. A key that stands in many texts of a batch of rows leaves it
-once. So no group is larger than a tile, or the number of batches.
+Equal sets are one row first. A key that stands in many texts of a slice of the rows leaves it
+once. So no group is larger than a tile, or the number of slices of ``SLICE_BYTES``.
 
 Defined results: a null or wordless text has the empty set; all of these are equal; texts
 of fewer words than a shingle have one shingle, of all words; a text of any length is one set,
@@ -44,9 +44,10 @@ from medoria.work import materialise
 
 TILE_SHINGLES = 1 << 18
 TILE_ROWS = 2048
+SLICE_BYTES = 1 << 21  # of text that a task turns into sets at once, or one text
 _SKETCH = 4096
 _AT_ONCE = 1 << 20
-_WORDS_KNOWN = 1 << 20
+_WORDS_KNOWN = 1 << 18
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -133,6 +134,18 @@ class Bands:
         return tuple(np.concatenate([*x, np.empty(0, kind)]).astype(kind) for x, kind in ((rows, np.int64), (keys, np.uint64)))
 
 
+def _slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+    """A batch in pieces of bounded text, each row whole."""
+    sizes = pa.compute.binary_length(batch.column(column)).to_numpy(zero_copy_only=False)
+    piece = np.cumsum(sizes + 1) // SLICE_BYTES
+    ends = np.r_[np.flatnonzero(np.diff(piece)) + 1, len(piece)]
+    first = 0
+    for end in ends.tolist():
+        if end > first:
+            yield batch.slice(first, end - first)
+        first = end
+
+
 def _listed(rows: np.ndarray, values: np.ndarray, n: int) -> pa.ListArray:
     """Lists of values by row."""
     order = np.argsort(rows, kind="stable")
@@ -164,7 +177,7 @@ def _sets(docs: DataFrame, words: int, similar: tuple[int, int]) -> DataFrame:
     """(id, node, point, keys, joined) of every row of (id, text).
 
     ``node`` names the set, ``point`` stands for it in the graph of keys. What keys join within a
-    batch is joined to one of its points there, which lists the keys of all.
+    slice is joined to one of its points there, which lists the keys of all.
     """
     from xxhash import xxh3_128_digest
 
@@ -172,7 +185,7 @@ def _sets(docs: DataFrame, words: int, similar: tuple[int, int]) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _WordHashes()
-        for batch in batches:
+        for batch in (piece for batch in batches for piece in _slices(batch, 1)):
             sets = [shingle_set(t.as_py(), words, known) for t in batch.column(1)]
             nodes = [xxh3_128_digest(s.astype("<u8").tobytes()) for s in sets]
             points = np.array([int.from_bytes(x[:8], "little") for x in nodes], np.uint64).view(np.int64)
@@ -203,7 +216,7 @@ def _clusters(sets: DataFrame) -> DataFrame:
     """(point, cluster) of the points that share a key with another."""
     here = sets.where("joined is not null").select(F.col("point").alias("u"), F.col("joined").alias("v"))
     order = Window.partitionBy("key").orderBy("point")
-    # rows of a key: one per batch at most
+    # rows of a key: one per slice of the rows at most
     listed = sets.select(F.explode("keys").alias("key"), "point").withColumn("before", F.lag("point").over(order))
     across = listed.where("before <> point").select(F.col("point").alias("u"), F.col("before").alias("v"))
     return components(here.union(across)).select(F.col("node").alias("point"), F.col("root").alias("cluster"))
@@ -370,7 +383,7 @@ def similar_groups(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _WordHashes()
-        for batch in batches:
+        for batch in (piece for batch in batches for piece in _slices(batch, 2)):
             found = [shingle_set(t.as_py(), words, known) for t in batch.column(2)]
             sizes = np.array([len(s) for s in found], np.int64)
             shingles = pa.ListArray.from_arrays(
