@@ -146,13 +146,6 @@ def _slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
         first = end
 
 
-def _listed(rows: np.ndarray, values: np.ndarray, n: int) -> pa.ListArray:
-    """Lists of values by row."""
-    order = np.argsort(rows, kind="stable")
-    ends = np.cumsum(np.bincount(rows, minlength=n))
-    return pa.ListArray.from_arrays(pa.array([0, *ends], pa.int32()), pa.array(values[order].view(np.int64)))
-
-
 def _joined(row: np.ndarray, key: np.ndarray, points: np.ndarray) -> np.ndarray:
     """Of each row the first row of its group: rows with one key or one point are in one group."""
     label = np.arange(len(points))
@@ -173,53 +166,61 @@ def _joined(row: np.ndarray, key: np.ndarray, points: np.ndarray) -> np.ndarray:
         label = new
 
 
-def _sets(docs: DataFrame, words: int, similar: tuple[int, int]) -> DataFrame:
-    """(id, node, point, keys, joined) of every row of (id, text).
-
-    ``node`` names the set, ``point`` stands for it in the graph of keys. What keys join within a
-    slice is joined to one of its points there, which lists the keys of all.
-    """
+def _named_sets(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray], list[bytes], np.ndarray]]:
+    """Slices of (id, text) with the set of every text, its name, and a number that stands for it in the graph of keys."""
     from xxhash import xxh3_128_digest
 
+    known = _WordHashes()
+    for batch in (piece for batch in batches for piece in _slices(batch, 1)):
+        sets = [shingle_set(t.as_py(), words, known) for t in batch.column(1)]
+        names = [xxh3_128_digest(s.astype("<u8").tobytes()) for s in sets]
+        points = np.array([int.from_bytes(x[:8], "little") for x in names], np.uint64).view(np.int64)
+        yield batch, sets, names, points
+
+
+def _sets(docs: DataFrame, words: int) -> DataFrame:
+    """(id, node, point) of every row of (id, text): ``node`` names the set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, _, names, points in _named_sets(batches, words):
+            columns = [batch.column(0), pa.array(names, pa.binary()), pa.array(points)]
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "node", "point"])
+
+    return docs.mapInArrow(run, f"id {docs.schema['id'].dataType.simpleString()}, node binary, point long")
+
+
+def _postings(docs: DataFrame, words: int, similar: tuple[int, int]) -> DataFrame:
+    """(key, point): points with a key in common belong together.
+
+    What keys join within a slice shares a key of its own with one point there, which has the keys of all.
+    """
     bands = Bands(similar)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _WordHashes()
-        for batch in (piece for batch in batches for piece in _slices(batch, 1)):
-            sets = [shingle_set(t.as_py(), words, known) for t in batch.column(1)]
-            nodes = [xxh3_128_digest(s.astype("<u8").tobytes()) for s in sets]
-            points = np.array([int.from_bytes(x[:8], "little") for x in nodes], np.uint64).view(np.int64)
+        for _, sets, _, points in _named_sets(batches, words):
             flat = np.concatenate([*sets, np.empty(0, np.uint64)])
             row, key = bands.keys(flat, np.array([len(s) for s in sets], np.int64))
             root = _joined(row, key, points)
-            at = root[row]
+            at = points[root[row]]
             order = np.lexsort((at, key))
             at, key = at[order], key[order]
             opens = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (at[1:] != at[:-1])][: len(key)])
             inner = np.flatnonzero(points != points[root])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.array(nodes, pa.binary()),
-                    pa.array(points),
-                    _listed(at[opens], key[opens], batch.num_rows),
-                    pa.array(points[root], mask=~np.isin(np.arange(batch.num_rows), inner)),
-                ],
-                names=["id", "node", "point", "keys", "joined"],
-            )
+            own = _mix(points[inner].view(np.uint64) ^ _mix(points[root[inner]].view(np.uint64)))
+            keys = np.concatenate([key[opens], own, own])
+            ends = np.concatenate([at[opens], points[inner], points[root[inner]]])
+            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(ends)], names=["key", "point"])
 
-    kind = docs.schema["id"].dataType.simpleString()
-    return docs.mapInArrow(run, f"id {kind}, node binary, point long, keys array<long>, joined long")
+    return docs.mapInArrow(run, "key long, point long")
 
 
-def _clusters(sets: DataFrame) -> DataFrame:
+def _clusters(postings: DataFrame) -> DataFrame:
     """(point, cluster) of the points that share a key with another."""
-    here = sets.where("joined is not null").select(F.col("point").alias("u"), F.col("joined").alias("v"))
-    order = Window.partitionBy("key").orderBy("point")
     # rows of a key: one per slice of the rows at most
-    listed = sets.select(F.explode("keys").alias("key"), "point").withColumn("before", F.lag("point").over(order))
-    across = listed.where("before <> point").select(F.col("point").alias("u"), F.col("before").alias("v"))
-    return components(here.union(across)).select(F.col("node").alias("point"), F.col("root").alias("cluster"))
+    order = Window.partitionBy("key").orderBy("point")
+    chained = postings.withColumn("before", F.lag("point").over(order)).where("before <> point")
+    edges = chained.select(F.col("point").alias("u"), F.col("before").alias("v"))
+    return components(edges).select(F.col("node").alias("point"), F.col("root").alias("cluster"))
 
 
 def _packed(row: np.ndarray, bit: np.ndarray, rows: int, bits: int, parity: bool) -> np.ndarray:
@@ -373,8 +374,9 @@ def similar_groups(
     Similar: the intersection is at least ``similar`` (numerator, denominator) of the union.
     """
     rows = docs.select(F.col(id).alias("id"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"))
-    sets = materialise(_sets(rows, words, similar), "sets")
-    clusters = materialise(_clusters(sets), "clusters")
+    # the keys are some half of the texts' size: computed for their one shuffle, never written
+    sets = materialise(_sets(rows, words), "sets")
+    clusters = materialise(_clusters(_postings(rows, words, similar)), "clusters")
     distinct = materialise(sets.groupBy("node").agg(F.min("id").alias("least"), F.first("point").alias("point")), "nodes")
     wanted = distinct.join(clusters, "point").select("node", F.col("least").alias("id"), "cluster")
     # one text per set, of those that may have a similar one
