@@ -214,3 +214,81 @@ def near_duplicates(
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = rooted.join(least, "root").select("fingerprint", "component_id")
     return prints.join(named, "fingerprint").select(id, "fingerprint", "component_id")
+
+
+# a shingle set as a row of numbers: words of its fingerprint, its size, a number that stands for it
+SET_WORDS = 4
+NODE = SET_WORDS + 2
+
+
+def set_row(hashes: np.ndarray, number: int) -> list[int]:
+    """The row of numbers of a set of shingle hashes."""
+    return [*(simhash(_mixed(hashes, k)) for k in range(SET_WORDS)), len(hashes), number]
+
+
+def _near(
+    a: np.ndarray, b: np.ndarray, same: bool, radius: int, total: int, similar: tuple[int, int]
+) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of rows of two arrays that join whatever may be similar, the nearest first."""
+    _, back = np.unique(np.concatenate([a[:, -1], b[:, -1]]), return_inverse=True)
+    of_a, of_b = back[: len(a)], back[len(a) :]
+    label = np.arange(len(a) + len(b))
+    first_a, first_b = a[:, 0].copy(), b[:, 0].copy()
+    prints_a, prints_b = a[:, :SET_WORDS].copy(), b[:, :SET_WORDS].copy()
+    size_a, size_b = a[:, SET_WORDS].astype(np.int64), b[:, SET_WORDS].astype(np.int64)
+    found_a, found_b = [], []
+    step = max(1, _AT_ONCE // max(1, len(b)))
+    for k in range(0, len(a), step):
+        i, j = np.nonzero(np.bitwise_count(first_a[k : k + step, None] ^ first_b[None, :]) <= radius)
+        i += k
+        # sets whose sizes are too far apart cannot be similar
+        x, y = size_a[i], size_b[j]
+        open_ = np.minimum(x, y) * similar[1] >= np.maximum(x, y) * similar[0]
+        open_ &= label[of_a[i]] != label[of_b[j]]
+        if same:
+            open_ &= i < j
+        i, j = i[open_], j[open_]
+        differ = np.bitwise_count(prints_a[i] ^ prints_b[j]).sum(axis=1, dtype=np.int64)
+        near = np.flatnonzero(differ <= total)
+        i, j = i[near], j[near]
+        order = np.argsort(differ[near], kind="stable")
+        i, j = i[order], j[order]
+        while len(i):
+            u, v = label[of_a[i]], label[of_b[j]]
+            open_ = u != v
+            i, j, u, v = i[open_], j[open_], u[open_], v[open_]
+            # each group takes its nearest pair with a group of a smaller number, so there is no circle
+            own, at = np.unique(np.maximum(u, v), return_index=True)
+            found_a.append(i[at])
+            found_b.append(j[at])
+            label[own] = np.minimum(u, v)[at]
+            while (label != label[label]).any():
+                label = label[label]
+    i, j = (np.concatenate([*x, np.empty(0, np.int64)]).astype(np.int64) for x in (found_a, found_b))
+    return a[i, :NODE], b[j, :NODE]
+
+
+def candidates(
+    distinct: DataFrame, radius: int, total: int, similar: tuple[int, int], tile: int = TILE
+) -> DataFrame:
+    """Pairs (u, v) that join whatever sets may be similar; ``distinct`` has a row of numbers for each.
+
+    A row: the words of its fingerprint, its size, a number of its own. Sets are candidates if at most
+    ``radius`` bits differ in the first word, ``total`` in all, and their sizes allow the similarity.
+    """
+
+    def rows(prints: pa.Scalar) -> np.ndarray:
+        values = prints.values
+        return values.flatten().to_numpy().view(np.uint64).reshape(len(values), -1)
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = pa.list_(pa.int64())
+        for batch in batches:
+            for a, b, same in zip(*batch.columns):
+                u, v = _near(rows(a), rows(b), same.as_py(), radius, total, similar)
+                for k in range(0, len(u), 1 << 16):
+                    ends = [pa.array(x[k : k + (1 << 16)].view(np.int64).tolist(), kind) for x in (u, v)]
+                    yield pa.RecordBatch.from_arrays(ends, names=["u", "v"])
+
+    found = _tile_pairs(distinct, radius, 1, tile).mapInArrow(compare, "u array<long>, v array<long>")
+    return found.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()

@@ -40,6 +40,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from medoria.llm.components import components
+from medoria.llm.simhash import NODE, candidates, set_row
 from medoria.work import materialise
 
 TILE_SHINGLES = 1 << 18
@@ -178,15 +179,17 @@ def _named_sets(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[tuple
         yield batch, sets, names, points
 
 
-def _sets(docs: DataFrame, words: int) -> DataFrame:
-    """(id, node, point) of every row of (id, text): ``node`` names the set."""
+def _sets(docs: DataFrame, words: int, wide: bool) -> DataFrame:
+    """(id, node, point, fingerprint) of every row of (id, text): ``node`` names the set; a fingerprint only if ``wide``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, _, names, points in _named_sets(batches, words):
-            columns = [batch.column(0), pa.array(names, pa.binary()), pa.array(points)]
-            yield pa.RecordBatch.from_arrays(columns, names=["id", "node", "point"])
+        for batch, sets, names, points in _named_sets(batches, words):
+            rows = [set_row(s, int(p)) if wide else None for s, p in zip(sets, points)]
+            columns = [batch.column(0), pa.array(names, pa.binary()), pa.array(points), pa.array(rows, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "node", "point", "fingerprint"])
 
-    return docs.mapInArrow(run, f"id {docs.schema['id'].dataType.simpleString()}, node binary, point long")
+    kind = docs.schema["id"].dataType.simpleString()
+    return docs.mapInArrow(run, f"id {kind}, node binary, point long, fingerprint array<long>")
 
 
 def _postings(docs: DataFrame, words: int, similar: tuple[int, int]) -> DataFrame:
@@ -364,6 +367,7 @@ def similar_groups(
     docs: DataFrame,
     words: int = 5,
     similar: tuple[int, int] = (4, 5),
+    radius: tuple[int, int] | None = None,
     id: str = "doc_id",
     text: str = "text",
     tile_shingles: int = TILE_SHINGLES,
@@ -372,12 +376,22 @@ def similar_groups(
     """One row per document: the id and ``component_id``, the smallest id reachable over pairs of similar shingle sets.
 
     Similar: the intersection is at least ``similar`` (numerator, denominator) of the union.
+    Clusters are made of shared keys; with ``radius`` of SimHash candidates instead, sets whose fingerprints
+    differ in at most that many bits of the first word and of all. That moves far fewer rows where many
+    texts share passages, and misses the few links whose fingerprints are farther apart.
     """
     rows = docs.select(F.col(id).alias("id"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"))
-    # the keys are some half of the texts' size: computed for their one shuffle, never written
-    sets = materialise(_sets(rows, words), "sets")
-    clusters = materialise(_clusters(_postings(rows, words, similar)), "clusters")
-    distinct = materialise(sets.groupBy("node").agg(F.min("id").alias("least"), F.first("point").alias("point")), "nodes")
+    sets = materialise(_sets(rows, words, radius is not None), "sets")
+    firsts = [F.first(c).alias(c) for c in ("point", "fingerprint")]
+    distinct = materialise(sets.groupBy("node").agg(F.min("id").alias("least"), *firsts), "nodes")
+    if radius is None:
+        # the keys are some half of the texts' size: computed for their one shuffle, never written
+        clusters = _clusters(_postings(rows, words, similar))
+    else:
+        near = candidates(distinct.select("fingerprint").distinct(), *radius, similar)
+        near = near.select(F.col("u")[NODE - 1].alias("u"), F.col("v")[NODE - 1].alias("v"))
+        clusters = components(near).select(F.col("node").alias("point"), F.col("root").alias("cluster"))
+    clusters = materialise(clusters, "clusters")
     wanted = distinct.join(clusters, "point").select("node", F.col("least").alias("id"), "cluster")
     # one text per set, of those that may have a similar one
     chosen = rows.join(wanted, "id").groupBy("node", "cluster").agg(F.first("text").alias("text"))
