@@ -30,6 +30,9 @@ from medoria.work import materialise
 
 WORDS = 5
 SIMILAR = (4, 5)
+# of 256 bits of SimHash about 39 differ at that similarity (48 for sets of 4 and 5 shingles), of the first 64 about
+# 10 (12). The bounds for candidates lie over three deviations above the latter, over four above the former
+RADIUS = (22, 70)
 
 NO_ID = (1 << 63) - 1
 
@@ -53,7 +56,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     keyed = _keyed(docs)
-    groups = similar_sets.similar_groups(keyed.select("key", "text"), WORDS, SIMILAR, id="key")
+    groups = similar_sets.similar_groups(keyed.select("key", "text"), WORDS, SIMILAR, RADIUS, id="key")
     stay = groups.where(F.col("key") == F.col("component_id")).select("key").distinct()
     kept = keyed.join(stay, "key", "left_semi")
     # of rows with one id and text any of the equal ones, else always the same
