@@ -31,6 +31,8 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import DataType
 
 from medoria.work import materialise
 
@@ -131,7 +133,7 @@ def matches(postings: dict[int, np.ndarray], phrase: list[int], slack: int = 0)
     return starts
 
 
-def search(index: DataFrame, windows: list[tuple[object, list[int]]], slack: int, item_kind: str) -> DataFrame:
+def search(index: DataFrame, windows: list[tuple[object, list[int]]], slack: int, item_kind: DataType) -> DataFrame:
     """One row per document of the index: its spans of hit words and the items that occur in it, exactly or nearly."""
     shared = index.sparkSession.sparkContext.broadcast(windows)
     kind = index.schema["ids"].dataType.elementType.simpleString()
@@ -175,8 +177,8 @@ def search(index: DataFrame, windows: list[tuple[object, list[int]]], slack: int
                 )
 
     SPANS = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))
-    item_type = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[item_kind]
-    return index.mapInArrow(run, HITS.format(kind=kind, item=item_kind))
+    item_type = to_arrow_type(item_kind)
+    return index.mapInArrow(run, HITS.format(kind=kind, item=item_kind.simpleString()))
 
 
 def item_windows(text: bytes) -> list[list[bytes]]:
@@ -203,9 +205,13 @@ def contamination(
     """
     rows = docs.select(F.col(id).alias("id"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"))
     tests = benchmark.select(F.col(item).alias("item"), F.coalesce(F.col(item_text), F.lit("")).cast("binary").alias("text"))
-    item_kind = tests.schema["item"].dataType.simpleString()
+    item_kind = tests.schema["item"].dataType
     total = tests.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = int(total // block_bytes) + 1
+    if blocks > 1:
+        # written once under numbers of their own: every block then sees the same rows, repeated ones told apart
+        row = F.struct(F.monotonically_increasing_id().alias("row"), "id")
+        rows = materialise(rows.select(row.alias("id"), "text"), "texts")
     found = []
     for block in range(blocks):
         # a block is at most about block_bytes of text, so it may pass through the driver
@@ -223,12 +229,12 @@ def contamination(
 
 
 def _merged(found: list[DataFrame]) -> DataFrame:
-    """The blocks' rows of each document as one: segments are cut alike in every block."""
+    """The blocks' rows of each document as one, by the number the document was written under."""
     every = found[0]
     for more in found[1:]:
         every = every.unionByName(more)
-    united = every.groupBy("segment", "at").agg(
-        F.first("id").alias("id"),
+    united = every.groupBy("id.row").agg(
+        F.first("id.id").alias("id"),
         F.first("n_words").alias("n_words"),
         F.sort_array(F.flatten(F.collect_list("spans"))).alias("spans"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),

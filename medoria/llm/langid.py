@@ -10,12 +10,13 @@ wins. The prediction is the language with the largest proportion in that set.
 
 Scoring is one pass without a shuffle. The model is a table of BINS rows and a
 column per language; it is counted from a bounded sample of the labelled rows
-(``fit_rows``), and that is all that reaches the driver.
+(``fit_rows``, a share of it for every language), and that is all that reaches the driver.
 
 Defined results: a text that is null or has no letter is ``und`` with score 0,
 and so is every text if nothing was labelled; equal proportions go to the
 language that sorts first; repeated rows are scored alike; an empty table gives
-no rows; other columns are ignored.
+no rows; other columns are ignored. Texts of any length are taken whole, one at a
+time, as counts of at most BINS trigrams.
 """
 
 from __future__ import annotations
@@ -27,8 +28,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from medoria.llm.common import bounded_sample
-
 BINS = 1 << 14
 ROUNDS = 12
 MAX_LANGUAGES = 500
@@ -50,6 +49,11 @@ def _has_letter(text: str | None) -> bool:
     return text is not None and any(map(str.isalpha, text))
 
 
+def _check_number(languages: int) -> None:
+    if languages > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages are labelled: the model would not fit every task")
+
+
 def fit(labelled: DataFrame, text: str = "text", language: str = "lang") -> tuple[list[str], np.ndarray]:
     """Languages and, per bin, their trigram probabilities.
 
@@ -82,8 +86,7 @@ def fit(labelled: DataFrame, text: str = "text", language: str = "lang") -> tupl
 
     each = summed.groupBy("lang").applyInArrow(dense, "lang string, counts binary")
     found = sorted((r["lang"], bytes(r["counts"])) for r in each.limit(MAX_LANGUAGES + 1).collect())
-    if len(found) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages are labelled: the model would not fit every task")
+    _check_number(len(found))
     table = np.full((BINS, len(found)), 0.5)
     for k, (_, counts) in enumerate(found):
         table[:, k] += np.frombuffer(counts, "<i8")
@@ -161,5 +164,18 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray], id: str = "do
 
 
 def fit_on_sample(labelled: DataFrame, key: str = "doc_id", fit_rows: int = 20_000) -> tuple[list[str], np.ndarray]:
-    """The model of about ``fit_rows`` labelled rows, chosen by a hash of their key."""
-    return fit(bounded_sample(labelled.where(F.col("lang").isNotNull()), key, fit_rows))
+    """The model of about ``fit_rows`` labelled rows, and of a rare language's rows beyond its share of them.
+
+    Every language has ``fit_rows`` / languages rows of its own where it has as many, or all it has; at most twice
+    ``fit_rows`` in sum. Rows are chosen by a hash of key and text, so alike on every run.
+    """
+    rows = labelled.where(F.col("lang").isNotNull()).select(F.col(key).alias("key"), "text", "lang")
+    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()}
+    _check_number(len(sizes))
+    total = sum(sizes.values())
+    if total <= fit_rows:
+        return fit(rows)
+    own = fit_rows / len(sizes)
+    bounds = {name: round(max(fit_rows / total, min(1.0, own / n)) * (1 << 30)) for name, n in sizes.items()}
+    bound = F.create_map(*[F.lit(x) for pair in bounds.items() for x in pair])[F.col("lang")]
+    return fit(rows.where(F.pmod(F.xxhash64(F.lit("fit"), "key", "text"), F.lit(1 << 30)) < bound))

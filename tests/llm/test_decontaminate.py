@@ -85,6 +85,17 @@ def test_phrases_do_not_cross_documents(spark):
     assert sorted((r["doc_id"], r["items"]) for r in found) == [(1, []), (2, []), (2, ["i"])]
 
 
+@pytest.mark.parametrize("kind", ["smallint", "int", "decimal(9,0)", "string", "date"])
+def test_items_of_any_type(spark, kind):
+    docs = spark.createDataFrame([(1, "one two three"), (1, "one two three"), (None, "two")], "doc_id long, text string")
+    items = spark.createDataFrame([("2021-01-02" if kind == "date" else "12", "two three")], "item_id string, text string")
+    items = items.selectExpr(f"cast(item_id as {kind}) as item_id", "text")
+    name = items.first()["item_id"]
+    for block_bytes in (1 << 24, 4):
+        found = decontaminate.contamination(docs.repartition(2), items, block_bytes=block_bytes).collect()
+        assert sorted((r["doc_id"] or 0, r["items"]) for r in found) == [(0, []), (1, [name]), (1, [name])]
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([(1, "one two")], "doc_id long, text string")
     items = spark.createDataFrame([(1, "one two")], "item_id long, text string")

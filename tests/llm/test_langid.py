@@ -31,6 +31,24 @@ def test_pure_and_mixed_texts(spark):
     assert set(rows[1]["mixture"]) == {"aa", "cc"} and 0.5 < rows[1]["mixture"]["cc"] < 0.9
 
 
+def test_rare_languages_are_learnt(spark):
+    draw = random.Random(3)
+    rows = [(k, text(draw, "aa", 6), "aa", "") for k in range(3000)] + [(5000 + k, text(draw, "cc", 6), "cc", "") for k in range(4)]
+    rows += [(9000, text(draw, "aa", 6), "aa", "")] * 500
+    model = langid.fit_on_sample(docs(spark, rows), fit_rows=40)
+    assert model[0] == ["aa", "cc"]
+    asked = [(k, text(draw, name, 20), None, name) for k, name in enumerate(["aa", "cc"] * 5)]
+    assert all(r["lang_pred"] == asked[r["doc_id"]][3] for r in langid.identify(docs(spark, asked), model).collect())
+
+
+def test_long_texts_are_taken_whole(spark):
+    draw = random.Random(4)
+    model = langid.fit_on_sample(docs(spark, [(k, text(draw, name), name, "") for k, name in enumerate(["aa", "bb"] * 9)]))
+    long = text(draw, "aa", 20_000) + " " + text(draw, "bb", 60_000)
+    (row,) = langid.identify(docs(spark, [(1, long, None, "")]), model).collect()
+    assert row["lang_pred"] == "bb" and set(row["mixture"]) == {"aa", "bb"}
+
+
 def test_nothing_learnt_and_no_rows(spark):
     model = langid.fit_on_sample(docs(spark, [(1, "abc", None, "")]))
     assert [r["lang_pred"] for r in langid.identify(docs(spark, [(1, "abc", None, "")]), model).collect()] == ["und"]
