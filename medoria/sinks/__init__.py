@@ -9,7 +9,7 @@ from medoria.sinks.catalog import (
     register_all,
     tables_in,
 )
-from medoria.sinks.checks import fingerprint, relocate, same_rows, verify_tables
+from medoria.sinks.checks import differences, fingerprint, relocate, same_rows, verify_tables
 from medoria.sinks.generations import generations, newest
 from medoria.sinks.gold import read_table, replace_table
 from medoria.sinks.report import Outcome, as_report, failed, summary
@@ -20,6 +20,7 @@ __all__ = [
     "as_report",
     "create_if_absent",
     "databases",
+    "differences",
     "ensure_database",
     "failed",
     "fingerprint",

@@ -7,7 +7,7 @@ from functools import reduce
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from medoria.files import nested
@@ -41,28 +41,105 @@ def verify_tables(spark: SparkSession, database: str, names: Iterable[str]) -> D
     return reduce(DataFrame.unionByName, counts)
 
 
-def fingerprint(df: DataFrame) -> DataFrame:
-    """One row that depends on all rows, and on how often each occurs, not on their order.
-
-    Two independent 64-bit hashes are summed exactly; nothing is shuffled but
-    one row per task.
-    """
-    columns = [F.col(name) for name in df.columns]
+def _hashes(names: Iterable[str]) -> dict[str, Column]:
+    """Two independent 64-bit hashes of a row; which of its values are missing counts."""
+    columns = [F.col(f"`{name}`") for name in names]
     gaps = F.concat(*[F.isnull(c).cast("int").cast("string") for c in columns])
     hashes = {
         "h1": F.xxhash64(*columns, gaps),
         "h2": F.xxhash64(F.lit("second"), *reversed(columns), gaps),
     }
+    return {name: h.cast("decimal(20,0)") for name, h in hashes.items()}
+
+
+def fingerprint(df: DataFrame) -> DataFrame:
+    """One row that depends on all rows, and on how often each occurs, not on their order.
+
+    Two hashes are summed exactly; nothing is shuffled but one row per task.
+    """
     return df.agg(
         F.count(F.lit(1)).alias("n_rows"),
-        *[F.sum(h.cast("decimal(20,0)")).alias(name) for name, h in hashes.items()],
+        *[F.sum(h).alias(name) for name, h in _hashes(df.columns).items()],
+    )
+
+
+def differences(
+    left: DataFrame,
+    right: DataFrame,
+    partition_by: Iterable[str] = (),
+    bucket: Column | None = None,
+    buckets: int = 64,
+) -> DataFrame:
+    """Where two copies of a table differ: the parts of it whose rows are not the same, and how many rows they have.
+
+    A tree of sums of hashes: the ``table`` is made of its ``partition``s (values of
+    ``partition_by``), these of ``bucket``s, and ``level`` says what a row is. Equal copies have no
+    rows. ``bucket`` is a number that a row keeps when it is damaged, such as a hash of
+    its key; without it the hash of the whole row is taken, and a changed row shows in
+    two buckets. Each side is read once, and what is shuffled is at most one row per task
+    and bucket, however many rows a partition has.
+    """
+    partition_by = list(partition_by)
+    if sorted(left.columns) != sorted(right.columns):
+        raise ValueError(f"the copies have other columns: {left.columns} and {right.columns}")
+    hashes = _hashes(left.columns)
+    place = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns]), F.lit(buckets)) if bucket is None else bucket
+
+    def side(df: DataFrame, sign: int) -> DataFrame:
+        return df.select(
+            *[F.col(f"`{c}`") for c in partition_by],
+            place.alias("bucket"),
+            *[(h * sign).cast("decimal(21,0)").alias(name) for name, h in hashes.items()],
+            F.lit(sign).alias("sign"),
+        )
+
+    # what is equal on both sides cancels out
+    sums = [F.sum("h1").alias("h1"), F.sum("h2").alias("h2")]
+    leaves = (
+        side(left, 1)
+        .unionByName(side(right, -1))
+        .groupBy(*partition_by, "bucket")
+        .agg(F.count_if(F.col("sign") > 0).alias("rows_left"), F.count_if(F.col("sign") < 0).alias("rows_right"), *sums)
+    )
+    parts = [F.col(f"`{c}`") for c in partition_by]
+    level = F.when(F.grouping("bucket") == 0, "bucket")
+    if parts:
+        level = level.when(F.grouping(parts[0]) == 0, "partition")
+    tree = leaves.groupingSets([[], *([parts] if parts else []), [*parts, F.col("bucket")]], *parts, "bucket").agg(
+        level.otherwise("table").alias("level"),
+        F.sum("rows_left").alias("rows_left"),
+        F.sum("rows_right").alias("rows_right"),
+        *sums,
     )
+    unlike = (F.col("rows_left") != F.col("rows_right")) | (F.col("h1") != 0) | (F.col("h2") != 0)
+    return tree.where(unlike).select("level", *parts, "bucket", "rows_left", "rows_right")
+
+
+NAMED = 5  # places that a message names; ``differences`` has all
+
+
+def _places(left: DataFrame, right: DataFrame, partition_by: list[str]) -> str:
+    """The first places where two copies differ, in words."""
+    level = "partition" if partition_by else "bucket"
+    found = differences(left, right, partition_by).where(F.col("level") == level)
+    names = partition_by or ["bucket"]
+    first = found.orderBy(*names).limit(NAMED + 1).collect()
+    told = [
+        ", ".join(f"{c}={r[c]}" for c in names) + f" ({r['rows_left']} rows, {r['rows_right']} in the copy)"
+        for r in first[:NAMED]
+    ]
+    return "; ".join(told) + ("; and more" if len(first) > NAMED else "")
 
 
 def same_rows(left: DataFrame, right: DataFrame) -> bool:
     return left.columns == right.columns and fingerprint(left).first() == fingerprint(right).first()
 
 
+def _copy_at(target: str, source: DataFrame, table_format: str) -> DataFrame:
+    copy = source.sparkSession.read.format(table_format).schema(source.schema).load(target)
+    return copy.select(*source.columns)
+
+
 def relocate(
     spark: SparkSession,
     database: str,
@@ -77,7 +154,7 @@ def relocate(
     overwritten or removed, and the old files stay. A place that holds the
     table's files, or lies in them, is refused. An empty table is left alone. The
     entry moves only after the copy was found equal. What goes wrong is in the
-    outcome.
+    outcome; of a copy that differs, the partitions (or buckets of rows) that do.
     """
     table = f"{database}.{name}"
     try:
@@ -92,11 +169,11 @@ def relocate(
         target = new_generation(location)
         # the files of a table hold one partition each, so copying needs no shuffle
         source.write.format(table_format).mode("errorifexists").partitionBy(*partition_by).save(target)
-        copy = spark.read.format(table_format).schema(source.schema).load(target)
-        copy = copy.select(*source.columns)
+        copy = _copy_at(target, source, table_format)
         before, after = fingerprint(source).union(fingerprint(copy)).collect()  # two rows
         if before != after:
-            return Outcome(name, FAILED, after["n_rows"], columns, f"the copy at {target} differs from {table}")
+            where = _places(source, copy, partition_by)
+            return Outcome(name, FAILED, after["n_rows"], columns, f"the copy at {target} differs from {table}: {where}")
         move_entry(spark, database, name, target, source.schema, partition_by, table_format)
     except (PySparkException, Py4JJavaError) as error:
         return Outcome(name, FAILED, error=str(error))

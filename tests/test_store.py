@@ -17,6 +17,7 @@ from medoria.plans.pipeline import STEPS, build_gold, build_star, create_star, r
 from medoria.sinks import (
     create_if_absent,
     databases,
+    differences,
     ensure_database,
     fingerprint,
     generations,
@@ -29,6 +30,7 @@ from medoria.sinks import (
     tables_in,
     verify_tables,
 )
+from medoria.sinks import checks
 from medoria.sources import MissingTables
 from medoria.specs import STAR
 from medoria.work import work_path, work_root
@@ -142,6 +144,62 @@ def test_gaps_move_the_fingerprint(spark):
     assert fingerprint(left).first() != fingerprint(right).first()
 
 
+def test_differences_name_the_places(spark):
+    left = spark.createDataFrame(
+        [(1, "a", 2019), (2, None, 2019), (3, "c", 2020), (3, "c", 2020), (4, "d", None)], "k int, y string, annee int"
+    )
+    place = F.col("k") % 3
+    assert differences(left, left.select("y", "annee", "k").repartition(3), ["annee"], place).count() == 0
+    assert differences(left, left).count() == 0 and differences(left.limit(0), left.limit(0), ["annee"]).count() == 0
+
+    def found(right, *parts):
+        return sorted(map(tuple, differences(left, right, parts, place).collect()), key=str)
+
+    gap = left.withColumn("y", F.when(F.col("k") != 2, F.col("y")).otherwise(""))
+    assert found(gap, "annee") == [("bucket", 2019, 2, 1, 1), ("partition", 2019, None, 2, 2), ("table", None, None, 5, 5)]
+    assert found(gap) == [("bucket", 2, 1, 1), ("table", None, 5, 5)]
+    once = left.distinct()
+    assert found(once, "annee") == [("bucket", 2020, 0, 2, 1), ("partition", 2020, None, 2, 1), ("table", None, None, 5, 4)]
+    # the missing partition value is a partition of its own; a moved row shows on both sides
+    moved = left.withColumn("annee", F.coalesce("annee", F.lit(2021)))
+    assert found(moved, "annee") == [
+        ("bucket", 2021, 1, 0, 1), ("bucket", None, 1, 1, 0), ("partition", 2021, None, 0, 1),
+        ("partition", None, None, 1, 0), ("table", None, None, 5, 5),
+    ]
+    # a changed row lies in two buckets if these are made of whole rows
+    levels = [r["level"] for r in differences(left, gap, buckets=1 << 20).collect()]
+    assert sorted(levels) == ["bucket", "bucket", "table"]
+    with pytest.raises(ValueError):
+        differences(left, left.drop("y"))
+
+
+def damaged(target, partition):
+    """One file of a partition without its first row."""
+    (path, *_) = sorted(Path(target).glob(f"{partition}/*.parquet"))
+    file = pq.ParquetFile(path).read()
+    path.with_name(f".{path.name}.crc").unlink(missing_ok=True)
+    pq.write_table(file.slice(1), path)
+
+
+@pytest.mark.parametrize("partition_by", [[], ["annee"]])
+def test_a_damaged_copy_is_reported_by_its_places(spark, database, tmp_path, stays, partition_by, monkeypatch):
+    spec = STAR["fait_hospitalisation"]
+    replace_table(stays, database, spec, f"{tmp_path}/a")
+    before = location_of(spark, database, spec.name)
+    read = checks._copy_at
+
+    def damage_and_read(target, source, table_format):
+        damaged(target, "annee=2016" if partition_by else ".")
+        return read(target, source, table_format)
+
+    monkeypatch.setattr(checks, "_copy_at", damage_and_read)
+    outcome = relocate(spark, database, spec.name, f"{tmp_path}/b", partition_by)
+    assert (outcome.status, outcome.n_rows) == ("FAILED", 11_999)
+    assert location_of(spark, database, spec.name) == before
+    places = outcome.error.partition("fait_hospitalisation: ")[2]
+    assert places.startswith("annee=2016 (1600 rows, 1599 in the copy)" if partition_by else "bucket=") and ";" not in places
+
+
 def files_below(folder):
     return sorted(str(p) for p in Path(folder).rglob("*.parquet"))
 

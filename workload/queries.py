@@ -21,6 +21,7 @@ from medoria.plans.pipeline import build_gold, create_star, register_star, run_p
 from medoria.plans.silver import convert_folder, convert_source, preview
 from medoria.sinks import (
     as_report,
+    differences,
     ensure_database,
     failed,
     newest,
@@ -793,6 +794,21 @@ def relocate_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(f"{cfg.database}.{spec.name}")
 
 
+@register
+def copy_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where a partitioned copy of the orders, with some changed, lost and doubled, differs from them."""
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_totalprice", "o_orderstatus", F.year("o_orderdate").alias("annee")
+    )
+    place = F.pmod("o_orderkey", F.lit(100))
+    price = F.when((F.col("annee") == 1996) & (place == 7), F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
+    kept = orders.withColumn("o_totalprice", price).where((F.col("annee") != 1995) | (place != 11))
+    copy = kept.unionByName(kept.where((F.col("annee") == 1998) & (place == 30)))
+    target = work_path(spark, "copy")
+    copy.write.partitionBy("annee").parquet(target)
+    return differences(orders, spark.read.schema(orders.schema).parquet(target), ["annee"], place)
+
+
 @register
 def star_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw files of all twelve sources to a registered star, moved and counted."""
