@@ -14,7 +14,7 @@ from medoria.plans.dimensions import year_key
 RATE_DIGITS = 6
 
 
-def _rate(part: Column, whole: Column) -> Column:
+def rate(part: Column, whole: Column) -> Column:
     """Ratio as a rounded double; NULL over nothing."""
     quotient = part.cast("double") / F.nullif(whole, F.lit(0)).cast("double")
     return F.round(quotient, RATE_DIGITS)
@@ -47,8 +47,8 @@ def consultation_rate(
     rates = groups.select(
         by,
         "n",
-        _rate(F.col("n"), total).alias("part"),
-        _rate(F.col("n"), F.col("patients")).alias("par_patient"),
+        rate(F.col("n"), total).alias("part"),
+        rate(F.col("n"), F.col("patients")).alias("par_patient"),
     )
     return rates if only is None else rates.where(F.col(by).isin(*only))
 
@@ -74,7 +74,7 @@ def hospitalisation_rate(
     return per_patient.agg(
         F.count("fk_patient").alias("patients"),
         F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("n"),
-    ).select("patients", _rate(F.col("patients"), population).alias("taux"), "n")
+    ).select("patients", rate(F.col("patients"), population).alias("taux"), "n")
 
 
 def hospitalisation_by(
@@ -91,7 +91,7 @@ def hospitalisation_by(
     )
     # the total asks for the same sums, days included, so that both read one exchange
     total = groups.agg(F.struct(F.sum("n").alias("n"), F.sum("jours").alias("jours"))).scalar()["n"]
-    return groups.select(by, "n", _rate(F.col("n"), total).alias("part"), "jours")
+    return groups.select(by, "n", rate(F.col("n"), total).alias("part"), "jours")
 
 
 def hospitalisation_by_patient(
@@ -118,7 +118,7 @@ def hospitalisation_by_patient(
         F.sum("patients").alias("patients"),
         F.sum("hospitalises").alias("hospitalises"),
     )
-    return grouped.withColumn("taux", _rate(F.col("hospitalises"), F.col("patients")))
+    return grouped.withColumn("taux", rate(F.col("hospitalises"), F.col("patients")))
 
 
 def deaths_by_region(fact: DataFrame, dim_lieu: DataFrame, year: int) -> DataFrame:
@@ -163,8 +163,8 @@ def satisfaction_by_region(fact: DataFrame, dim_etablissement: DataFrame, year:
         per_owner.join(dim_etablissement.select("etablissement_id", "region"), "etablissement_id", "left")
         .groupBy("region")
         .agg(
-            _rate(F.sum("weighted"), F.sum("weight")).alias("score_pondere"),
-            _rate(F.sum("scores"), F.sum("n_scores")).alias("score_moyen"),
+            rate(F.sum("weighted"), F.sum("weight")).alias("score_pondere"),
+            rate(F.sum("scores"), F.sum("n_scores")).alias("score_moyen"),
             F.sum("reponses").alias("reponses"),
         )
     )

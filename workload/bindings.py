@@ -21,6 +21,7 @@ TABLES = (
 
 # Periods that cover part of the dates in the given tables.
 START, END = dt.date(1997, 1, 1), dt.date(1999, 1, 1)
+CUT_START, CUT_END = dt.date(1996, 11, 20), dt.date(1998, 2, 15)
 AS_OF = dt.date(2000, 1, 1)
 YEAR = 2024
 

@@ -16,7 +16,7 @@ from medoria.files import stamp
 from medoria.functions import age_at, clean_name, date_key, output_files, size_mb, table_name_of
 from medoria.operators import dense_number, partition_advice, unique_names
 from medoria.parallel import together
-from medoria.plans import dimensions, facts, questions
+from medoria.plans import dimensions, facts, patient_sets, questions
 from medoria.plans.pipeline import build_gold, create_star, register_star, run_pipeline
 from medoria.plans.silver import convert_folder, convert_source, preview
 from medoria.sinks import (
@@ -37,7 +37,7 @@ from medoria.sinks.catalog import databases
 from medoria.sources import SILVER_TABLES, discover, load_silver, read_json
 from medoria.specs import STAR
 from medoria.work import scratch, work_path
-from workload.bindings import AS_OF, END, START, TABLES, YEAR, silver, table
+from workload.bindings import AS_OF, CUT_END, CUT_START, END, START, TABLES, YEAR, silver, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTERED: dict[str, Query] = {}
@@ -245,6 +245,50 @@ def hosp_by_sexe_age(spark: SparkSession, sf_dir: str) -> DataFrame:
     return questions.hospitalisation_by_patient(stays, people, ["sexe", "age"])
 
 
+def _visit_sets(spark: SparkSession, sf_dir: str, by: str) -> patient_sets.PatientSets:
+    """The sets of the stored visits; patients of later years are numbered after those of earlier ones."""
+    (fact,) = _stored(spark, sf_dir, fait_consultations=lambda: fait_consultations(spark, sf_dir))
+    early = patient_sets.patient_numbers(fact.where(F.col("annee") < CUT_START.year))
+    numbers = patient_sets.patient_numbers(fact, early)
+    return patient_sets.write_patient_sets(
+        fact, numbers, [by], "fk_date_consultation", "nb_consultations", work_path(spark, "sets")
+    )
+
+
+@register
+def sets_by_etablissement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A period that begins and ends inside months, from sets of patients."""
+    return patient_sets.visit_rate(_visit_sets(spark, sf_dir, "fk_etablissement"), CUT_START, CUT_END)
+
+
+@register
+def sets_by_profession(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sets kept per professional, united per profession."""
+    people = dimensions.dim_professionel(silver(spark, sf_dir, "professionnel_sante"))
+    names = people.select(F.col("professionnel_id").alias("fk_professionnel"), "profession")
+    sets = _visit_sets(spark, sf_dir, "fk_professionnel")
+    return patient_sets.visit_rate(
+        patient_sets.united_by(sets, names, "fk_professionnel", "profession"), CUT_START, CUT_END
+    )
+
+
+@register
+def sets_hosp_global(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Patients with a stay in a period, from the sets of its months."""
+    t = silver(spark, sf_dir, "hospitalisation", "patient")
+    stays, people = _stored(
+        spark,
+        sf_dir,
+        fait_hospitalisation=lambda: facts.fait_hospitalisation(t),
+        dim_patient=lambda: dimensions.dim_patient(t, AS_OF),
+    )
+    numbers = patient_sets.patient_numbers(stays)
+    sets = patient_sets.write_patient_sets(
+        stays, numbers, [], "fk_date_entree", "nb_hospitalisations", work_path(spark, "sets")
+    )
+    return patient_sets.stay_rate(sets, people, CUT_START, CUT_END)
+
+
 @register
 def consult_by_professionnel(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = silver(spark, sf_dir, "consultations", "activite_professionel", "professionnel_sante")
