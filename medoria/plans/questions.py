@@ -94,6 +94,17 @@ def hospitalisation_by(
     return groups.select(by, "n", rate(F.col("n"), total).alias("part"), "jours")
 
 
+def stays_per_patient(fact: DataFrame) -> DataFrame:
+    """One row per patient and year with a stay: what is kept in buckets of the patient.
+
+    A patient of very many stays, or the stays of unknown patients, are a row a year.
+    """
+    return fact.groupBy("fk_patient", "annee").agg(
+        F.sum("nb_hospitalisations").alias("nb_hospitalisations"),
+        F.sum("duree_sejour_jours").alias("duree_sejour_jours"),
+    )
+
+
 def hospitalisation_by_patient(
     fact: DataFrame, dim_patient: DataFrame, by: Sequence[str] = ("sexe", "age")
 ) -> DataFrame:

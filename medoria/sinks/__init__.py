@@ -1,5 +1,6 @@
 """Writing, registering, moving and checking tables."""
 
+from medoria.sinks.buckets import register_bucketed, write_bucketed
 from medoria.sinks.catalog import (
     create_if_absent,
     databases,
@@ -30,11 +31,13 @@ __all__ = [
     "read_table",
     "register",
     "register_all",
+    "register_bucketed",
     "relocate",
     "replace_table",
     "same_rows",
     "summary",
     "tables_in",
     "verify_tables",
+    "write_bucketed",
     "write_silver",
 ]

@@ -32,6 +32,7 @@ from medoria.sinks import (
     summary,
     tables_in,
     verify_tables,
+    write_bucketed,
 )
 from medoria.sinks.catalog import databases
 from medoria.sources import SILVER_TABLES, discover, load_silver, read_json
@@ -44,6 +45,7 @@ REGISTERED: dict[str, Query] = {}
 
 PLACES = ("etablissement_sante", "communes", "region")
 ETABLISSEMENTS = ("1", "2", "3")
+BUCKETS = 16
 SURVEYS = ("satisfaction_esatis", "satisfaction_esatisca")
 
 
@@ -289,6 +291,27 @@ def sets_hosp_global(spark: SparkSession, sf_dir: str) -> DataFrame:
     return patient_sets.stay_rate(sets, people, CUT_START, CUT_END)
 
 
+@register
+def hosp_by_patient_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stays and patients in buckets of the patient: neither is shuffled to be joined."""
+    t = silver(spark, sf_dir, "hospitalisation", "patient")
+    stays, people = _stored(
+        spark,
+        sf_dir,
+        fait_hospitalisation=lambda: facts.fait_hospitalisation(t),
+        dim_patient=lambda: dimensions.dim_patient(t, AS_OF),
+    )
+    cfg = _settings(spark)
+    ensure_database(spark, cfg.database, cfg.database_root)
+
+    def kept(name: str, rows: DataFrame, key: str) -> DataFrame:
+        return write_bucketed(rows, cfg.database, name, f"{cfg.gold_root}/{name}", key, BUCKETS)
+
+    return questions.hospitalisation_by_patient(
+        kept("stays", questions.stays_per_patient(stays), "fk_patient"), kept("people", people, "patient_id")
+    )
+
+
 @register
 def consult_by_professionnel(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = silver(spark, sf_dir, "consultations", "activite_professionel", "professionnel_sante")
