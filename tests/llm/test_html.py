@@ -85,3 +85,73 @@ def test_given_pages(spark, sf_dir):
         article = re.search("<article>(.*)</article>", r["html"], re.S)[1]
         parts = [unescape(re.sub("<[^>]*>", "", re.sub("<br>", " ", p))).split() for p in re.split("</?(?:h1|p)>", article)]
         assert found[r["page_id"]] == "\n".join(" ".join(p) for p in parts if p)
+
+
+def extracted(spark, pages):
+    return {r["page_id"]: r["text"] for r in html.main_text(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+
+
+WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa".split()
+
+
+def story(k):
+    return f"{WORDS[k % 10]} {k} went to {WORDS[k * 7 % 10]} and came back after {k * 13} days"
+
+
+@pytest.mark.parametrize("n", [1, 4, 40])
+def test_hosts_without_marks(spark, n):
+    """Templates go from two pages on; of one page alone nothing can be told."""
+    frame = "<body><div><p>Welcome to us</p></div><div class=text><p>{}</p></div><table><tr><td>All rights</table></body>"
+    found = extracted(spark, [(k, f"http://h{n}.org/{k}", frame.format(story(k))) for k in range(n)])
+    assert found == {k: story(k) if n > 1 else f"Welcome to us\n{story(k)}\nAll rights" for k in range(n)}
+
+
+@pytest.mark.parametrize("n", [1, 4, 40])
+def test_teasers_do_not_hide_the_story(spark, n):
+    page = "<div class='post'>{}</div><div><article>Teaser</article></div>"
+    found = extracted(spark, [(k, f"http://t{n}.org/{k}", page.format(story(k))) for k in range(n)])
+    assert found == {k: story(k) if n > 1 else f"{story(k)}\nTeaser" for k in range(n)}
+    plain = "<div>{}</div><div><article>Teaser</article></div>"
+    found = extracted(spark, [(k, f"http://p{n}.org/{k}", plain.format(story(k))) for k in range(n)])
+    assert all(story(k) in found[k] for k in range(n))
+
+
+@pytest.mark.parametrize("n", [4, 100])
+def test_boxes_inside_articles(spark, n):
+    """A box that all articles of a site repeat goes once there are enough of them; their equal headings stay."""
+    page = "<article><h1>Daily</h1><div>We value your privacy</div><p>{}</p></article>"
+    found = extracted(spark, [(k, f"http://b{n}.org/{k}", page.format(story(k))) for k in range(n)])
+    box = "" if n == 100 else "We value your privacy\n"
+    assert found == {k: f"Daily\n{box}{story(k)}" for k in range(n)}
+
+
+def test_importance_changes_rows(spark):
+    pages = [(k, f"http://b.org/{k}", f"<article><div>Box</div><p>{story(k)}</p></article>") for k in range(40)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    assert {r["text"] for r in html.main_text(df).collect()} == {story(k) for k in range(40)}
+    assert {r["text"] for r in html.main_text(df, least=0.0).collect()} == {f"Box\n{story(k)}" for k in range(40)}
+
+
+def test_names_that_may_be_noise(spark):
+    pages = [
+        (1, "http://x.org/1", "<div class='main social'>our text</div>"),
+        (2, "http://y.org/1", "<div class='search'>our text</div>"),
+        (3, "http://z.org/1", "<div class='search'>find</div><p>our text</p>"),
+        (4, "http://w.org/1", "<div class='ad'>buy</div><nav>menu</nav>"),
+    ]
+    assert extracted(spark, pages) == {1: "our text", 2: "our text", 3: "our text", 4: ""}
+
+
+def test_near_copies_on_one_host_stay(spark):
+    """Articles that differ in a word each, under one title: none of it is a template."""
+    common = "".join(f"<p>{story(k)}</p>" for k in range(6))
+    pages = [(k, f"http://c.org/{k}", f"<article><h1>Title</h1>{common}<p>number {k}</p></article><div class=ad>{k}</div>") for k in range(400)]
+    body = "\n".join(story(k) for k in range(6))
+    assert extracted(spark, pages) == {k: f"Title\n{body}\nnumber {k}" for k in range(400)}
+
+
+def test_very_long_pages(spark):
+    lines = [story(k) for k in range(20_000)]
+    page = "<body><nav>menu</nav><main>" + "".join(f"<p>{line}" for line in lines) + "</main>"
+    deep = "<div>" * 300 + "deep" + "</div>" * 300
+    assert extracted(spark, [(1, "http://l.org/", page), (2, "http://l.org/", deep)]) == {1: "\n".join(lines), 2: "deep"}
