@@ -30,8 +30,8 @@ def test_query_equals_its_sql(spark, connection, sf_dir, name, monkeypatch):
     assert check_oracles.compare(spark, connection, name, sf_dir) is None
 
 
-def test_all_ten_are_registered():
-    assert [int(name[2:].split("_")[0]) for name in REGISTERED] == list(range(1, 11))
+def test_all_thirteen_are_registered():
+    assert [int(name[2:].split("_")[0]) for name in REGISTERED] == list(range(1, 14))
 
 
 def labelled(connection, column):
