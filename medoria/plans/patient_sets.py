@@ -15,6 +15,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +24,7 @@ from pyspark.sql.types import StructType
 from medoria.functions import to_date_key
 from medoria.operators import dense_number, lookup
 from medoria.plans.questions import rate
+from medoria.work import materialise, scratch
 
 FEW = 1024  # places of 4 bytes that take as much as a bitmap
 
@@ -82,13 +84,17 @@ def write_patient_sets(
     days = spark.read.schema(days.schema).parquet(f"{root}/days")
     # a group here is one bucket of one month: at most 31 rows for each of its places
     grouped = days.repartition(*by, "mois", "bucket").groupBy(*by, "mois", "bucket", "place").agg(F.sum("n").alias("n"))
-    few = F.count("place") <= FEW
-    months = grouped.groupBy(*by, "mois", "bucket").agg(
-        F.sum("n").alias("n"),
-        F.when(~few, F.bitmap_construct_agg("place")).alias("bits"),
-        F.when(few, F.collect_list("place")).alias("places"),
-    )
-    months.sortWithinPartitions("mois").write.parquet(f"{root}/months")
+    keys = [*by, "mois", "bucket"]
+    lists = grouped.groupBy(*keys).agg(F.sum("n").alias("n"), F.collect_list("place").alias("places"))
+    with scratch(spark):
+        lists = materialise(lists, "lists")
+        # an aggregate holds a whole bitmap per group, so only the sets that become one go through it
+        few = F.size("places") <= FEW
+        many = lists.where(~few).select(*keys, "n", F.explode("places").alias("place")).groupBy(*keys, "n")
+        months = many.agg(F.bitmap_construct_agg("place").alias("bits")).unionByName(
+            lists.where(few), allowMissingColumns=True
+        )
+        months.sortWithinPartitions("mois").write.parquet(f"{root}/months")
     return read_patient_sets(spark, by, root)
 
 
@@ -136,15 +142,21 @@ def count_patients(sets: PatientSets, start: dt.date, end: dt.date) -> DataFrame
     lists = whole.where("bucket is not null and places is not null").select(
         *by, "bucket", F.explode("places").alias("place")
     )
-    few = lists.unionByName(cut.where("bucket is not null").select(*by, "bucket", "place"))
-    bits = few.groupBy(*by, "bucket").agg(F.bitmap_construct_agg("place").alias("bits"))
-    many = whole.where("bits is not null").select(*by, "bucket", "bits")
-    united = bits.unionByName(many).groupBy(*by, "bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
+    places = lists.unionByName(cut.where("bucket is not null").select(*by, "bucket", "place")).distinct()
+    # places become a bitmap where there is one to unite them with; elsewhere they are counted as they are
+    keys = [*by, "bucket"]
+    many = whole.where("bits is not null").groupBy(*keys).agg(F.bitmap_or_agg("bits").alias("bits"))
+    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in keys])
+    places = places.join(many.select(*[F.col(c).alias(f"_{c}") for c in keys]), same, "left")
+    beside = F.col("_bucket").isNotNull()
+    bits = places.where(beside).groupBy(*keys).agg(F.bitmap_construct_agg("place").alias("bits"))
+    united = bits.unionByName(many).groupBy(*keys).agg(F.bitmap_or_agg("bits").alias("bits"))
     zero = F.lit(0).cast("bigint")
     parts = (
         whole.select(*by, "n", zero.alias("patients"))
         .unionByName(cut.select(*by, "n", zero.alias("patients")))
         .unionByName(united.select(*by, zero.alias("n"), F.bitmap_count("bits").alias("patients")))
+        .unionByName(places.where(~beside).select(*by, zero.alias("n"), F.lit(1).cast("bigint").alias("patients")))
     )
     total = [F.coalesce(F.sum(c), zero).alias(c) for c in ("n", "patients")]
     return parts.groupBy(*by).agg(*total)

@@ -129,3 +129,26 @@ def test_empty(spark, tmp_path):
     root = f"{tmp_path}/sets"
     write_patient_sets(empty, patient_numbers(empty), ["k"], "fk_date_consultation", "nb_consultations", root)
     assert count_patients(read_patient_sets(spark, ["k"], root), D(2019, 1, 1), D(2019, 3, 4)).isEmpty()
+
+
+def test_bitmaps_are_made_for_many_patients_alone(spark, fact, tmp_path, monkeypatch):
+    """An aggregate of bitmaps holds 4,096 bytes per group: sets of few patients never enter one."""
+    refused = lambda place: F.max(F.raise_error(F.concat(F.lit("a bitmap for "), place.cast("string")))).cast("binary")
+    monkeypatch.setattr(patient_sets.F, "bitmap_construct_agg", lambda place: refused(F.col(place)))
+    sets = write_patient_sets(
+        fact, patient_numbers(fact), ["k"], "fk_date_consultation", "nb_consultations", f"{tmp_path}/sets"
+    )
+    for period in PERIODS:
+        counted = count_patients(sets, *period).collect()
+        assert {r["k"]: (r["n"], r["patients"]) for r in counted} == _counted(_rows(), *period)
+
+
+def test_lists_beside_bitmaps(spark, fact, tmp_path, monkeypatch):
+    monkeypatch.setattr(patient_sets, "FEW", 20)
+    sets = write_patient_sets(
+        fact, patient_numbers(fact), ["k"], "fk_date_consultation", "nb_consultations", f"{tmp_path}/sets"
+    )
+    assert 0 < sets.months.where("bits is not null").count() < sets.months.count()
+    for period in PERIODS:
+        counted = count_patients(sets, *period).collect()
+        assert {r["k"]: (r["n"], r["patients"]) for r in counted} == _counted(_rows(), *period)
