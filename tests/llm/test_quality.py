@@ -90,3 +90,54 @@ def test_very_long_texts(spark):
     labels = spark.createDataFrame([(3, 1), (1, 0)], "doc_id long, quality int")
     found = {r["doc_id"]: r["score"] for r in quality.score(docs, quality.fit(docs, labels)).collect()}
     assert found[1] == found[2] and all(0 <= s <= 1 for s in found.values())
+
+
+def _fitted(monkeypatch, spark, block_rows, texts):
+    """The ranking, and the rows of all blocks with what is counted of them."""
+    monkeypatch.setattr(quality, "BLOCK_ROWS", block_rows)
+    seen, make = [], quality._blocks
+    monkeypatch.setattr(quality, "_blocks", lambda *a: seen.append(make(*a)) or seen[0])
+    docs = spark.createDataFrame([(k, t) for k, t, _ in texts], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, q) for k, _, q in texts], "doc_id long, quality int")
+    ranking = quality.fit(docs, labels)
+    blocks = seen[0].collect()
+    return ranking, [
+        (np.frombuffer(b["x"]).reshape(-1, quality.N_FEATURES), np.frombuffer(b["label"], np.int8), np.frombuffer(b["own"], bool))
+        for b in blocks
+    ]
+
+
+def test_every_label_is_fitted(spark, monkeypatch):
+    """Many more labels than a block takes: all are in the model, and the cut is a quantile of all."""
+    texts = rows(900, 5)
+    ranking, blocks = _fitted(monkeypatch, spark, 64, texts)
+    every = np.array([quality.features(t.encode()) for _, t, _ in texts])
+    label = np.array([q for _, _, q in texts])
+    assert len(blocks) == 15 and sum(own.sum() for _, _, own in blocks) == 900
+    assert np.allclose(ranking.mean, every.mean(axis=0)) and np.allclose(ranking.scale, every.std(axis=0) + 1e-9)
+    assert (ranking.strength(every) < ranking.cut).sum() == (label == 0).sum()
+    # the gradient of the loss over the pairs of all blocks is nothing
+    slope, n = -quality.RIDGE * ranking.weights, sum(quality.PAIRS_EACH * len(x) for x, _, _ in blocks)
+    for x, kind, _ in blocks:
+        z = quality._curved((x - ranking.mean) / ranking.scale)
+        won, lost = quality.pairs_of(np.flatnonzero(kind == 1), np.flatnonzero(kind == 0))
+        gap = z[won] - z[lost]
+        slope = slope + gap.T @ (1 / (1 + np.exp(gap @ ranking.weights))) / n
+    assert np.abs(slope).max() < 1e-6
+
+
+def test_a_rare_label_is_in_every_block(spark, monkeypatch):
+    texts = [(k, t, int(k not in (7, 400, 511))) for k, t, _ in rows(600, 6)]
+    ranking, blocks = _fitted(monkeypatch, spark, 50, texts)
+    assert len(blocks) == 12 and all(0 < (label == 0).sum() < len(label) for _, label, _ in blocks)
+    assert sum(own.sum() for _, _, own in blocks) == 600
+    every = np.array([quality.features(t.encode()) for _, t, _ in texts])
+    assert (ranking.score(every) < quality.THRESHOLD).sum() == 3
+
+
+def test_the_cut_among_ties():
+    each = lambda step: [step(np.array(p, float), None, np.ones(len(p), bool)) for p in ([1, 1, -2.5], [1, 0, 3], [])]
+    ordered = [-2.5, 0, 1, 1, 1, 3]
+    assert [quality._smallest(each, lambda x: x, k) for k in range(6)] == ordered
+    cuts = [quality._cut(each, lambda x: x, 6, k / 6) for k in range(7)]
+    assert cuts == [-3.5, -1.25, 0.5, 1, 1, 2, 4]
