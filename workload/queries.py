@@ -37,8 +37,8 @@ from medoria.sinks import (
 from medoria.sinks.catalog import databases
 from medoria.sources import SILVER_TABLES, discover, load_silver, read_json
 from medoria.specs import STAR
-from medoria.work import scratch, work_path
-from workload.bindings import AS_OF, CUT_END, CUT_START, END, START, TABLES, YEAR, silver, table
+from medoria.work import materialise, scratch, work_path
+from workload.bindings import AS_OF, BINDINGS, CUT_END, CUT_START, END, START, TABLES, YEAR, silver, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTERED: dict[str, Query] = {}
@@ -66,6 +66,11 @@ def _settings(spark: SparkSession, source_root: str = "-", file_format: str = "c
     )
 
 
+def _written(spark: SparkSession, t: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The roles as a lake has them: those that come of a join are written once, so what reads them does not join again."""
+    return {role: materialise(df, role) if " join " in BINDINGS[role] else df for role, df in t.items()}
+
+
 # Dimensions
 
 
@@ -130,6 +135,11 @@ def fait_hospitalisation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return facts.fait_hospitalisation(silver(spark, sf_dir, "hospitalisation"))
 
 
+def _stays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stays for a writer that reads them more than once."""
+    return facts.fait_hospitalisation(_written(spark, silver(spark, sf_dir, "hospitalisation")))
+
+
 @register
 def fait_satisfaction(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = silver(spark, sf_dir, *SURVEYS, *PLACES)
@@ -192,7 +202,7 @@ def store_gold(spark: SparkSession, sf_dir: str) -> None:
         fait_deces=lambda: facts.fait_deces(t, places),
         fait_satisfaction=lambda: facts.fait_satisfaction(t, establishments, YEAR),
         fait_consultations=lambda: facts.fait_consultations(t),
-        fait_hospitalisation=lambda: facts.fait_hospitalisation(t),
+        fait_hospitalisation=lambda: _stays(spark, sf_dir),
         dim_patient=lambda: dimensions.dim_patient(t, AS_OF),
         dim_professionel=lambda: dimensions.dim_professionel(t),
     )
@@ -219,11 +229,11 @@ def consult_by_diagnostic(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def hosp_global(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = silver(spark, sf_dir, "hospitalisation", "patient")
+    t = silver(spark, sf_dir, "patient")
     stays, people = _stored(
         spark,
         sf_dir,
-        fait_hospitalisation=lambda: facts.fait_hospitalisation(t),
+        fait_hospitalisation=lambda: _stays(spark, sf_dir),
         dim_patient=lambda: dimensions.dim_patient(t, AS_OF),
     )
     return questions.hospitalisation_rate(stays, people, START, END)
@@ -231,17 +241,17 @@ def hosp_global(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def hosp_by_diagnostic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    (stays,) = _stored(spark, sf_dir, fait_hospitalisation=lambda: fait_hospitalisation(spark, sf_dir))
+    (stays,) = _stored(spark, sf_dir, fait_hospitalisation=lambda: _stays(spark, sf_dir))
     return questions.hospitalisation_by(stays, "fk_diagnostic", START, END)
 
 
 @register
 def hosp_by_sexe_age(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = silver(spark, sf_dir, "hospitalisation", "patient")
+    t = silver(spark, sf_dir, "patient")
     stays, people = _stored(
         spark,
         sf_dir,
-        fait_hospitalisation=lambda: facts.fait_hospitalisation(t),
+        fait_hospitalisation=lambda: _stays(spark, sf_dir),
         dim_patient=lambda: dimensions.dim_patient(t, AS_OF),
     )
     return questions.hospitalisation_by_patient(stays, people, ["sexe", "age"])
@@ -277,11 +287,11 @@ def sets_by_profession(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def sets_hosp_global(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Patients with a stay in a period, from the sets of its months."""
-    t = silver(spark, sf_dir, "hospitalisation", "patient")
+    t = silver(spark, sf_dir, "patient")
     stays, people = _stored(
         spark,
         sf_dir,
-        fait_hospitalisation=lambda: facts.fait_hospitalisation(t),
+        fait_hospitalisation=lambda: _stays(spark, sf_dir),
         dim_patient=lambda: dimensions.dim_patient(t, AS_OF),
     )
     numbers = patient_sets.patient_numbers(stays)
@@ -294,11 +304,11 @@ def sets_hosp_global(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def hosp_by_patient_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stays and patients in buckets of the patient: neither is shuffled to be joined."""
-    t = silver(spark, sf_dir, "hospitalisation", "patient")
+    t = silver(spark, sf_dir, "patient")
     stays, people = _stored(
         spark,
         sf_dir,
-        fait_hospitalisation=lambda: facts.fait_hospitalisation(t),
+        fait_hospitalisation=lambda: _stays(spark, sf_dir),
         dim_patient=lambda: dimensions.dim_patient(t, AS_OF),
     )
     cfg = _settings(spark)
@@ -759,7 +769,8 @@ def replace_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     cfg = _settings(spark)
     ensure_database(spark, cfg.database, cfg.database_root)
     spec = STAR["fait_hospitalisation"]
-    stays = replace_table(fait_hospitalisation(spark, sf_dir), cfg.database, spec, cfg.gold_root)
+    with scratch(spark):
+        stays = replace_table(_stays(spark, sf_dir), cfg.database, spec, cfg.gold_root)
     return replace_table(stays, cfg.database, spec, cfg.gold_root)
 
 
@@ -767,7 +778,8 @@ def replace_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
 def table_verify(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All gold tables built, written and registered, then counted."""
     cfg = _settings(spark)
-    build_gold(spark, silver(spark, sf_dir), cfg)
+    with scratch(spark):
+        build_gold(spark, _written(spark, silver(spark, sf_dir)), cfg)
     return verify_tables(spark, cfg.database, STAR)
 
 
@@ -775,7 +787,8 @@ def table_verify(spark: SparkSession, sf_dir: str) -> DataFrame:
 def star_by_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A star built in one database and entered into another from its files alone."""
     cfg = _settings(spark)
-    build_gold(spark, silver(spark, sf_dir), cfg)
+    with scratch(spark):
+        build_gold(spark, _written(spark, silver(spark, sf_dir)), cfg)
     again = replace(cfg, database=f"{cfg.database}_again")
     outcomes = register_star(spark, again)
     names = [row["tableName"] for row in tables_in(spark, again.database).collect()]  # one row per table
