@@ -128,7 +128,8 @@ def array_records(spark: SparkSession, files: list[str]) -> DataFrame:
     known = known.withColumn("own", summed("ends", before))
     known = materialise(known.select(*split, "at", "value", "ends", "own", outside.alias("closed")), "pieces")
     done = known.groupBy(*split).agg(F.sum("ends").alias("ends")).withColumn("done", summed("ends", earlier)).drop("ends")
-    numbered = known.join(done, split).withColumn("number", F.col("done") + F.col("own"))
+    # one row per split, so the pieces stay where they are
+    numbered = known.join(F.broadcast(done), split).withColumn("number", F.col("done") + F.col("own"))
     # an element: its pieces in order, their braces back in place
     parts = F.array_sort(F.collect_list(F.struct("block", "at", "value")))
     whole = numbered.groupBy("file", "number").agg(parts.alias("parts"), F.max("ends").alias("ends"))
@@ -145,7 +146,7 @@ def _read_arrays(spark: SparkSession, files: list[str], schema: StructType | Non
     rest = F.substr("record", F.lit(2))
     line = F.concat(named, F.when(F.trim(rest) == "}", "").otherwise(", "), rest)
     path = work_path(spark, "records")
-    records.select(line.alias("value")).write.text(path)
+    records.select(line.alias("value")).write.text(path, compression="gzip")
     reader = spark.read
     if schema is not None:
         reader = reader.schema(StructType([*schema.fields]).add(SOURCE, StringType()))

@@ -492,3 +492,21 @@ def test_a_stamp_tells_states_apart(spark, tmp_path):
     assert before == stamp(spark, str(tmp_path / "f")) and before[0][:2] == ("a.csv", 1)
     put(tmp_path, "f/a.csv", "xy")
     assert stamp(spark, path) != before
+
+
+def test_pieces_of_arrays_stay_where_they_are(spark, tmp_path, capsys):
+    """The sums of the splits go to the pieces, not the pieces to them; records are kept compressed."""
+    rows = [{"n": k, "text": f'}}{{"[{k}'} for k in range(300)]
+    (tmp_path / "a.json").write_text(json.dumps(rows, indent=1))
+    (tmp_path / "b.json").write_text(json.dumps(rows))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        array_records(spark, [str(tmp_path / "a.json"), str(tmp_path / "b.json")]).explain()
+        found = read_json(spark, str(tmp_path), array_bytes=0)
+        files = found.inputFiles()
+        assert sorted((r["n"], r["text"]) for r in found.collect()) == sorted((r["n"], r["text"]) for r in rows * 2)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "BroadcastHashJoin" in capsys.readouterr().out
+    assert files and all(f.endswith(".gz") for f in files)

@@ -616,11 +616,12 @@ def silver_text_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
 def silver_json_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Arrays cut into their elements by many tasks; texts hold braces, quotes and line ends."""
     source = f"{work_path(spark, 'raw')}/documents.json"
-    numbered = dense_number(table(spark, sf_dir, "documents"), ["doc_id"], "_number")
+    docs = table(spark, sf_dir, "documents")
+    files = max(1, -(-docs.count() // 500))
     text = F.concat(F.lit('{"[\n\\'), F.coalesce("text", F.lit("")), F.lit('\\"}],'))
     row = F.struct("doc_id", F.struct(text.alias("text"), F.array("lang").alias("langs")).alias("body"))
     # every second file is pretty, the others are one line
-    arrays = numbered.groupBy(F.floor((F.col("_number") - 1) / 500).alias("chunk")).agg(F.collect_list(row).alias("rows"))
+    arrays = docs.groupBy(F.pmod(F.xxhash64("doc_id"), F.lit(files)).alias("chunk")).agg(F.collect_list(row).alias("rows"))
     pretty = F.when(F.col("chunk") % 2 == 0, F.to_json("rows", {"pretty": "true"})).otherwise(F.to_json("rows"))
     arrays.select("chunk", pretty.alias("value")).write.partitionBy("chunk").text(source)
     found = read_json(spark, source, array_bytes=0)
