@@ -125,7 +125,9 @@ def relocate_star(spark: SparkSession, cfg: Settings, root: str) -> list[Outcome
         target = f"{root.rstrip('/')}/{name}"
         return relocate(spark, cfg.database, name, target, partitions, cfg.table_format)
 
-    return together(move, STAR)
+    # facts first: the small dimensions go on beside them
+    moved = {outcome.table_name: outcome for outcome in together(move, reversed(STAR))}
+    return [moved[name] for name in STAR]
 
 
 def _convert(spark: SparkSession, cfg: Settings) -> list[Outcome]:

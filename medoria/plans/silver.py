@@ -47,9 +47,17 @@ def convert_source(
 
     Records that do not parse are counted as the table is written, and kept in a column of
     their own; a table of CSV files without any has no such column, one with some is written once more to have it.
+    CSV files are first written with the types their beginnings tell; if a record does not have
+    them, all files are read to infer the types, and the table is written anew.
     """
     try:
         known = TEXT_COLUMNS.get(table_name, ())
+        begun = read_raw(spark, source_path, file_format, schema, known, options=options, as_begun=True)
+        if begun is not None:
+            table = with_lineage(begun, table_name)
+            written = write_counted(table, target_path, output_files, [CORRUPT], [CORRUPT])
+            if not written.counted[CORRUPT]:
+                return Outcome(table_name, OK if written.rows else EMPTY, written.rows, len(table.columns) - 1)
         raw = read_raw(spark, source_path, file_format, schema, known, keep_corrupt=True, options=options)
         table = with_lineage(raw, table_name)
         count = [c for c in table.columns if c == CORRUPT]
@@ -111,7 +119,10 @@ def convert_folder(
             output_files,
         )
 
-    outcomes = together(convert, rows)
+    # long sources first: the short ones go on beside them
+    by_length = sorted(range(len(rows)), key=lambda k: -rows[k]["length"])
+    converted = dict(zip(by_length, together(convert, [rows[k] for k in by_length])))
+    outcomes = [converted[k] for k in range(len(rows))]
     new = [(o, r["source_path"], r["state"], how[o.table_name]) for o, r in zip(outcomes, rows) if o.table_name not in kept]
     add(spark, target_root, new)
     hidden = unreadable_names(spark, source_root, file_format)

@@ -16,6 +16,10 @@ from medoria.sinks.generations import new_generation
 from medoria.sinks.report import EMPTY, FAILED, OK, Outcome
 
 
+GAP_BITS = 62  # missing values told by one number
+PIECE_BITS = 22  # of a hash, summed apart
+
+
 def verify_tables(spark: SparkSession, database: str, names: Iterable[str]) -> DataFrame:
     """``(table_name, status, n_rows, n_cols, error)`` of each table, counted in one job."""
     counts, missing = [], []
@@ -41,26 +45,44 @@ def verify_tables(spark: SparkSession, database: str, names: Iterable[str]) -> D
     return reduce(DataFrame.unionByName, counts)
 
 
-def _hashes(names: Iterable[str]) -> dict[str, Column]:
+def _row_hashes(names: Iterable[str]) -> dict[str, Column]:
     """Two independent 64-bit hashes of a row; which of its values are missing counts."""
     columns = [F.col(f"`{name}`") for name in names]
-    gaps = F.concat(*[F.isnull(c).cast("int").cast("string") for c in columns])
-    hashes = {
-        "h1": F.xxhash64(*columns, gaps),
-        "h2": F.xxhash64(F.lit("second"), *reversed(columns), gaps),
+    # a hash passes over missing values, so their places are hashed too: as bits of numbers
+    gaps = [
+        reduce(lambda a, b: a + b, [F.isnull(c).cast("bigint") * (1 << k) for k, c in enumerate(columns[i : i + GAP_BITS])])
+        for i in range(0, len(columns), GAP_BITS)
+    ]
+    return {
+        "h1": F.xxhash64(*columns, *gaps),
+        "h2": F.xxhash64(F.lit("second"), *reversed(columns), *gaps),
     }
-    return {name: h.cast("decimal(20,0)") for name, h in hashes.items()}
+
+
+def _hashes(names: Iterable[str]) -> dict[str, Column]:
+    return {name: h.cast("decimal(20,0)") for name, h in _row_hashes(names).items()}
 
 
 def fingerprint(df: DataFrame) -> DataFrame:
     """One row that depends on all rows, and on how often each occurs, not on their order.
 
-    Two hashes are summed exactly; nothing is shuffled but one row per task.
+    Two hashes are summed exactly; nothing is shuffled but one row per task. A hash is summed in
+    pieces of 22 bits, as 64-bit numbers that 2^41 rows do not fill, and put together at the end:
+    sums of decimals would take most of the time of the pass.
     """
-    return df.agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        *[F.sum(h).alias(name) for name, h in _hashes(df.columns).items()],
-    )
+    rest = F.lit((1 << PIECE_BITS) - 1).cast("bigint")
+    sums = [F.count(F.lit(1)).alias("n_rows")]
+    whole = []
+    for name, h in _row_hashes(df.columns).items():
+        pieces = [
+            h.bitwiseAND(rest),
+            F.shiftright(h, PIECE_BITS).bitwiseAND(rest),
+            F.shiftright(h, 2 * PIECE_BITS),  # with the sign
+        ]
+        sums += [F.sum(piece).alias(f"{name}_{k}") for k, piece in enumerate(pieces)]
+        weighed = [F.col(f"{name}_{k}").cast("decimal(20,0)") * (1 << (PIECE_BITS * k)) for k in range(len(pieces))]
+        whole.append(reduce(lambda a, b: a + b, weighed).cast("decimal(38,0)").alias(name))
+    return df.agg(*sums).select("n_rows", *whole)
 
 
 def differences(

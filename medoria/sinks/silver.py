@@ -13,6 +13,9 @@ from medoria.functions.sizing import output_files_for
 from medoria.work import materialise, scratch
 
 
+LINEAGE_PATH = "source_file"
+
+
 @dataclass(frozen=True)
 class Written:
     """What a write saw: its rows, and those with a value in each counted column."""
@@ -45,7 +48,9 @@ def write_counted(df: DataFrame, path: str, output_files: bool = False, count: C
                 return nothing
             files = output_files_for(seen.get["rows"])
             observed = observed.coalesce(1) if files == 1 else observed.repartition(files)
-        observed.write.mode("overwrite").option("compression", "snappy").parquet(path)
+        # comparing the long path of every row for bounds costs more than writing it; a file's dictionary tells its few paths
+        plain = {f"parquet.column.statistics.enabled#{LINEAGE_PATH}": False}
+        observed.write.mode("overwrite").options(compression="snappy", **plain).parquet(path)
     found = seen.get
     if not found.get("rows"):
         remove(spark, path)

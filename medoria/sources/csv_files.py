@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import csv
+import datetime as dt
+import re
 from collections.abc import Collection, Mapping, Sequence
 from functools import reduce
 from urllib.parse import unquote
@@ -11,7 +13,17 @@ from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, DoubleType, NumericType, StringType, StructField, StructType
+from pyspark.sql.types import (
+    DataType,
+    DateType,
+    DoubleType,
+    IntegerType,
+    LongType,
+    NumericType,
+    StringType,
+    StructField,
+    StructType,
+)
 
 from medoria.files import head, literal
 from medoria.parallel import together
@@ -31,6 +43,7 @@ UNREADABLE = "�"  # what a byte that is not UTF-8 decodes to
 CORRUPT = "_corrupt_record"  # as Spark names it
 HEAD_BYTES = 64 * 1024
 HEADS_AT_ONCE = 16
+GUESSED_FROM = 16  # files whose beginnings a guess of types is made from
 # what only typed values need; text is read without it
 TYPE_OPTIONS = {"dateformat", "timestampformat", "timestampntzformat", "locale"}
 
@@ -93,6 +106,92 @@ def layouts(spark: SparkSession, path: str) -> dict[Layout, list[str]]:
     return by
 
 
+# beginnings of records as Spark splits them, without anything that quotes or escapes
+_PLAIN_LINE = re.compile(r"[ !#-~]+")
+_WHOLE = re.compile(r"-?[0-9]{1,18}")
+_FRACTION = re.compile(r"-?[0-9]{1,15}\.[0-9]{1,15}")
+_DAY = re.compile(r"[0-9]{4}-[0-9]{2}-[0-9]{2}")
+_WORD = re.compile(r"[A-Za-z]{2}.*")
+_NO_WORDS = {"true", "false", "nan", "inf", "infinity", "null", "epoch", "now", "today", "tomorrow", "yesterday"}
+
+
+def _is_day(cell: str) -> bool:
+    try:
+        return _DAY.fullmatch(cell) is not None and dt.date.fromisoformat(cell) is not None
+    except ValueError:
+        return False
+
+
+def _guessed_type(cells: Collection[str]) -> DataType | None:
+    """The type that inference gives a column with these values if all others fit it too; None if that is not sure.
+
+    A column of which nothing is known, numbers beyond 64 bits, times and truth values are left to inference.
+    """
+    cells = {cell for cell in cells if cell}
+    if any(_WORD.fullmatch(cell) and cell.lower() not in _NO_WORDS for cell in cells):
+        return StringType()  # whatever the others are
+    if not cells:
+        return None
+    if all(_is_day(cell) for cell in cells):
+        return DateType()
+    if all(_WHOLE.fullmatch(cell) for cell in cells):
+        return IntegerType() if all(-(2**31) <= int(cell) < 2**31 for cell in cells) else LongType()
+    if all(_WHOLE.fullmatch(cell) or _FRACTION.fullmatch(cell) for cell in cells):
+        return DoubleType()
+    return None
+
+
+def read_csv_as_begun(spark: SparkSession, path: str, text_columns: Collection[str] = ()) -> DataFrame | None:
+    """What ``read_csv`` reads with ``keep_corrupt``, with types told from the beginnings of the files and no pass to infer them.
+
+    That is a guess, and reading proves it: a record that is broken, or holds a value of another type, has its
+    text in ``_corrupt_record``. If not one record has, the rows and types are those of ``read_csv``; else the
+    types are not known and the frame is of no use. None if the beginnings do not tell every type for sure.
+    """
+    if str(spark.conf.get("spark.sql.legacy.timeParserPolicy")).upper() == "LEGACY":
+        return None
+    names = files_of(spark, path)
+    chosen = set(names[:: max(1, len(names) // GUESSED_FROM)])
+
+    def look(name: str) -> tuple[Layout, list[str]] | None:
+        start = head(spark, name, HEAD_BYTES)
+        whole = len(start) < HEAD_BYTES
+        found = layout(first_lines(start, whole))
+        if found is None or name not in chosen:
+            return found and (found, [])
+        records = re.split(r"\r\n|\r|\n", start.decode("utf-8", "replace"))[1 : None if whole else -1]
+        return found, [record for record in records if _PLAIN_LINE.fullmatch(record)]
+
+    looked = [one for one in together(look, names, HEADS_AT_ONCE) if one is not None]
+    if len({found for found, _ in looked}) != 1:
+        return None
+    separator, header = looked[0][0]
+    reader = spark.read.options(**CSV_OPTIONS, recursiveFileLookup=True)
+    columns = reader.csv(path, sep=separator).schema.names
+    if len(columns) != len(header) or CORRUPT in (c.lower() for c in columns):
+        return None
+
+    cut = [[cell.strip() for cell in record.split(separator)] for _, records in looked for record in records]
+    rows = [cells for cells in cut if len(cells) == len(columns) and cells != list(header)]
+    text = set(text_columns)
+    types = [StringType() if c in text else _guessed_type({cells[k] for cells in rows}) for k, c in enumerate(columns)]
+    if None in types:
+        return None
+
+    # days are read as text: the reader's way to parse them takes as long as all else it does
+    fields = [StructField(c, StringType() if t == DateType() else t) for c, t in zip(columns, types)]
+    plain = reader.schema(StructType([*fields, StructField(CORRUPT, StringType())])).option("columnNameOfCorruptRecord", CORRUPT)
+    raw = plain.csv(path, sep=separator)
+    values = {c: F.col("`" + c.replace("`", "``") + "`") for c in columns}
+    days = {c: values[c] for c, t in zip(columns, types) if t == DateType()}
+    # what a cast takes and a day written in full is not, such as a year alone, is another type to inference
+    strange = [F.when(~day.eqNullSafe(day.try_cast("date").cast("string")), day) for day in days.values()]
+    return raw.select(
+        *[days[c].try_cast("date").alias(c) if c in days else values[c] for c in columns],
+        F.coalesce(CORRUPT, *strange).alias(CORRUPT),
+    )
+
+
 def _wider(one: DataType, other: DataType) -> DataType:
     """A type that holds the values of both; text if there is no other."""
     if one == other:

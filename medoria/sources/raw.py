@@ -7,7 +7,7 @@ from collections.abc import Collection, Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from medoria.sources.csv_files import read_csv
+from medoria.sources.csv_files import read_csv, read_csv_as_begun
 from medoria.sources.json_files import read_json
 
 
@@ -23,8 +23,15 @@ def read_raw(
     text_columns: Collection[str] = (),
     keep_corrupt: bool = False,
     options: Mapping[str, str] | None = None,
-) -> DataFrame:
-    """One source of the given format. Unknown formats raise ``UnsupportedFormat``."""
+    as_begun: bool = False,
+) -> DataFrame | None:
+    """One source of the given format. Unknown formats raise ``UnsupportedFormat``.
+
+    ``as_begun`` asks for CSV with the types its beginnings tell (``read_csv_as_begun``), None if they do not.
+    """
+    if as_begun:
+        sure = file_format.lower() == "csv" and schema is None and not options
+        return read_csv_as_begun(spark, path, text_columns) if sure else None
     match file_format.lower():
         case "csv":
             return read_csv(spark, path, schema, text_columns, keep_corrupt, options)

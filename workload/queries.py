@@ -10,6 +10,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType
 
 from medoria.config import Settings
 from medoria.files import stamp
@@ -436,6 +437,8 @@ def partition_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _export_csv(df: DataFrame, folder: str, name: str, sep: str) -> str:
     path = f"{folder}/{name}.csv"
+    # the writer's own way to format days takes a quarter of the time of the export
+    df = df.withColumns({f.name: F.col(f.name).cast("string") for f in df.schema if f.dataType == DateType()})
     df.write.option("header", True).option("sep", sep).option("escape", '"').csv(path)
     return path
 
