@@ -15,7 +15,9 @@ of cells that near are compared, and all their pairs are: numpy exclusive-or and
 bit counts. A pair of tiles returns a spanning forest of its links, never all
 pairs of a group. Components are found over these forests.
 
-Where a similarity of shingle sets decides, ``similar_sets`` compares sets in such tiles.
+Where a similarity of shingle sets decides (``similar_sets``), radii are too large for counts to tell cells
+apart. There, fingerprints are compared of sets that share a key: ``candidates``. A key stands for few sets,
+those of a key that many share are dealt in tiles, and what is joined already is not compared.
 
 A text of any length has one fingerprint, of all its shingles. Defined results: a null or wordless text has fingerprint zero, which links like
 any other; a null id is kept and gets its component's smallest id (null if all
@@ -38,7 +40,10 @@ from medoria.work import materialise
 
 SEED = 42
 TILE = 4096
+MEETING = 1 << 15
 _AT_ONCE = 1 << 18
+_ROWS_AT_ONCE = 1 << 17
+_FEW = 64
 
 
 def shingle_hashes(text: bytes, words: int) -> np.ndarray:
@@ -226,69 +231,191 @@ def set_row(hashes: np.ndarray, number: int) -> list[int]:
     return [*(simhash(_mixed(hashes, k)) for k in range(SET_WORDS)), len(hashes), number]
 
 
+def _within(x: np.ndarray, i: np.ndarray, y: np.ndarray, j: np.ndarray, radius: int, total: int, similar: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Which of the pairs of rows i of x and j of y may be similar, and in how many bits these differ."""
+    # sets whose sizes are too far apart cannot be similar
+    size_i, size_j = x[i, SET_WORDS].astype(np.int64), y[j, SET_WORDS].astype(np.int64)
+    at = np.flatnonzero(np.minimum(size_i, size_j) * similar[1] >= np.maximum(size_i, size_j) * similar[0])
+    bits = np.bitwise_count(x[i[at], :SET_WORDS] ^ y[j[at], :SET_WORDS])
+    differ = bits.sum(axis=1, dtype=np.int64)
+    near = (bits[:, 0] <= radius) & (differ <= total)
+    return at[near], differ[near]
+
+
 def _near(
     a: np.ndarray, b: np.ndarray, same: bool, radius: int, total: int, similar: tuple[int, int]
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of rows of two arrays that join whatever may be similar, the nearest first."""
+    """Numbers of pairs of two arrays that join whatever may be similar, the nearest first."""
     _, back = np.unique(np.concatenate([a[:, -1], b[:, -1]]), return_inverse=True)
     of_a, of_b = back[: len(a)], back[len(a) :]
     label = np.arange(len(a) + len(b))
     first_a, first_b = a[:, 0].copy(), b[:, 0].copy()
-    prints_a, prints_b = a[:, :SET_WORDS].copy(), b[:, :SET_WORDS].copy()
-    size_a, size_b = a[:, SET_WORDS].astype(np.int64), b[:, SET_WORDS].astype(np.int64)
     found_a, found_b = [], []
     step = max(1, _AT_ONCE // max(1, len(b)))
-    for k in range(0, len(a), step):
-        i, j = np.nonzero(np.bitwise_count(first_a[k : k + step, None] ^ first_b[None, :]) <= radius)
-        i += k
-        # sets whose sizes are too far apart cannot be similar
-        x, y = size_a[i], size_b[j]
-        open_ = np.minimum(x, y) * similar[1] >= np.maximum(x, y) * similar[0]
-        open_ &= label[of_a[i]] != label[of_b[j]]
+    rest, every = np.arange(len(a)), np.arange(len(b))
+    while len(rest):
+        own, rest = rest[:step], rest[step:]
+        mine = label[of_a[own]]
+        other = every
+        if (mine == mine[0]).all():
+            # what is joined needs no other pair
+            other = np.flatnonzero(label[of_b] != mine[0])
+            if not len(other):
+                rest = rest[label[of_a[rest]] != mine[0]]
+                continue
+        i, j = np.nonzero(np.bitwise_count(first_a[own][:, None] ^ first_b[other][None, :]) <= radius)
+        i, j = own[i], other[j]
+        open_ = label[of_a[i]] != label[of_b[j]]
         if same:
             open_ &= i < j
         i, j = i[open_], j[open_]
-        differ = np.bitwise_count(prints_a[i] ^ prints_b[j]).sum(axis=1, dtype=np.int64)
-        near = np.flatnonzero(differ <= total)
-        i, j = i[near], j[near]
-        order = np.argsort(differ[near], kind="stable")
+        near, differ = _within(a, i, b, j, radius, total, similar)
+        order = near[np.argsort(differ, kind="stable")]
         i, j = i[order], j[order]
+        joins = len(i) > 0
         while len(i):
             u, v = label[of_a[i]], label[of_b[j]]
             open_ = u != v
             i, j, u, v = i[open_], j[open_], u[open_], v[open_]
             # each group takes its nearest pair with a group of a smaller number, so there is no circle
-            own, at = np.unique(np.maximum(u, v), return_index=True)
+            group, at = np.unique(np.maximum(u, v), return_index=True)
             found_a.append(i[at])
             found_b.append(j[at])
-            label[own] = np.minimum(u, v)[at]
+            label[group] = np.minimum(u, v)[at]
             while (label != label[label]).any():
                 label = label[label]
+        if joins:
+            rest = rest[np.argsort(label[of_a[rest]], kind="stable")]
     i, j = (np.concatenate([*x, np.empty(0, np.int64)]).astype(np.int64) for x in (found_a, found_b))
-    return a[i, :NODE], b[j, :NODE]
+    return a[i, -1], b[j, -1]
+
+
+def _near_in_few(x: np.ndarray, sizes: np.ndarray, radius: int, total: int, similar: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
+    """The same within each of many small groups of rows that follow each other; a pair or two more than needed."""
+    to_end = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(x))
+    label = np.arange(len(x))
+    found_i, found_j = [], []
+    for apart in range(1, int(sizes.max(initial=1))):
+        i = np.flatnonzero(to_end > apart)
+        i = i[label[i] != label[i + apart]]
+        i = i[_within(x, i, x, i + apart, radius, total, similar)[0]]
+        if len(i):
+            found_i.append(i)
+            found_j.append(i + apart)
+            u, v = label[i], label[i + apart]
+            np.minimum.at(label, np.maximum(u, v), np.minimum(u, v))
+            while (label != label[label]).any():
+                label = label[label]
+    i, j = (np.concatenate([*y, np.empty(0, np.int64)]).astype(np.int64) for y in (found_i, found_j))
+    return x[i, -1], x[j, -1]
+
+
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, bool]]:
+    """Batches put together, and whether they are the last."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if sum(map(len, held)) >= _ROWS_AT_ONCE:
+            yield pa.Table.from_batches(held), False
+            held = []
+        held.append(batch)
+    if held:
+        yield pa.Table.from_batches(held), True
+
+
+def _opens(*columns: np.ndarray) -> np.ndarray:
+    """Where rows differ from those before them."""
+    new = np.ones(len(columns[0]), bool)
+    new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+    return new
+
+
+def _met(postings: DataFrame, most: int) -> DataFrame:
+    """(meeting, tile, point): the sets that share a key; keys of one and the same sets are one meeting.
+
+    A key of more than ``most`` sets has them in tiles. Rows of a key are never held together.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, point = np.empty(0, np.int64), np.empty(0, np.int64)
+        # a key whose first tiles are out, and how many these are
+        opened, out = None, 0
+        for batch, last in _gathered(batches):
+            key, point = (np.concatenate([x, c.to_numpy()]) for x, c in zip((key, point), batch.columns))
+            if not len(key):
+                continue
+            order = np.lexsort((point, key))
+            key, point = key[order], point[order]
+            new = _opens(key, point)
+            key, point = key[new], point[new]
+            starts = np.flatnonzero(_opens(key))
+            sizes = np.diff(np.r_[starts, len(key)])
+            nth = np.arange(len(starts))
+            whole = nth < len(starts) - (not last)
+            further = (nth == 0) & (opened is not None and key[0] == opened)
+            plain = whole & (sizes > 1) & (sizes <= most) & ~further
+            # the sum of the members' hashes is the name; if two are equal by chance, sets meet for nothing
+            names = _mixed(np.add.reduceat(_mixed(point.view(np.uint64), 1), starts) + sizes.astype(np.uint64), 2)
+            use = np.repeat(plain, sizes)
+            found = [(np.repeat(names[plain], sizes[plain]), np.zeros(int(use.sum()), np.int32), point[use])]
+            opened, left = None, len(key) if last else starts[-1]
+            for k in np.flatnonzero(further | (sizes > most)).tolist():
+                out = out if further[k] else 0
+                first, end = starts[k], starts[k] + sizes[k]
+                name = _mixed(key[first : first + 1].view(np.uint64), 3)
+                while end - first > (0 if whole[k] else most):
+                    part = point[first : min(first + most, end)]
+                    found.append((np.repeat(name, len(part)), np.full(len(part), out, np.int32), part))
+                    first, out = first + len(part), out + 1
+                if not whole[k]:
+                    opened, left = key[first], first
+            key, point = key[left:], point[left:]
+            meeting, tile, member = (np.concatenate(x) for x in zip(*found))
+            if len(member):
+                columns = [pa.array(meeting.view(np.int64)), pa.array(tile), pa.array(member)]
+                yield pa.RecordBatch.from_arrays(columns, names=["meeting", "tile", "point"])
+
+    dealt = postings.select("key", "point").repartition("key").sortWithinPartitions("key")  # one number: a radix sort
+    return dealt.mapInArrow(run, "meeting long, tile int, point long").distinct()
 
 
 def candidates(
-    distinct: DataFrame, radius: int, total: int, similar: tuple[int, int], tile: int = TILE
+    postings: DataFrame, distinct: DataFrame, radius: int, total: int, similar: tuple[int, int], most: int = MEETING
 ) -> DataFrame:
     """Pairs (u, v) that join whatever sets may be similar; ``distinct`` has a row of numbers for each.
 
-    A row: the words of its fingerprint, its size, a number of its own. Sets are candidates if at most
-    ``radius`` bits differ in the first word, ``total`` in all, and their sizes allow the similarity.
+    ``postings`` has (key, point); similar sets have a key in common, ``point`` is the last of a set's numbers.
+    A row of numbers: the words of its fingerprint, its size, a number of its own. Sets with a common key are candidates
+    if at most ``radius`` bits differ in the first word, ``total`` in all, and their sizes allow the similarity.
     """
+    met = materialise(_met(postings, most), "met")
+    tiles = met.where("tile > 0").groupBy("meeting").agg(F.max("tile").alias("last"))
+    rows = met.join(distinct.select("point", "fingerprint"), "point").join(tiles, "meeting", "left")
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.coalesce("last", F.lit(0)))))
+    rows = rows.select(
+        "meeting", F.least("tile", "other").alias("a"), F.greatest("tile", "other").alias("b"), (F.col("tile") > F.col("other")).alias("side"), "fingerprint"
+    )
+    rows = rows.repartition("meeting", "a", "b").sortWithinPartitions("meeting", "a", "b", "side")
 
-    def rows(prints: pa.Scalar) -> np.ndarray:
-        values = prints.values
-        return values.flatten().to_numpy().view(np.uint64).reshape(len(values), -1)
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = pa.list_(pa.int64())
-        for batch in batches:
-            for a, b, same in zip(*batch.columns):
-                u, v = _near(rows(a), rows(b), same.as_py(), radius, total, similar)
-                for k in range(0, len(u), 1 << 16):
-                    ends = [pa.array(x[k : k + (1 << 16)].view(np.int64).tolist(), kind) for x in (u, v)]
-                    yield pa.RecordBatch.from_arrays(ends, names=["u", "v"])
-
-    found = _tile_pairs(distinct, radius, 1, tile).mapInArrow(compare, "u array<long>, v array<long>")
-    return found.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+        for batch, last in _gathered(batches):
+            t = (batch if held is None else pa.concat_tables([held, batch])).combine_chunks()
+            starts = np.flatnonzero(_opens(*(t.column(c).to_numpy() for c in ("meeting", "a", "b"))))
+            end = len(t) if last else int(starts[-1])
+            held, t, starts = t.slice(end), t.slice(0, end), starts[starts < end]
+            if not end:
+                continue
+            sizes = np.diff(np.r_[starts, end])
+            x = t.column("fingerprint").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(end, NODE)
+            split = np.add.reduceat((~t.column("side").to_numpy()).astype(np.int64), starts)
+            few = (sizes <= _FEW) & (split == sizes)
+            found = [_near_in_few(x[np.repeat(few, sizes)], sizes[few], radius, total, similar)]
+            for k in np.flatnonzero(~few).tolist():
+                own, cut = x[starts[k] : starts[k] + sizes[k]], split[k]
+                a, b = (own, own) if cut == len(own) else (own[:cut], own[cut:])
+                found.append(_near(a, b, cut == len(own), radius, total, similar))
+            u, v = (np.concatenate(y).view(np.int64) for y in zip(*found))
+            if len(u):
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], names=["u", "v"])
+
+    return rows.mapInArrow(run, "u long, v long").distinct()

@@ -16,6 +16,10 @@ smallest shingles, so many that similar sets share one of them. Sets joined by k
 cluster; similar sets are in one cluster. Key equality of a part means several shingles
 in common, wherever they stand, so a line that many texts share makes no key.
 
+With ``radius`` the clusters are those of SimHash candidates instead. The keys are then single shingles: the first
+of a set in an order of all shingles, a fifth of it and one more, so that similar sets have one of them in
+common, whatever the order. Frequent shingles stand last in it, so few sets that are not similar meet.
+
 Small clusters share a task. A large one is laid out in cells by band and these in tiles;
 tiles of one band or of two that follow each other are compared, others differ too much in
 their bit counts. A task returns a forest of verified links, never all pairs, so near
@@ -39,9 +43,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from medoria.files import remove
+from medoria.llm.common import bounded_sample
 from medoria.llm.components import components
-from medoria.llm.simhash import NODE, candidates, set_row
-from medoria.work import materialise
+from medoria.llm.simhash import candidates, set_row
+from medoria.work import materialise, work_path
 
 TILE_SHINGLES = 1 << 18
 TILE_ROWS = 2048
@@ -49,6 +55,8 @@ SLICE_BYTES = 1 << 21  # of text that a task turns into sets at once, or one tex
 _SKETCH = 4096
 _AT_ONCE = 1 << 20
 _WORDS_KNOWN = 1 << 18
+ORDER_TEXTS = 1 << 13  # texts whose shingles are counted for the order of shingles
+ORDER_SHINGLES = 1 << 18
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -135,6 +143,74 @@ class Bands:
         return tuple(np.concatenate([*x, np.empty(0, kind)]).astype(kind) for x, kind in ((rows, np.int64), (keys, np.uint64)))
 
 
+class Order:
+    """An order of all shingles: those of ``often`` come last, as they stand there, the others by their hash.
+
+    Any order finds all similar sets; with frequent shingles last few sets meet.
+    """
+
+    def __init__(self, often: np.ndarray):
+        by_hash = np.argsort(often)
+        self.often, self.rank = often[by_hash], by_hash
+        self.maybe = np.zeros(1 << 20, bool)
+        self.maybe[(often >> np.uint64(44)).astype(np.int64)] = True
+
+    def ranks(self, flat: np.ndarray) -> np.ndarray:
+        """The place of each hash in ``often``; -1 of the others."""
+        out = np.full(len(flat), -1)
+        some = np.flatnonzero(self.maybe[(flat >> np.uint64(44)).astype(np.int64)])
+        at = np.minimum(np.searchsorted(self.often, flat[some]), len(self.often) - 1)
+        known = self.often[at] == flat[some] if len(some) else np.empty(0, bool)
+        out[some[known]] = self.rank[at[known]]
+        return out
+
+    def firsts(self, flat: np.ndarray, sizes: np.ndarray, similar: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
+        """(set, shingle): the first shingles of each set, so many that similar sets have one of them in common.
+
+        The sets' sorted hashes follow each other in ``flat``. Similar sets have num / den of the larger in
+        common; what one has before the first of these is not in the other, so it is at most the rest.
+        """
+        num, den = similar
+        take = np.minimum(sizes, sizes - -(-sizes * num // den) + 1)
+        owner = np.repeat(np.arange(len(sizes)), sizes)
+        rank = self.ranks(flat)
+        rare = rank < 0
+        before = np.r_[0, np.cumsum(rare)]
+        begins = np.cumsum(sizes) - sizes
+        place = before[:-1] - before[begins[owner]]
+        chosen = rare & (place < take[owner])
+        lacking = take - (before[begins + sizes] - before[begins])
+        others = np.flatnonzero(~rare & (lacking[owner] > 0))
+        others = others[np.lexsort((rank[others], owner[others]))]
+        own = owner[others]
+        nth = np.arange(len(own)) - np.searchsorted(own, own)
+        chosen[others[nth < lacking[own]]] = True
+        return owner[chosen], flat[chosen]
+
+
+def _often(rows: DataFrame, words: int) -> np.ndarray:
+    """The shingles that stand in two or more of a bounded number of texts, the rarest of them first."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = _WordHashes()
+        for batch in (piece for batch in batches for piece in _slices(batch, 0)):
+            sets = [shingle_set(t.as_py(), words, known) for t in batch.column(0)]
+            found, n = np.unique(np.concatenate([*sets, np.empty(0, np.uint64)]), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n)], names=["shingle", "n"])
+
+    texts = bounded_sample(rows.select("text"), "text", ORDER_TEXTS)
+    counted = texts.mapInArrow(run, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n")).where("n > 1")
+    counted = materialise(counted, "often")
+    least, so_far = 2, 0
+    for n, shingles in sorted(counted.groupBy("n").count().collect(), reverse=True):
+        so_far += shingles
+        if so_far > ORDER_SHINGLES:
+            least = n + 1
+            break
+    found = counted.where(F.col("n") >= least).orderBy("n", "shingle").select("shingle").toArrow()
+    return found.column(0).to_numpy().view(np.uint64)
+
+
 def _slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
     """A batch in pieces of bounded text, each row whole."""
     sizes = pa.compute.binary_length(batch.column(column)).to_numpy(zero_copy_only=False)
@@ -179,17 +255,29 @@ def _named_sets(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[tuple
         yield batch, sets, names, points
 
 
-def _sets(docs: DataFrame, words: int, wide: bool) -> DataFrame:
-    """(id, node, point, fingerprint) of every row of (id, text): ``node`` names the set; a fingerprint only if ``wide``."""
+def _sets(docs: DataFrame, words: int, similar: tuple[int, int], often: np.ndarray | None) -> DataFrame:
+    """(id, node, point, fingerprint, keys) of every row of (id, text): ``node`` names the set.
+
+    Only if frequent shingles are given there are a fingerprint and keys: shingles one of which similar sets share.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(often)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        many = pa.list_(pa.int64())
+        order = None if shared.value is None else Order(shared.value)
         for batch, sets, names, points in _named_sets(batches, words):
-            rows = [set_row(s, int(p)) if wide else None for s, p in zip(sets, points)]
-            columns = [batch.column(0), pa.array(names, pa.binary()), pa.array(points), pa.array(rows, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, names=["id", "node", "point", "fingerprint"])
+            rows, keys = pa.nulls(len(sets), many), pa.nulls(len(sets), many)
+            if order is not None:
+                rows = pa.array([set_row(s, int(p)) for s, p in zip(sets, points)], many)
+                flat = np.concatenate([*sets, np.empty(0, np.uint64)])
+                owner, key = order.firsts(flat, np.array([len(s) for s in sets], np.int64), similar)
+                ends = np.cumsum(np.bincount(owner, minlength=len(sets)))
+                keys = pa.ListArray.from_arrays(pa.array(np.r_[0, ends].astype(np.int32)), pa.array(key.view(np.int64)))
+            columns = [batch.column(0), pa.array(names, pa.binary()), pa.array(points), rows, keys]
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "node", "point", "fingerprint", "keys"])
 
     kind = docs.schema["id"].dataType.simpleString()
-    return docs.mapInArrow(run, f"id {kind}, node binary, point long, fingerprint array<long>")
+    return docs.mapInArrow(run, f"id {kind}, node binary, point long, fingerprint array<long>, keys array<long>")
 
 
 def _postings(docs: DataFrame, words: int, similar: tuple[int, int]) -> DataFrame:
@@ -363,6 +451,12 @@ def _links(members: DataFrame, similar: tuple[int, int], tile_shingles: int, til
     return together.union(apart).groupBy("task").applyInArrow(compare, "u binary, v binary")
 
 
+def _distinct(sets: DataFrame) -> DataFrame:
+    """(node, least, point, fingerprint): a row per set, with its smallest id."""
+    firsts = [F.first(c).alias(c) for c in ("point", "fingerprint")]
+    return materialise(sets.groupBy("node").agg(F.min("id").alias("least"), *firsts), "nodes")
+
+
 def similar_groups(
     docs: DataFrame,
     words: int = 5,
@@ -376,25 +470,33 @@ def similar_groups(
     """One row per document: the id and ``component_id``, the smallest id reachable over pairs of similar shingle sets.
 
     Similar: the intersection is at least ``similar`` (numerator, denominator) of the union.
-    Clusters are made of shared keys; with ``radius`` of SimHash candidates instead, sets whose fingerprints
-    differ in at most that many bits of the first word and of all. That moves far fewer rows where many
-    texts share passages, and misses the few links whose fingerprints are farther apart.
+    Clusters are made of shared keys; with ``radius`` of SimHash candidates instead, sets that share one of their
+    first shingles and whose fingerprints differ in at most that many bits of the first word and of all. That moves
+    far fewer rows where many texts share passages, and misses the few links whose fingerprints are farther apart.
     """
     rows = docs.select(F.col(id).alias("id"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"))
-    sets = materialise(_sets(rows, words, radius is not None), "sets")
-    firsts = [F.first(c).alias(c) for c in ("point", "fingerprint")]
-    distinct = materialise(sets.groupBy("node").agg(F.min("id").alias("least"), *firsts), "nodes")
     if radius is None:
+        sets = materialise(_sets(rows, words, similar, None), "sets")
+        distinct = _distinct(sets)
         # the keys are some half of the texts' size: computed for their one shuffle, never written
         clusters = _clusters(_postings(rows, words, similar))
     else:
-        near = candidates(distinct.select("fingerprint").distinct(), *radius, similar)
-        near = near.select(F.col("u")[NODE - 1].alias("u"), F.col("v")[NODE - 1].alias("v"))
-        clusters = components(near).select(F.col("node").alias("point"), F.col("root").alias("cluster"))
+        # keys are some quarter of the texts' size: written beside what takes longer, and removed after their one use
+        path = work_path(docs.sparkSession, "keyed")
+        keyed = _sets(rows, words, similar, _often(rows, words))
+        keyed.write.parquet(path)
+        keyed = docs.sparkSession.read.schema(keyed.schema).parquet(path)
+        sets = materialise(keyed.select("id", "node"), "sets")
+        distinct = _distinct(keyed)
+        postings = keyed.select("point", F.explode("keys").alias("key"))
+        clusters = components(candidates(postings, distinct, *radius, similar))
+        remove(docs.sparkSession, path)
+        clusters = clusters.select(F.col("node").alias("point"), F.col("root").alias("cluster"))
     clusters = materialise(clusters, "clusters")
     wanted = distinct.join(clusters, "point").select("node", F.col("least").alias("id"), "cluster")
-    # one text per set, of those that may have a similar one
-    chosen = rows.join(wanted, "id").groupBy("node", "cluster").agg(F.first("text").alias("text"))
+    # one text per set, of those that may have a similar one; rows of one id are together already
+    firsts = (F.first(c).alias(c) for c in ("node", "cluster", "text"))
+    chosen = rows.join(wanted, "id").groupBy("id").agg(*firsts).select("node", "cluster", "text")
     bands = Bands(similar)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

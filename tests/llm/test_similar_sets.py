@@ -104,3 +104,75 @@ def test_the_stage_keeps_columns_of_any_name(spark):
     assert [tuple(r) for r in found] == [(1, "a b c d e f", "en", "web", 11, *[1] * 6), (3, None, "en", "web", 0, *[3] * 6)]
     kept = corpus_pipeline.language(spark, docs, "")
     assert kept.columns == docs.columns
+
+
+def test_firsts_are_shared_by_all_similar_sets():
+    draw = np.random.default_rng(26)
+    often = draw.permutation(np.unique(draw.integers(0, 1 << 63, 400).astype(np.uint64)))
+    tried = 0
+    for n in [*range(1, 40), 100, 333] * 6:
+        some = draw.choice(often, draw.integers(0, n + 1))
+        base = np.unique(np.concatenate([some, draw.integers(0, 1 << 63, n - len(some)).astype(np.uint64)]))
+        gone, more = draw.integers(0, n // 5 + 1), draw.integers(0, n // 4 + 1)
+        other = np.unique(np.concatenate([base[draw.permutation(len(base))[gone:]], draw.choice(often, more)]))
+        both = len(np.intersect1d(base, other))
+        if 5 * both < 4 * (len(base) + len(other) - both):
+            continue
+        for order in (similar_sets.Order(often), similar_sets.Order(often[:0])):
+            row, key = order.firsts(np.concatenate([base, other]), np.array([len(base), len(other)]), (4, 5))
+            assert set(key[row == 0].tolist()) & set(key[row == 1].tolist())
+            assert (row == 0).sum() == len(base) - -(-4 * len(base) // 5) + 1
+        tried += 1
+    assert tried > 100
+
+
+@pytest.mark.parametrize("lines", [0, 1])
+def test_sets_without_a_common_first_shingle_never_meet(spark, monkeypatch, lines):
+    """Beside some similar texts, a line that all texts share makes no two of them meet."""
+    from medoria.llm import simhash
+
+    draw = random.Random(27)
+    line = " ".join(f"l{k}" for k in range(9)) + " "
+    texts = [line * lines + " ".join(f"w{draw.randint(0, 10**9)}" for _ in range(60)) for _ in range(400)]
+    texts += [texts[0] + " x", texts[0] + " y", texts[1] + " z"]
+    met = {}
+    inner = simhash.materialise
+    monkeypatch.setattr(simhash, "materialise", lambda df, label: (out := inner(df, label), met.update({label: out.count()}))[0])
+    docs = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")
+    found = similar_sets.similar_groups(docs, radius=corpus_pipeline.RADIUS).collect()
+    assert {r["doc_id"]: r["component_id"] for r in found} == {**{k: k for k in range(400)}, 400: 0, 401: 0, 402: 1}
+    # rows of the five texts alone, some for each of their keys at most
+    assert met.keys() == {"met"} and met["met"] < 5 * 15
+
+
+@pytest.mark.parametrize("most", [2, 7, 1000])
+def test_candidates_are_the_near_sets_with_a_common_key(spark, monkeypatch, most):
+    from medoria.llm import simhash
+
+    monkeypatch.setattr(simhash, "_ROWS_AT_ONCE", 50)
+    monkeypatch.setattr(simhash, "_FEW", 10)
+    draw = random.Random(28)
+    centres = [[draw.getrandbits(64) for _ in range(4)] for _ in range(5)]
+    rows, keys = {}, {}
+    for point in range(150):
+        words = list(draw.choice(centres))
+        for _ in range(draw.randint(0, 50)):
+            words[draw.randrange(4)] ^= 1 << draw.randrange(64)
+        rows[point] = [*words, draw.randint(80, 130)]
+        keys[point] = {draw.randint(1, draw.choice((3, 60, 400))) for _ in range(draw.randint(0, 6))}
+
+    def near(a, b):
+        apart = [(x ^ y).bit_count() for x, y in zip(rows[a][:4], rows[b][:4])]
+        least, largest = sorted((rows[a][4], rows[b][4]))
+        return bool(keys[a] & keys[b]) and apart[0] <= 22 and sum(apart) <= 70 and 5 * least >= 4 * largest
+
+    signed = {k: [*(w - (w >> 63 << 64) for w in r), k] for k, r in rows.items()}
+    distinct = spark.createDataFrame([*signed.items()], "point long, fingerprint array<long>")
+    # copies of a set repeat its keys
+    postings = spark.createDataFrame([(k, p) for p in rows for k in keys[p] for _ in range(1 + p % 3)], "key long, point long")
+    found = simhash.candidates(postings, distinct, 22, 70, (4, 5), most).collect()
+    assert all(near(r["u"], r["v"]) for r in found)
+    linked = {frozenset((r["u"], r["v"])) for r in found}
+    expected = groups([*rows], {p: p for p in rows}, near)
+    assert groups([*rows], {p: p for p in rows}, lambda a, b: frozenset((a, b)) in linked) == expected
+    assert 20 < len(set(expected.values())) < 140
